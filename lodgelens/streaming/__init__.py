@@ -1,0 +1 @@
+"""lodgelens streaming."""
