@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from lodgelens.operators import adhoc as A
 from lodgelens.operators import analysis as AN
 from lodgelens.operators import curate as C
+from lodgelens.functions import exprs as X
 from lodgelens.operators import quality as Q
 from lodgelens.sources import standins as S
 
@@ -253,3 +254,85 @@ def dq_orphans(spark, sf):
 @register()
 def dq_ranges(spark, sf):
     return Q.dq_ranges(_listing(spark, sf))
+
+
+# ------------------------------------------------------- scalar parsing rules
+# Each query builds messy input strings from table columns with a fixed
+# vocabulary of shapes, then parses them; every row of the table is used.
+
+# The raw string shapes fed to the parsers.
+BOOL_SPELLINGS = ["t", "TRUE", "1", "y", "Yes", "f", "0", "junk", ""]
+
+
+@register()
+def parse_price(spark, sf):
+    o = S.read_table(spark, sf, "orders")
+    money = F.format_number(F.col("o_totalprice"), 2)
+    shape = F.col("o_orderkey") % 4
+    raw = (F.when(shape == 0, F.concat(F.lit("$"), money))
+            .when(shape == 1, F.concat(F.lit("-$"), money))
+            .when(shape == 2, F.lit("N/A"))
+            .otherwise(F.concat(money, F.lit(".00"))))
+    return o.select(F.col("o_orderkey").alias("key"), X.parse_price(raw).alias("price"))
+
+
+@register()
+def parse_percent(spark, sf):
+    p = S.read_table(spark, sf, "part")
+    rate = ((F.col("p_size") * 2) % 101).cast("string")
+    shape = F.col("p_partkey") % 4
+    raw = (F.when(shape == 0, F.concat(rate, F.lit("%")))
+            .when(shape == 1, F.concat(F.lit(" "), rate, F.lit(" %")))
+            .when(shape == 2, F.lit("N/A"))
+            .otherwise(F.lit("%")))
+    return p.select(F.col("p_partkey").alias("key"), X.parse_percent(raw).alias("rate"))
+
+
+@register()
+def parse_bool(spark, sf):
+    p = S.read_table(spark, sf, "part")
+    spellings = F.array(*[F.lit(s) for s in BOOL_SPELLINGS])
+    raw = F.when(F.col("p_partkey") % 11 == 0, F.lit(None).cast("string")) \
+           .otherwise(F.element_at(spellings, (F.col("p_size") % len(BOOL_SPELLINGS) + 1).cast("int")))
+    return p.select(F.col("p_partkey").alias("key"), X.parse_bool(raw).alias("flag"))
+
+
+@register()
+def parse_bathrooms(spark, sf):
+    p = S.read_table(spark, sf, "part")
+    b_shape, t_shape = F.col("p_size") % 3, F.col("p_partkey") % 3
+    bathrooms = (F.when(b_shape == 0, (F.col("p_size") % 4).cast("string"))
+                  .when(b_shape == 1, F.lit("abc")))
+    text = (F.when(t_shape == 0, F.concat((F.col("p_size") % 5).cast("string"), F.lit(".5 baths")))
+             .when(t_shape == 1, F.lit("Half-bath"))
+             .otherwise(F.concat(F.col("p_size").cast("string"), F.lit(" shared baths"))))
+    return p.select(F.col("p_partkey").alias("key"), X.parse_bathrooms(bathrooms, text).alias("bathrooms"))
+
+
+@register()
+def parse_date(spark, sf):
+    o = S.read_table(spark, sf, "orders")
+    d, shape = F.col("o_orderdate"), F.col("o_orderkey") % 4
+    raw = (F.when(shape == 0, F.date_format(d, "yyyy-MM-dd"))
+            .when(shape == 1, F.date_format(d, "yyyy-M-d"))
+            .when(shape == 2, F.date_format(d, "MM/dd/yyyy"))
+            .otherwise(F.lit("bad")))
+    return o.select(F.col("o_orderkey").alias("key"), X.parse_date(raw).alias("d"))
+
+
+@register()
+def amenities_count(spark, sf):
+    p = S.read_table(spark, sf, "part")
+    quoted = F.regexp_replace(F.col("p_name"), " ", '","')
+    shape = F.col("p_partkey") % 4
+    raw = (F.when(shape == 0, F.concat(F.lit('["'), quoted, F.lit('"]')))
+            .when(shape == 1, F.regexp_replace(F.col("p_name"), " ", " , "))
+            .when(shape == 2, F.concat(F.lit('["'), quoted, F.lit('"')))
+            .otherwise(F.concat(F.lit('["", "'), quoted, F.lit('"]'))))
+    return p.select(F.col("p_partkey").alias("key"), X.amenities_count(raw).alias("amenities_count"))
+
+
+@register()
+def token_count(spark, sf):
+    d = S.read_table(spark, sf, "documents")
+    return d.select(F.col("doc_id").alias("key"), X.token_count(F.col("text")).alias("tokens_ct"))
