@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from lodgelens.operators import adhoc as A
@@ -17,6 +18,11 @@ from lodgelens.operators import analysis as AN
 from lodgelens.operators import curate as C
 from lodgelens.functions import exprs as X
 from lodgelens.operators import quality as Q
+from lodgelens.operators import sampling as SM
+from lodgelens.operators import scoring as SC
+from lodgelens.session import scratch_path
+from lodgelens.sources import curated as CU
+from lodgelens.sources import raw as R
 from lodgelens.sources import standins as S
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -336,3 +342,232 @@ def amenities_count(spark, sf):
 def token_count(spark, sf):
     d = S.read_table(spark, sf, "documents")
     return d.select(F.col("doc_id").alias("key"), X.token_count(F.col("text")).alias("tokens_ct"))
+
+
+# ------------------------------------------------------------------ scoring
+# Knobs of the documented example run: {"max_rows": 2000, "sample_frac": 0.1,
+# "max_tokens": 80, "seed": 42}.
+SCORING_KNOBS = dict(max_rows=2000, sample_frac=0.1, max_tokens=80, seed=42)
+
+
+def _text_stage(spark, sf):
+    """Documents as a fact_reviews_stage (review_id = doc_id, whole texts)."""
+    d = S.read_table(spark, sf, "documents")
+    return d.select(F.col("doc_id").cast("string").alias("review_id"),
+                    F.col("source").alias("listing_id"),
+                    F.col("text").alias("comments"),
+                    X.token_count(F.col("text")).alias("tokens_ct"))
+
+
+@register()
+def select_scoring_input(spark, sf):
+    picked = SC.select_scoring_input(_text_stage(spark, sf), **SCORING_KNOBS)
+    return picked.select("review_id", "tokens_ct")
+
+
+@register()
+def sample_fraction(spark, sf):
+    d = S.read_table(spark, sf, "documents").select("doc_id")
+    return SM.sample_fraction(d, 0.1, 42, "doc_id")
+
+
+@register()
+def sample_cap(spark, sf):
+    d = S.read_table(spark, sf, "documents").select("doc_id")
+    return SM.sample_cap(d, 100, 42, "doc_id")
+
+
+@register()
+def lexicon_score(spark, sf):
+    d = S.read_table(spark, sf, "documents").select("doc_id", "text")
+    return SC.lexicon_score(d, "text").select("doc_id", "sentiment_label", "sentiment_score")
+
+
+@register()
+def score_batches(spark, sf):
+    d = S.read_table(spark, sf, "documents").select("doc_id", "text")
+    scored = SC.score_batches(d, SC.LexiconReplyScorer(), text_col="text", base_sleep=0.0)
+    return scored.select("doc_id", "sentiment_label", "sentiment_score", "parse_status")
+
+
+def _labels_replies(spark, sf) -> DataFrame:
+    """Model replies synthesised from ``labels``: documents are batched by
+    ``doc_id div 4`` (at most four per batch) and each batch gets one reply,
+    in one of six shapes (clean, wrapped in prose, lower-case/unknown labels,
+    one item short, no JSON, bad or out-of-range confidences)."""
+    lb = S.read_table(spark, sf, "labels").select(
+        "doc_id", "quality", "toxic", F.floor(F.col("doc_id") / 4).alias("batch_id"))
+    shape = F.col("batch_id") % 6
+    label = F.when(F.col("quality") == 1, F.lit("POSITIVE")).otherwise(F.lit("NEGATIVE"))
+    label = (F.when((shape == 2) & (F.col("toxic") == 1), F.lit("neutral"))
+              .when(shape == 2, F.lower(label)).otherwise(label))
+    conf = (F.lit(0.5) + (F.col("doc_id") % 4).cast("double") * 0.125).cast("string")
+    conf = (F.when((shape == 5) & (F.col("toxic") == 1), F.lit('"high"'))
+             .when(shape == 5, F.lit("2")).otherwise(conf))
+    item = F.concat(F.lit('{"label": "'), label, F.lit('", "confidence": '), conf, F.lit("}"))
+    w = Window.partitionBy("batch_id").orderBy("doc_id")
+    rows = lb.select("doc_id", "batch_id", shape.alias("shape"), item.alias("item"),
+                     (F.row_number().over(w) - 1).cast("int").alias("pos"),
+                     F.count(F.lit(1)).over(Window.partitionBy("batch_id")).cast("int").alias("n"))
+    keep = (F.col("shape") != 3) | (F.col("pos") < F.col("n") - 1)
+    kept_items = F.collect_list(F.when(keep, F.struct("pos", "item")))
+    body = (rows.groupBy("batch_id", "shape")
+            .agg(F.array_join(F.transform(F.array_sort(kept_items),
+                                          lambda s: s.getField("item")), ", ").alias("items")))
+    js = F.concat(F.lit('{"results": ['), F.coalesce(F.col("items"), F.lit("")), F.lit("]}"))
+    reply = (F.when(F.col("shape") == 1, F.concat(F.lit("Sure, here you go:\n"), js, F.lit("\nThanks!")))
+              .when(F.col("shape") == 4, F.lit("I cannot classify these reviews."))
+              .otherwise(js))
+    replies = body.select("batch_id", reply.alias("reply"))
+    return rows.join(replies, "batch_id", "left").select("doc_id", "pos", "n", "reply")
+
+
+@register()
+def parse_model_reply(spark, sf):
+    r = _labels_replies(spark, sf)
+    p = SC.parse_model_reply(F.col("reply"), F.col("n"), F.col("pos"))
+    return r.select("doc_id", p.alias("p")).select("doc_id", "p.*")
+
+
+# ------------------------------------------------- sources and sinks (round trips)
+# These write to a fresh folder under spark.checkpoint.dir and read it back.
+
+@register()
+def scan_csv_raw(spark, sf):
+    d = S.read_table(spark, sf, "documents")
+    raw = d.select(F.col("doc_id").alias(" Doc_ID "), F.col("text").alias("Text"),
+                   F.col("n_chars").alias("N_Chars "))
+    path = R.write_csv_raw(raw, scratch_path(spark, "raw-documents"))
+    back = R.scan_csv_raw(spark, path)
+    return back.select("doc_id", "text", X.parse_long(F.col("n_chars")).alias("n_chars"),
+                       F.col(R.CORRUPT_COL).isNotNull().alias("corrupt"))
+
+
+def _raw_listings(spark, sf) -> DataFrame:
+    """A messy raw listings drop built from ``part``: money strings, 't'/'f'
+    flags, percent strings, JSON amenities with quotes and commas, mixed
+    header case; parts with p_size > 45 are listed twice."""
+    p = S.read_table(spark, sf, "part")
+    size, key = F.col("p_size"), F.col("p_partkey")
+    price = (F.round(F.col("p_retailprice") * 10).cast("long") - 9000).cast("double") * 0.5
+    baths = (size % 7).cast("double") * 0.5
+    rows = p.select(
+        key.cast("string").alias("ID"),
+        (key % 100).cast("string").alias("Host_ID"),
+        F.col("p_type").alias("Property_Type"),
+        F.col("p_type").alias("room_type"),
+        (size % 8 + 1).cast("string").alias("accommodates"),
+        F.concat(F.lit("$"), F.format_number(price, 2)).alias("price"),
+        F.when(size % 2 == 0, baths.cast("string")).alias("bathrooms"),
+        F.concat(baths.cast("string"), F.lit(" baths")).alias("bathrooms_text"),
+        (size % 5).cast("string").alias("bedrooms"),
+        F.col("p_brand").alias("neighbourhood_cleansed"),
+        (size % 31).cast("string").alias("availability_30"),
+        size.cast("string").alias("number_of_reviews"),
+        (F.lit(1.0) + (size % 17).cast("double") * 0.25).cast("string").alias("review_scores_rating"),
+        F.when(size % 7 == 0, F.lit(None).cast("string"))
+         .when(size % 2 == 0, F.lit("t")).otherwise(F.lit("f")).alias("host_is_superhost"),
+        F.concat(((size * 2) % 101).cast("string"), F.lit("%")).alias("host_response_rate"),
+        F.when(key % 5 == 0, F.lit("N/A"))
+         .otherwise(F.concat(((size * 3) % 101).cast("string"), F.lit("%"))).alias("host_acceptance_rate"),
+        F.when(key % 3 == 0, F.lit("t")).otherwise(F.lit("f")).alias("instant_bookable"),
+        F.concat(F.lit('["'), F.regexp_replace(F.col("p_name"), " ", '", "'), F.lit('"]')).alias("amenities"),
+    )
+    return rows.unionByName(rows.where(F.col("number_of_reviews").cast("int") > 45))
+
+
+@register()
+def build_dim_listing(spark, sf):
+    path = R.write_csv_raw(_raw_listings(spark, sf), scratch_path(spark, "raw-listings"))
+    raw = R.standardize_keys(R.scan_csv_raw(spark, path), "listing_id")
+    dim = C.build_dim_listing(raw)
+    return dim.select("listing_id", "host_id", "city", "state", "country", "property_type",
+                      "room_type", "capacity", "price", "price_bucket", "bathrooms", "bedrooms",
+                      "neighbourhood_cleansed", "availability_30", "number_of_reviews",
+                      "review_scores_rating", "host_is_superhost", "host_response_rate",
+                      "host_acceptance_rate", "instant_bookable", "amenities_count")
+
+
+def _raw_reviews(spark, sf) -> DataFrame:
+    """A raw reviews drop built from ``documents``: German documents carry an
+    unreadable date; documents of source src0 are delivered twice."""
+    d = S.read_table(spark, sf, "documents")
+    day = F.lpad((F.col("n_chars") % 28 + 1).cast("string"), 2, "0")
+    rows = d.select(
+        F.col("doc_id").cast("string").alias("id"),
+        F.col("doc_id").cast("string").alias("listing_id"),
+        F.when(F.col("lang") == "de", F.lit("not a date"))
+         .otherwise(F.concat(F.lit("2024-09-"), day)).alias("date"),
+        F.col("text").alias("comments"),
+        F.col("source").alias("_source"),
+    )
+    return rows.unionByName(rows.where(F.col("_source") == "src0")).drop("_source")
+
+
+@register()
+def build_fact_stage(spark, sf):
+    path = R.write_csv_raw(_raw_reviews(spark, sf), scratch_path(spark, "raw-reviews"))
+    raw = R.standardize_keys(R.scan_csv_raw(spark, path), "review_id", "listing_id")
+    reviews = C.clean_reviews(raw)
+    dim = S.text_listings(spark, sf)
+    return C.build_fact_stage(reviews, dim)
+
+
+def _events_by_day(spark, sf) -> DataFrame:
+    e = S.read_table(spark, sf, "events")
+    return e.select("event_id", "event_type", "value", F.to_date("ts").alias("ds"))
+
+
+@register()
+def write_partition(spark, sf):
+    """Write every day, then rewrite the first day with its clicks only:
+    the other days must survive (dynamic partition overwrite)."""
+    root = scratch_path(spark, "events")
+    ev = _events_by_day(spark, sf)
+    CU.write_partition(ev, root)
+    first = ev.agg(F.min("ds")).first()[0]
+    CU.write_partition(ev.where((F.col("ds") == F.lit(first)) & (F.col("event_type") == "click"))
+                       .drop("ds"), root, first)
+    return spark.read.parquet(root).select("event_id", "event_type", "ds")
+
+
+@register()
+def scan_curated_partition(spark, sf):
+    root = scratch_path(spark, "events")
+    ev = _events_by_day(spark, sf)
+    CU.write_partition(ev, root)
+    first = ev.agg(F.min("ds")).first()[0]
+    return CU.scan_curated_partition(spark, root, first).select("event_id", "event_type", "value", "ds")
+
+
+@register()
+def resolve_ds(spark, sf):
+    """Ask for a day that does not exist: the latest day is used instead."""
+    root = scratch_path(spark, "events")
+    CU.write_partition(_events_by_day(spark, sf), root)
+    day = CU.resolve_ds(spark, root, requested="1999-12-31")
+    return (CU.scan_curated_partition(spark, root, day)
+            .groupBy("ds").agg(F.count(F.lit(1)).alias("events")))
+
+
+@register()
+def load_snapshot(spark, sf):
+    """Two days of dim_listing (day two re-priced by +100); load day two."""
+    root = scratch_path(spark, "dim_listing")
+    day1 = S.listings_from_part(spark, sf)
+    day2 = day1.withColumn("price", F.col("price") + 100).withColumn(
+        "price_bucket", X.price_bucket(F.col("price")))
+    CU.write_partition(day1, root, "2024-09-01")
+    CU.write_partition(day2, root, "2024-09-02")
+    snap = CU.load_snapshot(spark, root, "dim_listing", "2024-09-02")
+    return snap.select("listing_id", "host_id", "price", "price_bucket", "review_scores_rating", "city")
+
+
+@register()
+def write_scored(spark, sf):
+    root = scratch_path(spark, "fact_reviews")
+    stage = _text_stage(spark, sf)
+    scored = SC.lexicon_score(stage, "comments")
+    CU.write_scored(scored, root, "2024-09-01")
+    back = CU.load_snapshot(spark, root, "fact_reviews", "2024-09-01")
+    return back.select("review_id", "tokens_ct", "sentiment_label", "sentiment_score")
