@@ -57,21 +57,25 @@ PRIMARY_KEYS = {
 }
 
 
-def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Select exactly the contract's columns, in order, with its types.
-
-    Missing columns become typed NULLs (the load of a column that the writer
-    did not produce, e.g. ``rating``); extra columns are dropped.  Casts are
-    ``try_cast`` so a bad value is NULL, never a failed job.
-    """
+def conform_columns(df: DataFrame, schema: T.StructType) -> list:
+    """The contract's columns as expressions over ``df`` (see ``conform``)."""
     have = set(df.columns)
     cols = []
     for f in schema.fields:
         if f.name in have:
             c = F.col(f.name)
-            src = df.schema[f.name].dataType
-            c = c if src == f.dataType else c.try_cast(f.dataType)
+            c = c if df.schema[f.name].dataType == f.dataType else c.try_cast(f.dataType)
         else:
             c = F.lit(None).cast(f.dataType)
         cols.append(c.alias(f.name))
-    return df.select(*cols)
+    return cols
+
+
+def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """Select exactly the contract's columns, in order, with its types.
+
+    Missing columns become typed NULLs (the load of a column that the writer
+    did not produce, e.g. ``rating``); extra columns are dropped.  Casts are
+    ``try_cast`` so a bad value is NULL, never a failed job.
+    """
+    return df.select(*conform_columns(df, schema))

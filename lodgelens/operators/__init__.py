@@ -1 +1 @@
-"""lodgelens operators."""
+"""DataFrame operators: curation, analyses, ad-hoc queries, gates, sampling, scoring."""

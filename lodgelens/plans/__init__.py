@@ -1 +1 @@
-"""lodgelens plans."""
+"""Job plans: the daily pipeline and the registered query catalog."""

@@ -1 +1,3 @@
-"""lodgelens streaming."""
+"""Incremental processing of newly landed stage days (Structured Streaming)."""
+
+from lodgelens.streaming.incremental import score_new_days  # noqa: F401
