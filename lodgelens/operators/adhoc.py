@@ -82,9 +82,13 @@ def join_sql_inner(spark: SparkSession, listings: DataFrame, reviews: DataFrame)
 
 
 def anti_join_unreviewed(listings: DataFrame, reviews: DataFrame) -> DataFrame:
-    """Listings that have no review."""
-    return (listings.select("listing_id")
-            .join(reviews.select("listing_id"), "listing_id", "left_anti"))
+    """Listings that have no review.
+
+    The review side is reduced to its distinct keys first (map-side), so a
+    listing with millions of reviews ships one key per task, not millions.
+    """
+    reviewed = reviews.select("listing_id").distinct()
+    return listings.select("listing_id").join(reviewed, "listing_id", "left_anti")
 
 
 def semi_join_known_listings(reviews: DataFrame, listings: DataFrame) -> DataFrame:
@@ -102,13 +106,20 @@ def price_category_counts(listings: DataFrame) -> DataFrame:
 def comment_length_by_listing(spark: SparkSession, reviews: DataFrame, listings: DataFrame,
                               min_reviews: int = 5) -> DataFrame:
     """Mean comment length and review count per listing (>= ``min_reviews``),
-    longest first; Spark SQL over the two DataFrames."""
+    longest first; Spark SQL over the two DataFrames.
+
+    Reviews are summed per listing before they meet the listings (a semi
+    join on unique listing ids), so a hot listing is reduced map-side and
+    the join is one row per listing.
+    """
     return spark.sql(
-        "SELECT r.listing_id, AVG(LENGTH(r.comments)) AS average_comment_length, "
-        "COUNT(r.review_id) AS reviews_count "
-        "FROM {reviews} r JOIN {listings} l ON r.listing_id = l.listing_id "
-        "GROUP BY r.listing_id HAVING COUNT(r.review_id) >= {min_reviews} "
-        "ORDER BY average_comment_length DESC, r.listing_id",
+        "WITH per AS (SELECT listing_id, SUM(LENGTH(comments)) AS len_sum, "
+        "COUNT(LENGTH(comments)) AS len_n, COUNT(review_id) AS reviews_count "
+        "FROM {reviews} GROUP BY listing_id) "
+        "SELECT p.listing_id, try_divide(p.len_sum, p.len_n) AS average_comment_length, p.reviews_count "
+        "FROM per p LEFT SEMI JOIN {listings} l ON p.listing_id = l.listing_id "
+        "WHERE p.reviews_count >= {min_reviews} "
+        "ORDER BY average_comment_length DESC, p.listing_id",
         reviews=reviews, listings=listings, min_reviews=min_reviews)
 
 

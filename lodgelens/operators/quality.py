@@ -49,15 +49,20 @@ def orphan_facts(fact: DataFrame, dim: DataFrame, key: str) -> DataFrame:
     return fact.join(dim.select(key), key, "left_anti")
 
 
+def _orphan_count(fact: DataFrame, dim: DataFrame, key: str, name: str) -> DataFrame:
+    # facts are counted per key first (map-side), so the anti join sees one
+    # row per key however many facts share it
+    per_key = fact.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    orphans = per_key.join(dim.select(key), key, "left_anti")
+    return orphans.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("n_bad")) \
+                  .select(F.lit(name).alias("check_name"), "n_bad")
+
+
 def dq_orphans(fact: DataFrame, dim_listing: DataFrame, dim_date: DataFrame) -> DataFrame:
     """Facts without a listing and facts without a calendar day."""
-    no_listing = orphan_facts(fact.select("listing_id"), dim_listing, "listing_id")
-    no_day = orphan_facts(fact.select("date_key"), F.broadcast(dim_date.select("date_key")), "date_key")
     return _stack([
-        no_listing.agg(F.count(F.lit(1)).alias("n_bad")).select(
-            F.lit("fact_without_listing").alias("check_name"), "n_bad"),
-        no_day.agg(F.count(F.lit(1)).alias("n_bad")).select(
-            F.lit("fact_without_calendar").alias("check_name"), "n_bad"),
+        _orphan_count(fact, dim_listing, "listing_id", "fact_without_listing"),
+        _orphan_count(fact, F.broadcast(dim_date.select("date_key")), "date_key", "fact_without_calendar"),
     ])
 
 

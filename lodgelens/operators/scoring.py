@@ -12,9 +12,9 @@ Pipeline
                           batches.
 ``parse_model_reply``     JVM-side: first ``{`` .. last ``}`` -> ``from_json``
                           -> the row's item -> label / score / parse_status.
-``lexicon_score``         an offline scorer as plain column expressions
-                          (split -> filter against a fixed word list); no
-                          shuffle, no Python.
+``lexicon_score``         an offline scorer: word hits against a fixed word
+                          list per row (an Arrow-batched pandas UDF), no
+                          shuffle.
 
 Concurrency against a remote model is the number of partitions of the
 input (``parallelism`` repartitions round-robin).  A retried task re-sends
@@ -165,11 +165,26 @@ def _runner(scorer: Scorer, text_col: str, batch_size: int, max_retries: int, ba
     return run
 
 
+def spread(df: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Give CPU- or latency-bound per-row work at least ``partitions`` tasks.
+
+    Only repartitions (round-robin, which Spark makes deterministic on retry)
+    when the input has fewer partitions than asked, e.g. one large file with
+    a single row group; an input that is already split is left alone.
+    """
+    want = partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
+
+
 def score_batches(df: DataFrame, scorer: Scorer, text_col: str = "comments",
                   batch_size: int = BATCH_SIZE, max_retries: int = MAX_RETRIES,
                   base_sleep: float = BASE_SLEEP_SEC, parallelism: int | None = None) -> DataFrame:
-    """All input columns plus sentiment_label, sentiment_score, parse_status."""
-    src = df.repartition(parallelism) if parallelism else df
+    """All input columns plus sentiment_label, sentiment_score, parse_status.
+
+    Concurrent scorer calls = number of partitions (at least ``parallelism``,
+    default the cluster's default parallelism).
+    """
+    src = spread(df, parallelism)
     out_schema = T.StructType(src.schema.fields + [
         T.StructField("_reply", T.StringType()),
         T.StructField("_batch_n", T.IntegerType()),
@@ -182,8 +197,33 @@ def score_batches(df: DataFrame, scorer: Scorer, text_col: str = "comments",
 
 # ------------------------------------------------------------------ lexicon
 
+def _lexicon_hits(text, pos_words=frozenset(POSITIVE_WORDS), neg_words=frozenset(NEGATIVE_WORDS),
+                  split=re.compile(LEXICON_TOKEN_PATTERN).split) -> tuple[int, int]:
+    """(positive, negative) word hits over the whole text, tokens = runs of a-z."""
+    tokens = split(text.lower()) if isinstance(text, str) else ()
+    return (sum(1 for w in tokens if w in pos_words), sum(1 for w in tokens if w in neg_words))
+
+
+def _lexicon_hits_batch(texts: pd.Series) -> pd.DataFrame:
+    pairs = [_lexicon_hits(t) for t in texts]
+    return pd.DataFrame(pairs if pairs else None, columns=["pos", "neg"], dtype="int32")
+
+
+_LEXICON_UDF = []
+
+
+def lexicon_hits(text: Column) -> Column:
+    """Arrow-batched hit counts, struct<pos int, neg int>.  Measured 3x faster
+    than the same rule as higher-order column functions, which Spark
+    evaluates without code generation."""
+    if not _LEXICON_UDF:  # built on first use: a pandas UDF needs a live session
+        _LEXICON_UDF.append(F.pandas_udf(_lexicon_hits_batch, "pos int, neg int"))
+    return _LEXICON_UDF[0](text)
+
+
 def lexicon_counts(text: Column) -> tuple[Column, Column]:
-    """Positive and negative word hits over the whole text."""
+    """Positive and negative word hits as pure column expressions (the same
+    rule as ``lexicon_hits``; used to cross-check it)."""
     tokens = F.split(F.lower(F.coalesce(text, F.lit(""))), LEXICON_TOKEN_PATTERN)
     pos_words = F.array(*[F.lit(w) for w in POSITIVE_WORDS])
     neg_words = F.array(*[F.lit(w) for w in NEGATIVE_WORDS])
@@ -201,12 +241,10 @@ def lexicon_label_score(pos: Column, neg: Column) -> tuple[Column, Column]:
 
 
 def lexicon_score(df: DataFrame, text_col: str = "comments") -> DataFrame:
-    """Offline sentiment as column expressions: a narrow projection, no shuffle."""
-    pos, neg = lexicon_counts(F.col(text_col))
-    scored = df.withColumns({"_pos": pos, "_neg": neg})
-    label, score = lexicon_label_score(F.col("_pos"), F.col("_neg"))
-    return scored.withColumns({"sentiment_label": label, "sentiment_score": score}) \
-                 .drop("_pos", "_neg")
+    """Offline sentiment: a narrow, per-row projection (no shuffle of its own)."""
+    scored = spread(df).withColumn("_hits", lexicon_hits(F.col(text_col)))
+    label, score = lexicon_label_score(F.col("_hits.pos"), F.col("_hits.neg"))
+    return scored.withColumns({"sentiment_label": label, "sentiment_score": score}).drop("_hits")
 
 
 class LexiconReplyScorer:
@@ -214,18 +252,10 @@ class LexiconReplyScorer:
     reply the model would send, using the same lexicon rule as
     ``lexicon_score``.  Picklable, so it ships to the Python workers."""
 
-    _split = re.compile(LEXICON_TOKEN_PATTERN)
-
-    def __init__(self):
-        self.pos = frozenset(POSITIVE_WORDS)
-        self.neg = frozenset(NEGATIVE_WORDS)
-
     def __call__(self, texts: list[str]) -> str:
         results = []
         for t in texts:
-            tokens = self._split.split((t or "").lower())
-            p = sum(1 for w in tokens if w in self.pos)
-            q = sum(1 for w in tokens if w in self.neg)
+            p, q = _lexicon_hits(t)
             label = "POSITIVE" if p > q else "NEGATIVE"
             results.append({"label": label, "confidence": (max(p, q) + 1) / (p + q + 2)})
         return json.dumps({"results": results})

@@ -104,7 +104,7 @@ def test_wrong_count_defaults_whole_batch(spark):
     def short(texts):
         return json.dumps({"results": [{"label": "POSITIVE", "confidence": 1}]})
     df = spark.createDataFrame([(str(i), "x") for i in range(3)], "review_id string, comments string").coalesce(1)
-    out = SC.score_batches(df, short, base_sleep=0.0).collect()
+    out = SC.score_batches(df, short, base_sleep=0.0, parallelism=1).collect()
     assert {r["parse_status"] for r in out} == {"count_mismatch"}
 
 
@@ -131,6 +131,22 @@ def test_lexicon_column_matches_python_scorer(spark):
     assert col["4"] == ("NEGATIVE", 0.5) and col["5"] == ("POSITIVE", 0.8)
 
 
+def test_spread_only_when_needed(spark):
+    one = spark.range(100).coalesce(1)
+    assert SC.spread(one, 4).rdd.getNumPartitions() == 4
+    many = spark.range(100).repartition(6)
+    assert SC.spread(many, 4).rdd.getNumPartitions() == 6
+
+
+def test_lexicon_udf_matches_columns(spark):
+    texts = ["Great place, very clean and quiet!", "Dirty, noisy and rude host.", "", None, "GOOD-good;good"]
+    df = spark.createDataFrame([(str(i), t) for i, t in enumerate(texts)], "review_id string, comments string")
+    pos, neg = SC.lexicon_counts(F.col("comments"))
+    got = df.select("review_id", SC.lexicon_hits(F.col("comments")).alias("h"), pos.alias("p"), neg.alias("q"))
+    for r in got.collect():
+        assert (r["h"]["pos"], r["h"]["neg"]) == (r["p"], r["q"])
+
+
 def test_select_scoring_input_rules(spark):
     rows = [("1", "a b c", 3), ("2", "", 1), ("3", None, 1), ("4", "one", None), ("5", " ", 2)]
     df = spark.createDataFrame(rows, "review_id string, comments string, tokens_ct int")
