@@ -59,12 +59,12 @@ PRIMARY_KEYS = {
 
 def conform_columns(df: DataFrame, schema: T.StructType) -> list:
     """The contract's columns as expressions over ``df`` (see ``conform``)."""
-    have = set(df.columns)
+    have = {f.name: f.dataType for f in df.schema.fields}  # one schema round trip
     cols = []
     for f in schema.fields:
         if f.name in have:
             c = F.col(f.name)
-            c = c if df.schema[f.name].dataType == f.dataType else c.try_cast(f.dataType)
+            c = c if have[f.name] == f.dataType else c.try_cast(f.dataType)
         else:
             c = F.lit(None).cast(f.dataType)
         cols.append(c.alias(f.name))

@@ -51,8 +51,10 @@ def build_dim_date(dates: DataFrame, date_col: str = "review_date") -> DataFrame
 
 def clean_listings(listings: DataFrame) -> DataFrame:
     """Parse the raw (all-string) listing columns into typed curated columns."""
+    present = set(listings.columns)  # one schema round trip
+
     def col_or_null(name: str) -> Column:
-        return F.col(name) if name in listings.columns else F.lit(None).cast("string")
+        return F.col(name) if name in present else F.lit(None).cast("string")
 
     bath_text = col_or_null("bathrooms_text")
     cols = {

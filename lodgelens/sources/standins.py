@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodgelens.contracts import DIM_LISTING, conform
+from lodgelens.contracts import DIM_LISTING
 from lodgelens.functions import exprs as X
 from lodgelens.session import table_path
 
@@ -27,6 +27,47 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
 
 
+# The part -> listing projection, as SQL expressions in contract order.  One
+# ``selectExpr`` is parsed in the JVM in a single pass, which keeps planning
+# cheap (each DataFrame-API call is a round trip from Python).
+_PART_LISTING_EXPRS = [
+    "CAST(p_partkey AS STRING) AS listing_id",
+    "p_partkey % 100 AS host_id",
+    f"'{DEFAULT_STATE}' AS state",
+    f"'{DEFAULT_COUNTRY}' AS country",
+    "p_type AS property_type",
+    "p_type AS room_type",
+    "p_size % 8 + 1 AS capacity",
+    "CAST(CAST(round(p_retailprice * 10) AS BIGINT) - 9000 AS DOUBLE) * 0.5D AS price",
+    "CAST(p_size % 7 AS DOUBLE) * 0.5D AS bathrooms",
+    "p_size % 5 AS bedrooms",
+    "p_size % 4 + 1 AS beds",
+    "p_brand AS neighbourhood_cleansed",
+    "p_type AS neighbourhood_group_cleansed",
+    "51.25D + CAST(p_partkey % 64 AS DOUBLE) * 0.0078125D AS latitude",
+    "-0.5D + CAST(p_partkey % 128 AS DOUBLE) * 0.0078125D AS longitude",
+    "p_size % 7 + 1 AS minimum_nights",
+    "365 AS maximum_nights",
+    "p_size % 31 AS availability_30",
+    "p_size % 61 AS availability_60",
+    "p_size % 91 AS availability_90",
+    "(p_size * 7) % 366 AS availability_365",
+    "p_size AS number_of_reviews",
+    "p_size % 13 AS number_of_reviews_ltm",
+    "p_size % 3 AS number_of_reviews_l30d",
+    "1.0D + CAST(p_size % 17 AS DOUBLE) * 0.25D AS review_scores_rating",
+    "CASE WHEN p_size % 7 = 0 THEN CAST(NULL AS BOOLEAN) ELSE p_size % 2 = 0 END AS host_is_superhost",
+    "'within a day' AS host_response_time",
+    "CAST((p_size * 2) % 101 AS DOUBLE) AS host_response_rate",
+    "CAST((p_size * 3) % 101 AS DOUBLE) AS host_acceptance_rate",
+    "p_partkey % 3 = 0 AS instant_bookable",
+    "size(split(p_name, ' ')) AS amenities_count",
+    "CAST(NULL AS TIMESTAMP) AS created_at",
+    "CAST(p_partkey % 25 AS INT) AS _city_key",
+]
+_LISTING_ORDER = [f.name for f in DIM_LISTING.fields]
+
+
 def listings_from_part(spark: SparkSession, sf_dir: str, with_city: bool = False) -> DataFrame:
     """``dim_listing``-shaped stand-in: one listing per part.
 
@@ -35,53 +76,15 @@ def listings_from_part(spark: SparkSession, sf_dir: str, with_city: bool = False
     five bands); rating in quarter steps 1..5; superhost NULL for p_size % 7 = 0.
     ``with_city`` names the city after nation ``p_partkey % 25`` (25 cities).
     """
-    p = read_table(spark, sf_dir, "part")
-    size = F.col("p_size")
-    price = ((F.round(F.col("p_retailprice") * 10).cast("long") - 9000).cast("double") * 0.5)
-    df = p.select(
-        F.col("p_partkey").cast("string").alias("listing_id"),
-        (F.col("p_partkey") % 100).alias("host_id"),
-        F.lit(DEFAULT_STATE).alias("state"),
-        F.lit(DEFAULT_COUNTRY).alias("country"),
-        F.col("p_type").alias("property_type"),
-        F.col("p_type").alias("room_type"),
-        (size % 8 + 1).alias("capacity"),
-        price.alias("price"),
-        X.price_bucket(price).alias("price_bucket"),
-        ((size % 7).cast("double") * 0.5).alias("bathrooms"),
-        (size % 5).alias("bedrooms"),
-        (size % 4 + 1).alias("beds"),
-        F.col("p_brand").alias("neighbourhood_cleansed"),
-        F.col("p_type").alias("neighbourhood_group_cleansed"),
-        (F.lit(51.25) + (F.col("p_partkey") % 64).cast("double") * 0.0078125).alias("latitude"),
-        (F.lit(-0.5) + (F.col("p_partkey") % 128).cast("double") * 0.0078125).alias("longitude"),
-        (size % 7 + 1).alias("minimum_nights"),
-        F.lit(365).alias("maximum_nights"),
-        (size % 31).alias("availability_30"),
-        (size % 61).alias("availability_60"),
-        (size % 91).alias("availability_90"),
-        ((size * 7) % 366).alias("availability_365"),
-        size.alias("number_of_reviews"),
-        (size % 13).alias("number_of_reviews_ltm"),
-        (size % 3).alias("number_of_reviews_l30d"),
-        (F.lit(1.0) + (size % 17).cast("double") * 0.25).alias("review_scores_rating"),
-        F.when(size % 7 == 0, F.lit(None).cast("boolean")).otherwise(size % 2 == 0)
-         .alias("host_is_superhost"),
-        F.lit("within a day").alias("host_response_time"),
-        ((size * 2) % 101).cast("double").alias("host_response_rate"),
-        ((size * 3) % 101).cast("double").alias("host_acceptance_rate"),
-        (F.col("p_partkey") % 3 == 0).alias("instant_bookable"),
-        F.size(F.split(F.col("p_name"), " ")).alias("amenities_count"),
-        F.lit(None).cast("timestamp").alias("created_at"),
-        (F.col("p_partkey") % 25).cast("int").alias("_city_key"),
-    )
+    df = read_table(spark, sf_dir, "part").selectExpr(*_PART_LISTING_EXPRS)
+    df = df.withColumn("price_bucket", X.price_bucket(F.col("price")))
     if with_city:
-        nation = read_table(spark, sf_dir, "nation").select(
-            F.col("n_nationkey").alias("_city_key"), F.col("n_name").alias("city"))
+        nation = read_table(spark, sf_dir, "nation").selectExpr(
+            "n_nationkey AS _city_key", "n_name AS city")
         df = df.join(nation, "_city_key", "left")
     else:
         df = df.withColumn("city", F.lit(DEFAULT_CITY))
-    return conform(df, DIM_LISTING)
+    return df.select(*_LISTING_ORDER)
 
 
 def listings_from_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -101,6 +104,19 @@ def listings_from_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_LINEITEM_REVIEW_EXPRS = [
+    "concat_ws('-', CAST(l_orderkey AS STRING), CAST(l_linenumber AS STRING)) AS review_id",
+    "CAST(l_partkey AS STRING) AS listing_id",
+    "CAST(year(l_shipdate) * 10000 + month(l_shipdate) * 100 + dayofmonth(l_shipdate) AS INT) AS date_key",
+    "CAST(NULL AS INT) AS rating",
+    "CAST(NULL AS STRING) AS comments",
+    "CAST(NULL AS INT) AS tokens_ct",
+    "CASE WHEN l_returnflag = 'N' THEN 'POSITIVE' ELSE 'NEGATIVE' END AS sentiment_label",
+    "CAST(CAST(round(l_discount * 100) AS INT) AS DOUBLE) / 16.0D AS sentiment_score",
+    "to_date(l_shipdate) AS review_date",
+]
+
+
 def reviews_from_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``fact_reviews``-shaped stand-in: one review per line item.
 
@@ -108,22 +124,7 @@ def reviews_from_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     listing = part; date = ship date; label POSITIVE when l_returnflag = 'N';
     score = round(l_discount * 100) / 16 (exact sixteenths).
     """
-    li = read_table(spark, sf_dir, "lineitem")
-    review_date = F.to_date(F.col("l_shipdate"))
-    return li.select(
-        F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"))
-         .alias("review_id"),
-        F.col("l_partkey").cast("string").alias("listing_id"),
-        X.date_key(review_date).alias("date_key"),
-        F.lit(None).cast("int").alias("rating"),
-        F.lit(None).cast("string").alias("comments"),
-        F.lit(None).cast("int").alias("tokens_ct"),
-        F.when(F.col("l_returnflag") == "N", F.lit("POSITIVE")).otherwise(F.lit("NEGATIVE"))
-         .alias("sentiment_label"),
-        (F.round(F.col("l_discount") * 100).cast("int").cast("double") / 16.0)
-         .alias("sentiment_score"),
-        review_date.alias("review_date"),
-    )
+    return read_table(spark, sf_dir, "lineitem").selectExpr(*_LINEITEM_REVIEW_EXPRS)
 
 
 def reviews_by_order(spark: SparkSession, sf_dir: str) -> DataFrame:
