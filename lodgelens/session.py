@@ -15,15 +15,38 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-DEFAULT_CONF = {
+# SQL settings that can be applied to a running session (see ``apply_sql_conf``).
+#
+# Broadcast joins are decided only on sizes AQE *measures* at run time: the
+# static threshold is off because plan-time estimates are unreliable (without
+# table statistics a join is estimated as the product of its inputs, so a
+# dimension joined to a lookup looks huge while an aggregated fact table may
+# look small).  Beyond the runtime threshold the join stays a sort-merge join,
+# whose skewed partitions AQE splits.
+SQL_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32m",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+}
+
+DEFAULT_CONF = dict(SQL_CONF, **{
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
-}
+    # A session that serves many different queries keeps their compiled
+    # stages: the default 100-entry cache recompiles on every query.
+    "spark.sql.codegen.cache.maxEntries": "2000",
+})
+
+
+def apply_sql_conf(spark: SparkSession) -> SparkSession:
+    """Apply the runtime SQL settings to an existing session."""
+    for k, v in SQL_CONF.items():
+        spark.conf.set(k, v)
+    return spark
 
 
 def build_session(master: str | None = None, app: str = "lodgelens",
