@@ -7,10 +7,13 @@ whole).  Names follow the curated schema.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodgelens.functions import exprs as X
+from lodgelens.operators.analysis import register_views
 
 
 def filter_column_vs_column(listings: DataFrame) -> DataFrame:
@@ -74,11 +77,16 @@ def join_listing_reviews(listings: DataFrame, reviews: DataFrame) -> DataFrame:
 
 
 def join_sql_inner(spark: SparkSession, listings: DataFrame, reviews: DataFrame) -> DataFrame:
-    """The same inner join written in Spark SQL over the two DataFrames."""
+    """The same inner join written in Spark SQL over registered temp views.
+
+    View names carry a unique suffix so concurrent callers in one session do
+    not replace each other's views.
+    """
+    suffix = uuid.uuid4().hex[:8]
+    r_name, l_name = register_views({f"reviews_{suffix}": reviews, f"listings_{suffix}": listings})
     return spark.sql(
-        "SELECT r.listing_id, r.review_id, length(r.comments) AS comment_length "
-        "FROM {reviews} r JOIN {listings} l ON r.listing_id = l.listing_id",
-        reviews=reviews, listings=listings)
+        f"SELECT r.listing_id, r.review_id, length(r.comments) AS comment_length "
+        f"FROM {r_name} r JOIN {l_name} l ON r.listing_id = l.listing_id")
 
 
 def anti_join_unreviewed(listings: DataFrame, reviews: DataFrame) -> DataFrame:

@@ -20,6 +20,7 @@ from lodgelens.functions import exprs as X
 from lodgelens.operators import quality as Q
 from lodgelens.operators import sampling as SM
 from lodgelens.operators import scoring as SC
+from lodgelens.plans import pipeline as P
 from lodgelens.session import scratch_path
 from lodgelens.sources import curated as CU
 from lodgelens.sources import raw as R
@@ -571,3 +572,44 @@ def write_scored(spark, sf):
     CU.write_scored(scored, root, "2024-09-01")
     back = CU.load_snapshot(spark, root, "fact_reviews", "2024-09-01")
     return back.select("review_id", "tokens_ct", "sentiment_label", "sentiment_score")
+
+
+@register()
+def preview(spark, sf):
+    root = scratch_path(spark, "dim_listing")
+    CU.write_partition(S.listings_from_part(spark, sf), root, "2024-09-01")
+    return CU.preview(spark, root, "2024-09-01", "listing_id").select(
+        "listing_id", "host_id", "price", "price_bucket", "room_type")
+
+
+@register()
+def quality_report(spark, sf):
+    return Q.quality_report(_listing(spark, sf), _review_calendar(spark, sf), _fact(spark, sf))
+
+
+# ------------------------------------------------------------ the daily job
+def _land_raw_day(spark, sf) -> str:
+    """One raw drop (listings from ``part``, reviews from ``documents``)."""
+    raw = scratch_path(spark, "raw")
+    R.write_csv_raw(_raw_listings(spark, sf), f"{raw}/listings")
+    R.write_csv_raw(_raw_reviews(spark, sf), f"{raw}/reviews")
+    return raw
+
+
+@register()
+def curate_day(spark, sf):
+    """Raw CSV -> the three curated tables of one day; their row counts."""
+    cur = scratch_path(spark, "curated")
+    P.curate_day(spark, _land_raw_day(spark, sf), cur, "2024-09-01")
+    return Q.dq_row_counts({t: CU.scan_curated_partition(spark, f"{cur}/{t}", "2024-09-01")
+                            for t in ("dim_listing", "dim_date", "fact_reviews_stage")})
+
+
+@register()
+def run_day(spark, sf):
+    """Curate, score (offline scorer, default cap of 1,000 rows), gate and
+    publish one day; the published fact table."""
+    cur, wh = scratch_path(spark, "curated"), scratch_path(spark, "warehouse")
+    P.run_day(spark, _land_raw_day(spark, sf), cur, wh, "2024-09-01")
+    return spark.read.parquet(f"{wh}/fact_reviews").select(
+        "review_id", "listing_id", "date_key", "tokens_ct", "sentiment_label", "sentiment_score")

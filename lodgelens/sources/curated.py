@@ -95,6 +95,11 @@ def publish_snapshot(df: DataFrame, target: str, as_table: bool = False) -> str:
     return target
 
 
+def preview(spark: SparkSession, root: str, ds, key: str, n: int = 5) -> DataFrame:
+    """The first ``n`` rows of one day of a written table, in key order."""
+    return scan_curated_partition(spark, root, ds).orderBy(key).limit(n)
+
+
 def empty_guard(df: DataFrame) -> bool:
     """True when there is nothing to process (reads at most one row)."""
     return df.isEmpty()
