@@ -433,12 +433,18 @@ def parse_model_reply(spark, sf):
 # ------------------------------------------------- sources and sinks (round trips)
 # These write to a fresh folder under spark.checkpoint.dir and read it back.
 
+
+def _raw_files(spark) -> int:
+    """Raw drops land as several files, as real drops do: a multi-line CSV
+    file is read by one task, so the file count is the scan's parallelism."""
+    return spark.sparkContext.defaultParallelism
+
 @register()
 def scan_csv_raw(spark, sf):
     d = S.read_table(spark, sf, "documents")
     raw = d.select(F.col("doc_id").alias(" Doc_ID "), F.col("text").alias("Text"),
                    F.col("n_chars").alias("N_Chars "))
-    path = R.write_csv_raw(raw, scratch_path(spark, "raw-documents"))
+    path = R.write_csv_raw(raw, scratch_path(spark, "raw-documents"), _raw_files(spark))
     back = R.scan_csv_raw(spark, path)
     return back.select("doc_id", "text", X.parse_long(F.col("n_chars")).alias("n_chars"),
                        F.col(R.CORRUPT_COL).isNotNull().alias("corrupt"))
@@ -479,7 +485,7 @@ def _raw_listings(spark, sf) -> DataFrame:
 
 @register()
 def build_dim_listing(spark, sf):
-    path = R.write_csv_raw(_raw_listings(spark, sf), scratch_path(spark, "raw-listings"))
+    path = R.write_csv_raw(_raw_listings(spark, sf), scratch_path(spark, "raw-listings"), _raw_files(spark))
     raw = R.standardize_keys(R.scan_csv_raw(spark, path), "listing_id")
     dim = C.build_dim_listing(raw)
     return dim.select("listing_id", "host_id", "city", "state", "country", "property_type",
@@ -507,7 +513,7 @@ def _raw_reviews(spark, sf) -> DataFrame:
 
 @register()
 def build_fact_stage(spark, sf):
-    path = R.write_csv_raw(_raw_reviews(spark, sf), scratch_path(spark, "raw-reviews"))
+    path = R.write_csv_raw(_raw_reviews(spark, sf), scratch_path(spark, "raw-reviews"), _raw_files(spark))
     raw = R.standardize_keys(R.scan_csv_raw(spark, path), "review_id", "listing_id")
     reviews = C.clean_reviews(raw)
     dim = S.text_listings(spark, sf)
@@ -591,8 +597,8 @@ def quality_report(spark, sf):
 def _land_raw_day(spark, sf) -> str:
     """One raw drop (listings from ``part``, reviews from ``documents``)."""
     raw = scratch_path(spark, "raw")
-    R.write_csv_raw(_raw_listings(spark, sf), f"{raw}/listings")
-    R.write_csv_raw(_raw_reviews(spark, sf), f"{raw}/reviews")
+    R.write_csv_raw(_raw_listings(spark, sf), f"{raw}/listings", _raw_files(spark))
+    R.write_csv_raw(_raw_reviews(spark, sf), f"{raw}/reviews", _raw_files(spark))
     return raw
 
 

@@ -11,9 +11,11 @@ from __future__ import annotations
 import dataclasses
 import datetime as _dt
 from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.util import inheritable_thread_target
 
 from lodgelens.contracts import FACT_REVIEWS, conform_columns
 from lodgelens.operators import curate as C
@@ -49,6 +51,20 @@ def _root(base: str, table: str) -> str:
     return f"{base.rstrip('/')}/{table}"
 
 
+def _together(spark: SparkSession, *actions: Callable[[], object]) -> list:
+    """Submit independent Spark actions as concurrent jobs.
+
+    Each action is its own job; running them side by side keeps the cluster
+    busy while one of them is in a narrow stage.  Threads inherit the
+    caller's job properties (pinned-thread mode).
+    """
+    if len(actions) == 1:
+        return [actions[0]()]
+    with ThreadPoolExecutor(max_workers=len(actions)) as pool:
+        futures = [pool.submit(inheritable_thread_target(spark)(a)) for a in actions]
+        return [f.result() for f in futures]
+
+
 def curate_day(spark: SparkSession, raw_root: str, curated_root: str, ds,
                loaded_at: _dt.datetime | None = None) -> dict[str, str]:
     """Raw listings/reviews CSV -> dim_listing, dim_date, fact_reviews_stage for ``ds``."""
@@ -56,18 +72,21 @@ def curate_day(spark: SparkSession, raw_root: str, curated_root: str, ds,
     listings = R.standardize_keys(R.scan_csv_raw(spark, _root(raw_root, "listings")), "listing_id")
     reviews = R.standardize_keys(R.scan_csv_raw(spark, _root(raw_root, "reviews")),
                                  "review_id", "listing_id")
-    out = {}
-    out["dim_listing"] = CU.write_partition(C.build_dim_listing(listings, loaded_at),
-                                            _root(curated_root, "dim_listing"), ds)
-    dim_listing = CU.scan_curated_partition(spark, _root(curated_root, "dim_listing"), ds)
-    # Used twice (calendar and facts): a reliable checkpoint in the shared
-    # folder, so neither the CSV scan nor the de-duplication runs again.
-    reviews_clean = C.clean_reviews(reviews).checkpoint(eager=True)
-    out["dim_date"] = CU.write_partition(C.build_dim_date(reviews_clean),
-                                         _root(curated_root, "dim_date"), ds)
-    out["fact_reviews_stage"] = CU.write_partition(C.build_fact_stage(reviews_clean, dim_listing),
-                                                   _root(curated_root, "fact_reviews_stage"), ds)
-    return out
+    listing_root = _root(curated_root, "dim_listing")
+    # Reviews feed both the calendar and the facts: a reliable checkpoint in
+    # the shared folder, so neither the CSV scan nor the de-duplication runs
+    # again.  It is independent of the listing write, so both run at once.
+    wrote_listing, reviews_clean = _together(
+        spark,
+        lambda: CU.write_partition(C.build_dim_listing(listings, loaded_at), listing_root, ds),
+        lambda: C.clean_reviews(reviews).checkpoint(eager=True))
+    dim_listing = CU.scan_curated_partition(spark, listing_root, ds)
+    wrote_date, wrote_stage = _together(
+        spark,
+        lambda: CU.write_partition(C.build_dim_date(reviews_clean), _root(curated_root, "dim_date"), ds),
+        lambda: CU.write_partition(C.build_fact_stage(reviews_clean, dim_listing),
+                                   _root(curated_root, "fact_reviews_stage"), ds))
+    return {"dim_listing": wrote_listing, "dim_date": wrote_date, "fact_reviews_stage": wrote_stage}
 
 
 def score_day(spark: SparkSession, curated_root: str, ds=None,
@@ -85,8 +104,8 @@ def score_day(spark: SparkSession, curated_root: str, ds=None,
     picked = SC.select_scoring_input(stage, max_tokens=knobs.max_tokens,
                                      sample_frac=knobs.sample_frac, max_rows=knobs.max_rows,
                                      seed=knobs.seed)
-    if CU.empty_guard(picked):
-        return day, 0
+    # No emptiness pre-check: it would run the whole selection twice.  An
+    # empty selection writes no partition and is counted as 0 below.
     if scorer is None:
         scored = SC.lexicon_score(picked).withColumn("parse_status", F.lit("ok"))
     else:
@@ -94,8 +113,12 @@ def score_day(spark: SparkSession, curated_root: str, ds=None,
                                   max_retries=knobs.max_retries, base_sleep=knobs.base_sleep,
                                   parallelism=knobs.parallelism)
     out = scored.select(*conform_columns(scored, FACT_REVIEWS), "parse_status")
-    CU.write_scored(out, _root(curated_root, "fact_reviews"), day)
-    written = CU.scan_curated_partition(spark, _root(curated_root, "fact_reviews"), day).count()
+    fact_root = _root(curated_root, "fact_reviews")
+    CU.write_scored(out, fact_root, day)
+    try:
+        written = CU.scan_curated_partition(spark, fact_root, day).count()
+    except CU.EmptyStageError:  # nothing scored yet, ever
+        written = 0
     return day, written
 
 
@@ -117,8 +140,10 @@ def gate_day(spark: SparkSession, curated_root: str, ds) -> list[dict]:
 
 def publish_day(spark: SparkSession, curated_root: str, warehouse_root: str, ds) -> dict[str, str]:
     """Replace each warehouse table with the day's snapshot (TRUNCATE + COPY)."""
-    return {name: CU.publish_snapshot(df, _root(warehouse_root, name))
-            for name, df in load_day(spark, curated_root, ds).items()}
+    tables = load_day(spark, curated_root, ds)
+    paths = _together(spark, *[(lambda n=name, d=df: CU.publish_snapshot(d, _root(warehouse_root, n)))
+                        for name, df in tables.items()])
+    return dict(zip(tables, paths))
 
 
 def run_day(spark: SparkSession, raw_root: str, curated_root: str, warehouse_root: str, ds,

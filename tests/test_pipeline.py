@@ -136,3 +136,13 @@ def test_stream_scores_each_new_day_once(spark, tmp_root, raw_day):
     score_new_days(spark, f"{cur}/fact_reviews_stage", fact, ckpt)
     per_day = {str(r.ds): r["count"] for r in spark.read.parquet(fact).groupBy("ds").count().collect()}
     assert first == 3 and per_day == {"2024-09-01": 3, "2024-09-02": 3}
+
+
+def test_score_day_with_nothing_to_score(spark, tmp_root):
+    blank = "id,listing_id,date,comments\n200,1,2024-09-01,\n"
+    raw = os.path.join(tmp_root, "raw-blank")
+    _land(raw, "listings", LISTINGS)
+    _land(raw, "reviews", blank)
+    cur = os.path.join(tmp_root, "curated")
+    P.curate_day(spark, raw, cur, "2024-09-01")
+    assert P.score_day(spark, cur, "2024-09-01") == (dt.date(2024, 9, 1), 0)
