@@ -15,7 +15,7 @@ Scale notes
   day, a size bound that does not grow with the fact table.
 * ``dim_listing`` is never broadcast by hint; AQE turns the join into a
   broadcast at run time only when the measured side is under
-  ``spark.sql.autoBroadcastJoinThreshold``.
+  ``spark.sql.adaptive.autoBroadcastJoinThreshold`` (see ``session``).
 * Every top-k ends with a unique key in the ordering, so LIMIT returns the
   same rows on every run; Spark plans it as TakeOrderedAndProject.
 * Reported rounded metrics use ``round_half_up`` (see functions.exprs).
@@ -66,19 +66,27 @@ def supply_mix(dim_listing: DataFrame) -> DataFrame:
             .orderBy(F.asc_nulls_last("room_type"), F.asc_nulls_last("price_bucket")))
 
 
-def price_landscape(dim_listing: DataFrame) -> DataFrame:
+def price_landscape(dim_listing: DataFrame, approximate: bool = False,
+                    accuracy: int = 10000) -> DataFrame:
     """Per property type: listings, mean, median and p90 of known prices.
 
     ``percentile`` is the exact, interpolating percentile (PERCENTILE_CONT);
     its partial buffer holds one counter per distinct price in a group, so it
     is bounded by the price domain rather than by the row count.
+    ``approximate`` opts into ``percentile_approx`` (a fixed-size sketch per
+    group, returns an observed value within 1/accuracy of the rank).
     """
+    if approximate:
+        q = F.percentile_approx("price", [0.5, 0.9], accuracy)
+        median, p90 = q.getItem(0), q.getItem(1)
+    else:
+        median, p90 = F.percentile("price", 0.5), F.percentile("price", 0.9)
     return (dim_listing.where(F.col("price").isNotNull())
             .groupBy("property_type")
             .agg(_n().alias("listings"),
                  X.round_half_up(F.avg("price"), 2).alias("avg_price"),
-                 X.round_half_up(F.percentile("price", 0.5), 2).alias("median_price"),
-                 X.round_half_up(F.percentile("price", 0.9), 2).alias("p90_price"))
+                 X.round_half_up(median, 2).alias("median_price"),
+                 X.round_half_up(p90, 2).alias("p90_price"))
             .orderBy(F.desc("listings"), F.asc_nulls_last("property_type")))
 
 
