@@ -619,3 +619,28 @@ def run_day(spark, sf):
     P.run_day(spark, _land_raw_day(spark, sf), cur, wh, "2024-09-01")
     return spark.read.parquet(f"{wh}/fact_reviews").select(
         "review_id", "listing_id", "date_key", "tokens_ct", "sentiment_label", "sentiment_score")
+
+
+# ------------------------------------------------- scalar rules on their own
+@register()
+def price_bucket(spark, sf):
+    return _listing(spark, sf).select("listing_id", "price", "price_bucket")
+
+
+@register()
+def date_parts(spark, sf):
+    o = S.read_table(spark, sf, "orders")
+    parts = X.date_parts(F.to_date("o_orderdate"))
+    return o.select(F.col("o_orderkey").alias("key"), *[v.alias(k) for k, v in parts.items()])
+
+
+@register()
+def days_since(spark, sf):
+    lst = S.listings_from_orders(spark, sf)
+    return lst.select("listing_id", X.days_since(F.col("first_review"), "2002-01-01").alias("days"))
+
+
+@register()
+def text_length(spark, sf):
+    d = S.read_table(spark, sf, "documents")
+    return d.select("doc_id", X.text_length(F.col("text")).alias("n_chars_text"))
