@@ -39,6 +39,7 @@ class ScoringKnobs:
     max_retries: int = SC.MAX_RETRIES
     base_sleep: float = SC.BASE_SLEEP_SEC
     parallelism: int | None = None
+    max_concurrency: int | None = None
 
 
 class GateFailure(RuntimeError):
@@ -111,7 +112,7 @@ def score_day(spark: SparkSession, curated_root: str, ds=None,
     else:
         scored = SC.score_batches(picked, scorer, batch_size=knobs.batch_size,
                                   max_retries=knobs.max_retries, base_sleep=knobs.base_sleep,
-                                  parallelism=knobs.parallelism)
+                                  parallelism=knobs.parallelism, max_concurrency=knobs.max_concurrency)
     out = scored.select(*conform_columns(scored, FACT_REVIEWS), "parse_status")
     fact_root = _root(curated_root, "fact_reviews")
     CU.write_scored(out, fact_root, day)

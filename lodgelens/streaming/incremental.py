@@ -43,7 +43,8 @@ def _score_micro_batch(fact_root: str, scorer, knobs) -> Callable[[DataFrame, in
             else:
                 scored = SC.score_batches(picked, scorer, batch_size=knobs.batch_size,
                                           max_retries=knobs.max_retries, base_sleep=knobs.base_sleep,
-                                          parallelism=knobs.parallelism)
+                                          parallelism=knobs.parallelism,
+                                          max_concurrency=knobs.max_concurrency)
             out = scored.select(*conform_columns(scored, FACT_REVIEWS), "parse_status")
             CU.write_scored(out, fact_root, day)
     return run

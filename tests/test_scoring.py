@@ -154,3 +154,12 @@ def test_select_scoring_input_rules(spark):
     assert got == ["5"]  # blank text passes the non-empty check; NULL token count drops
     got = sorted(r["review_id"] for r in SC.select_scoring_input(df, max_rows=2).collect())
     assert len(got) == 2
+
+
+def test_scorer_may_return_objects_and_concurrency_cap(spark):
+    def as_dict(texts):
+        return {"results": [{"label": "POSITIVE", "confidence": 0.5} for _ in texts]}
+    df = spark.createDataFrame([(str(i), "x") for i in range(20)], "review_id string, comments string").repartition(6)
+    out = SC.score_batches(df, as_dict, base_sleep=0.0, max_concurrency=2)
+    assert out.rdd.getNumPartitions() == 2
+    assert {(r.sentiment_label, r.parse_status) for r in out.collect()} == {("POSITIVE", "ok")}
