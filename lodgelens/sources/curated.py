@@ -35,7 +35,8 @@ def write_partition(df: DataFrame, root: str, ds=None, num_files: int | None = N
     """
     out = df.withColumn(PARTITION_COL, _ds_lit(ds)) if ds is not None else df
     if num_files:
-        out = out.repartition(num_files, PARTITION_COL)
+        # round-robin, not by day: hashing on ``ds`` would put a whole day in one task
+        out = out.repartition(num_files)
     (out.write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic")
      .partitionBy(PARTITION_COL).parquet(root))
@@ -48,6 +49,7 @@ def write_scored(scored: DataFrame, root: str, ds) -> str:
 
 
 def read_table_root(spark: SparkSession, root: str) -> DataFrame:
+    """Every day of a table (lists every file; prefer ``scan_curated_partition``)."""
     try:
         df = spark.read.parquet(root)
     except AnalysisException as e:
@@ -57,25 +59,47 @@ def read_table_root(spark: SparkSession, root: str) -> DataFrame:
     return df
 
 
+def list_days(spark: SparkSession, root: str) -> list[_dt.date]:
+    """The ``ds=`` partition directories under ``root`` (directory names only:
+    no data file is listed or opened, however many days the table holds)."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(root)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return []
+    days = []
+    for status in fs.listStatus(path):
+        name = status.getPath().getName()
+        if status.isDirectory() and name.startswith(f"{PARTITION_COL}="):
+            try:
+                days.append(_dt.date.fromisoformat(name.split("=", 1)[1]))
+            except ValueError:
+                continue
+    return sorted(days)
+
+
 def scan_curated_partition(spark: SparkSession, root: str, ds) -> DataFrame:
-    """Rows of one day; the filter is a PartitionFilter, other days are not listed."""
-    return read_table_root(spark, root).where(F.col(PARTITION_COL) == _ds_lit(ds))
+    """Rows of one day.  Only that day's directory is listed and read
+    (``basePath`` keeps ``ds`` as a column), so the cost does not grow with
+    the number of days in the table."""
+    day_path = f"{root.rstrip('/')}/{PARTITION_COL}={ds}"
+    try:
+        return spark.read.option("basePath", root).parquet(day_path)
+    except AnalysisException as e:
+        raise EmptyStageError(f"no partition {day_path}") from e
 
 
 def resolve_ds(spark: SparkSession, root: str, requested=None) -> _dt.date:
-    """The requested day if it has rows, else the latest day, else an error.
-
-    Both checks are distributed (a pruned existence test, a max over the
-    partition column); only the resulting date reaches the driver.
-    """
-    df = read_table_root(spark, root)
-    if requested is not None:
-        if not df.where(F.col(PARTITION_COL) == _ds_lit(requested)).select(PARTITION_COL).isEmpty():
-            return _dt.date.fromisoformat(str(requested))
-    latest = df.agg(F.max(PARTITION_COL).alias("ds")).first()["ds"]
-    if latest is None:
+    """The requested day if its partition exists, else the latest day, else
+    an error.  Decided from the partition directory names alone."""
+    days = list_days(spark, root)
+    if not days:
         raise EmptyStageError(f"no partitions under {root}")
-    return latest
+    if requested is not None:
+        wanted = _dt.date.fromisoformat(str(requested))
+        if wanted in days:
+            return wanted
+    return days[-1]
 
 
 def load_snapshot(spark: SparkSession, root: str, table: str, ds) -> DataFrame:

@@ -76,8 +76,18 @@ def test_scan_partition_is_pruned(spark, tmp_root):
     CU.write_partition(spark.createDataFrame([(2,)], "x int"), root, "2024-09-02")
     df = CU.scan_curated_partition(spark, root, "2024-09-02")
     plan = df._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(ds" in plan
-    assert [r.x for r in df.collect()] == [2]
+    assert "ds=2024-09-02" in plan and "ds=2024-09-01" not in plan  # only that day is listed
+    assert [(r.x, str(r.ds)) for r in df.collect()] == [(2, "2024-09-02")]
+    with pytest.raises(CU.EmptyStageError):
+        CU.scan_curated_partition(spark, root, "2024-09-03")
+
+
+def test_list_days(spark, tmp_root):
+    root = os.path.join(tmp_root, "days")
+    assert CU.list_days(spark, root) == []
+    for d in ("2024-09-03", "2024-08-30"):
+        CU.write_partition(spark.createDataFrame([(1,)], "x int"), root, d)
+    assert CU.list_days(spark, root) == [dt.date(2024, 8, 30), dt.date(2024, 9, 3)]
 
 
 def test_load_snapshot_conforms(spark, tmp_root):
