@@ -54,3 +54,12 @@ def test_dedupe_without_order_is_deterministic(spark):
     df = spark.createDataFrame(rows, "key int, val string")
     out = C.dedupe_by_key(df, "key").orderBy("key").collect()
     assert [(r.key, r.val) for r in out] == [(1, "b"), (2, "z")]
+
+
+def test_sample_cap_precut_is_exact(spark):
+    base = spark.range(0, 20000).select(F.col("id").cast("string").alias("k")).repartition(16)
+    plain = _ids(SM.sample_cap(base, 150, 3, "k", precut=False))
+    cut = _ids(SM.sample_cap(base, 150, 3, "k", precut=True))
+    assert plain == cut and len(cut) == 150
+    small = spark.range(0, 40).select(F.col("id").cast("string").alias("k"))
+    assert len(_ids(SM.sample_cap(small, 100, 3, "k", precut=True))) == 40
