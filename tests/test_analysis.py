@@ -1,6 +1,5 @@
 """Analyses on small hand-built tables (ties, NULL groups, thresholds)."""
 
-from pyspark.sql import functions as F
 
 from lodgelens.operators import analysis as AN
 

@@ -3,7 +3,6 @@
 import json
 import sys
 
-import pytest
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 

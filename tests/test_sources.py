@@ -4,7 +4,6 @@ import datetime as dt
 import os
 
 import pytest
-from pyspark.sql import functions as F
 
 from lodgelens.sources import curated as CU
 from lodgelens.sources import raw as R
