@@ -1 +1 @@
-"""Job plans: the daily pipeline and the registered query catalog."""
+"""Job plans: the daily job and the registered query catalog."""

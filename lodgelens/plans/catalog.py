@@ -20,7 +20,7 @@ from lodgelens.functions import exprs as X
 from lodgelens.operators import quality as Q
 from lodgelens.operators import sampling as SM
 from lodgelens.operators import scoring as SC
-from lodgelens.plans import pipeline as P
+from lodgelens.plans import daily as P
 from lodgelens.session import scratch_path
 from lodgelens.sources import curated as CU
 from lodgelens.sources import raw as R

@@ -56,7 +56,7 @@ def score_new_days(spark: SparkSession, stage_root: str, fact_root: str, checkpo
 
     Returns the StreamingQuery; with ``available_now`` it has already stopped.
     """
-    from lodgelens.plans.pipeline import ScoringKnobs
+    from lodgelens.plans.daily import ScoringKnobs
 
     knobs = knobs or ScoringKnobs()
     reader = spark.readStream.schema(STAGE_STREAM_SCHEMA)

@@ -11,7 +11,7 @@ from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from lodgelens.operators import analysis as AN
-from lodgelens.plans import pipeline as P
+from lodgelens.plans import daily as P
 from lodgelens.sources import curated as CU
 from lodgelens.streaming import score_new_days
 
