@@ -146,3 +146,25 @@ def test_score_day_with_nothing_to_score(spark, tmp_root):
     cur = os.path.join(tmp_root, "curated")
     P.curate_day(spark, raw, cur, "2024-09-01")
     assert P.score_day(spark, cur, "2024-09-01") == (dt.date(2024, 9, 1), 0)
+
+
+def test_stream_recovers_after_a_failed_batch(spark, tmp_root, raw_day, monkeypatch):
+    from pyspark.errors import StreamingQueryException
+
+    from lodgelens.streaming import incremental as INC
+
+    cur = os.path.join(tmp_root, "curated")
+    fact, ckpt = os.path.join(tmp_root, "facts"), os.path.join(tmp_root, "stream-ckpt")
+    P.curate_day(spark, raw_day, cur, "2024-09-01")
+    real_write = INC.CU.write_scored
+
+    def broken(*args, **kwargs):
+        raise RuntimeError("storage unavailable")
+    monkeypatch.setattr(INC.CU, "write_scored", broken)
+    with pytest.raises((StreamingQueryException, RuntimeError)):
+        score_new_days(spark, f"{cur}/fact_reviews_stage", fact, ckpt)
+    monkeypatch.setattr(INC.CU, "write_scored", real_write)
+    score_new_days(spark, f"{cur}/fact_reviews_stage", fact, ckpt)  # same checkpoint: the batch reruns
+    score_new_days(spark, f"{cur}/fact_reviews_stage", fact, ckpt)  # nothing new: no-op
+    rows = spark.read.parquet(fact).collect()
+    assert sorted(r.review_id for r in rows) == ["100", "101", "102"]
