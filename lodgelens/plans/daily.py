@@ -13,7 +13,7 @@ import datetime as _dt
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.util import inheritable_thread_target
 
@@ -70,9 +70,15 @@ def curate_day(spark: SparkSession, raw_root: str, curated_root: str, ds,
                loaded_at: _dt.datetime | None = None) -> dict[str, str]:
     """Raw listings/reviews CSV -> dim_listing, dim_date, fact_reviews_stage for ``ds``."""
     checkpoint_dir(spark)  # reviews are checkpointed below; needs the shared folder
+    # Raw row counts and malformed rows are observed while the curation jobs
+    # run (``observe``), so counting them costs no extra pass over the CSV.
+    seen = {name: Observation(f"raw_{name}") for name in ("listings", "reviews")}
     listings = R.standardize_keys(R.scan_csv_raw(spark, _root(raw_root, "listings")), "listing_id")
     reviews = R.standardize_keys(R.scan_csv_raw(spark, _root(raw_root, "reviews")),
                                  "review_id", "listing_id")
+    listings, reviews = (df.observe(seen[name], F.count(F.lit(1)).alias("rows"),
+                                    F.count_if(F.col(R.CORRUPT_COL).isNotNull()).alias("malformed"))
+                         for name, df in (("listings", listings), ("reviews", reviews)))
     listing_root = _root(curated_root, "dim_listing")
     # Reviews feed both the calendar and the facts: a reliable checkpoint in
     # the shared folder, so neither the CSV scan nor the de-duplication runs
@@ -87,7 +93,9 @@ def curate_day(spark: SparkSession, raw_root: str, curated_root: str, ds,
         lambda: CU.write_partition(C.build_dim_date(reviews_clean), _root(curated_root, "dim_date"), ds),
         lambda: CU.write_partition(C.build_fact_stage(reviews_clean, dim_listing),
                                    _root(curated_root, "fact_reviews_stage"), ds))
-    return {"dim_listing": wrote_listing, "dim_date": wrote_date, "fact_reviews_stage": wrote_stage}
+    raw = {f"{name}_{k}": v for name, o in seen.items() for k, v in o.get.items()}
+    return {"dim_listing": wrote_listing, "dim_date": wrote_date, "fact_reviews_stage": wrote_stage,
+            "raw": raw}
 
 
 def score_day(spark: SparkSession, curated_root: str, ds=None,

@@ -168,3 +168,12 @@ def test_stream_recovers_after_a_failed_batch(spark, tmp_root, raw_day, monkeypa
     score_new_days(spark, f"{cur}/fact_reviews_stage", fact, ckpt)  # nothing new: no-op
     rows = spark.read.parquet(fact).collect()
     assert sorted(r.review_id for r in rows) == ["100", "101", "102"]
+
+
+def test_curate_day_observes_raw_rows(spark, tmp_root):
+    raw = os.path.join(tmp_root, "raw-messy")
+    _land(raw, "listings", LISTINGS)
+    _land(raw, "reviews", REVIEWS + "106,1\n107,1,2024-09-01,ok,extra,fields\n")
+    out = P.curate_day(spark, raw, os.path.join(tmp_root, "curated"), "2024-09-01")
+    assert out["raw"] == {"listings_rows": 4, "listings_malformed": 0,
+                          "reviews_rows": 8, "reviews_malformed": 2}
