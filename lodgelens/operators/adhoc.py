@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from lodgelens.functions import exprs as X
 from lodgelens.operators.analysis import register_views
+from lodgelens.operators.joins import salted_join
 
 
 def filter_column_vs_column(listings: DataFrame) -> DataFrame:
@@ -69,11 +70,19 @@ def top_reviewed_listings(reviews: DataFrame, n: int = 10) -> DataFrame:
             .orderBy(F.desc("count"), F.asc_nulls_last("listing_id")).limit(n))
 
 
-def join_listing_reviews(listings: DataFrame, reviews: DataFrame) -> DataFrame:
-    """Listings with their review ids and comments (inner equi-join)."""
-    return (listings.select("listing_id")
-            .join(reviews.select("listing_id", "review_id", "comments"), "listing_id")
-            .select("listing_id", "review_id", "comments"))
+def join_listing_reviews(listings: DataFrame, reviews: DataFrame,
+                         salt_buckets: int | None = None) -> DataFrame:
+    """Listings with their review ids and comments (inner equi-join).
+
+    ``salt_buckets`` spreads hot listings over that many tasks explicitly
+    (``joins.salted_join``); by default AQE splits skewed partitions.
+    """
+    r = reviews.select("listing_id", "review_id", "comments")
+    if salt_buckets:
+        j = salted_join(r, listings.select("listing_id"), "listing_id", "inner", salt_buckets)
+    else:
+        j = listings.select("listing_id").join(r, "listing_id")
+    return j.select("listing_id", "review_id", "comments")
 
 
 def join_sql_inner(spark: SparkSession, listings: DataFrame, reviews: DataFrame) -> DataFrame:
@@ -99,8 +108,11 @@ def anti_join_unreviewed(listings: DataFrame, reviews: DataFrame) -> DataFrame:
     return listings.select("listing_id").join(reviewed, "listing_id", "left_anti")
 
 
-def semi_join_known_listings(reviews: DataFrame, listings: DataFrame) -> DataFrame:
-    """Reviews whose listing exists."""
+def semi_join_known_listings(reviews: DataFrame, listings: DataFrame,
+                             salt_buckets: int | None = None) -> DataFrame:
+    """Reviews whose listing exists (``salt_buckets`` as in ``join_listing_reviews``)."""
+    if salt_buckets:
+        return salted_join(reviews, listings.select("listing_id"), "listing_id", "left_semi", salt_buckets)
     return reviews.join(listings.select("listing_id"), "listing_id", "left_semi")
 
 

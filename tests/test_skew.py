@@ -71,3 +71,32 @@ def test_aqe_splits_hot_partition_of_row_level_join(spark):
         plan = joined._jdf.queryExecution().executedPlan().toString()
     assert len(rows) == 30000 and sum(r.listing_id == "hot" for r in rows) == 10000
     assert "SortMergeJoin(skew=true)" in plan and "AQEShuffleRead skewed" in plan
+
+
+def test_salted_join_equals_plain_join_and_spreads_hot_key(spark):
+    from lodgelens.operators.joins import hot_keys, salted_join
+    fact = _skewed_reviews(spark).select("review_id", "listing_id")
+    listings = _listings(spark)
+    assert [r.listing_id for r in hot_keys(fact, "listing_id", 100).collect()] == ["hot"]
+    for how in ("inner", "left", "left_semi"):
+        plain = sorted(tuple(r) for r in fact.join(listings, "listing_id", how).collect())
+        salted_df = salted_join(fact, listings, "listing_id", how, buckets=8, max_hot_keys=100)
+        salted = sorted(tuple(r) for r in salted_df.select(*fact.join(listings, "listing_id", how).columns).collect())
+        assert salted == plain, how
+        plan = salted_df._jdf.queryExecution().executedPlan().toString()
+        assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
+    # the hot listing's rows now carry 8 different salts
+    from pyspark.sql import functions as F2
+    salts = (fact.where(F2.col("listing_id") == "hot")
+             .select(F2.pmod(F2.xxhash64("review_id", "listing_id"), F2.lit(8)).alias("s")).distinct().count())
+    assert salts == 8
+
+
+def test_adhoc_joins_with_salt_match(spark):
+    fact = _skewed_reviews(spark)
+    listings = _listings(spark)
+    a = sorted(tuple(r) for r in A.join_listing_reviews(listings, fact).collect())
+    b = sorted(tuple(r) for r in A.join_listing_reviews(listings, fact, salt_buckets=8).collect())
+    assert a == b and len(a) == 30000
+    c = A.semi_join_known_listings(fact, listings, salt_buckets=8).select("review_id")
+    assert c.count() == 30000
