@@ -1,8 +1,71 @@
-"""The corpus pipeline (stages are added as their operators are done)."""
+"""The corpus pipeline: five stages over ``documents``, each by one operator of ``lodgelens.llm``.
 
-STAGES = []
+Every stage but the last returns the columns of its input; each result is
+written as Parquet and read again as the next stage's documents.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from lodgelens.llm import common, decontaminate, language, line_dedup, mixing, near_dup
+
+#: Documents whose predicted language is less sure than this are rejected.
+LEAST_SURE = 0.5
+#: Words in a block of the final mix.
+MIX_BLOCK = 256
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Reject documents without a letter or without a sure language; a null id is rejected, too."""
+    found = language.identify(spark, docs, docs.where(~common.held_out()).select("text", "lang"))
+    bad = found.where((F.col("lang_pred") == "und") | (F.col("score") < LEAST_SURE) | F.col("doc_id").isNull()).select("doc_id").distinct()
+    bad = common.small(common.stored(bad, "language-rejected"), 16)
+    return docs.where("doc_id is not null").join(bad, "doc_id", "left_anti").select(docs.columns)
+
+
+def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Cut repeated line chunks; a document of which nothing is left goes."""
+    cut = line_dedup.dedup_lines(spark, docs)
+    cut = cut.where("n_removed = 0 or trim(text) <> ''")
+    if "n_chars" in docs.columns:
+        cut = cut.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
+    return cut.select(docs.columns)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates stays."""
+    gone = near_dup.near_duplicates(spark, docs).where(~F.col("kept")).select("doc_id").distinct()
+    gone = common.small(common.stored(gone, "near-dropped"), 16)
+    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    hit = decontaminate.contained(spark, docs, common.table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
+    hit = common.small(common.stored(hit, "contaminated"), 16)
+    return docs.join(hit, "doc_id", "left_anti").select(docs.columns)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mix: shard, slot, source, block, doc_ids, text."""
+    return mixing.mixed(spark, docs, MIX_BLOCK)
+
+
+STAGES = [
+    ("language_id", identify_language),
+    ("line_dedup", dedup_lines),
+    ("near_dedup", drop_near_duplicates),
+    ("decontamination", drop_contaminated),
+    ("mixing", mix_sources),
+]
+#: Hash-made chunks, sketches and permutations have no SQL twin; tests hold the rows against brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = common.stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)

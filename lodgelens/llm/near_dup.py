@@ -13,11 +13,10 @@ the full shingle sets.
 Documents with equal sets collapse into one class before any pair is formed.
 Pairs are formed between classes only:
 
-* buckets of up to ``SMALL`` classes: the bucket's own pairs, a bounded number;
-* larger buckets: every member against the most central one; the members left
-  outside its component are then compared with all of the bucket, block
-  against block in separate tasks, and only pairs that the likelihood keeps
-  are emitted.
+* every member of a bucket against the bucket's most central one;
+* then the members left outside its component against the rest of the bucket,
+  block against block in separate tasks; only pairs across components that the
+  likelihood keeps leave the task.
 
 No bucket is cut.  A null or empty text has no shingles and is linked with
 nothing.  A null doc_id takes no part in linking and gets a null component.
@@ -38,7 +37,8 @@ from . import common as C
 
 REGISTERS = 256
 RATE, BASE, TOP = 20.0, 1.001, (1 << 16) - 2
-#: Classes in a bucket whose pairs are listed at once; in a block of a larger one.
+#: Buckets of up to SMALL classes are compared once for each list of members;
+#: larger ones are cut into blocks of about BLOCK classes.
 SMALL, BLOCK = 16, 128
 #: A pair is dropped when its best similarity at the threshold or above is so
 #: many nats less likely than its best similarity: a true link is lost with a
@@ -223,26 +223,24 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, percent: int = 80, siz
     counted = band.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
     band = C.stored(band.join(counted, "key"), "near-buckets")
 
-    listed = (band.where(f"size <= {SMALL}").groupBy("key").agg(F.sort_array(F.collect_list("doc_id")).alias("ids"))
-              .select("ids").distinct()
-              .select(F.explode(F.expr("flatten(transform(ids, (x, i) -> transform(slice(ids, i + 2, size(ids)), y -> struct(x as a, y as b))))")).alias("p"))
-              .select("p.a", "p.b"))
-    large = band.where(f"size > {SMALL}")
-    central = large.groupBy("doc_id").agg(F.sum("size").alias("weight"))
-    hub = large.join(central, "doc_id").groupBy("key").agg(F.expr("max(struct(weight, -doc_id))").alias("m")).select("key", F.expr("-m.col2").alias("hub"))
-    large = C.stored(large.join(hub, "key").select("key", "doc_id", "hub"), "near-large")
-    star = large.where("doc_id <> hub").select(F.least("doc_id", "hub").alias("a"), F.greatest("doc_id", "hub").alias("b"))
-
-    pairs = C.stored(_screen(listed.union(star).distinct(), classes, percent), "near-pairs")
+    central = band.groupBy("doc_id").agg(F.sum("size").alias("weight"))
+    hub = band.join(central, "doc_id").groupBy("key").agg(F.expr("max(struct(weight, -doc_id))").alias("m")).select("key", F.expr("-m.col2").alias("hub"))
+    band = C.stored(band.join(hub, "key").select("key", "size", "doc_id", "hub"), "near-hubs")
+    star = band.where("doc_id <> hub").select(F.least("doc_id", "hub").alias("a"), F.greatest("doc_id", "hub").alias("b"))
+
+    pairs = C.stored(_screen(star.distinct(), classes, percent), "near-pairs")
     links = C.stored(_confirm(pairs, docs, percent, size), "near-links")
     comp = components(links)
-    if not large.isEmpty():
-        at = lambda x, y: comp.select(F.col("node").alias(x), F.col("component").alias(y))
-        member = (large.join(at("doc_id", "c"), "doc_id", "left").join(at("hub", "ch"), "hub", "left")
-                  .select("key", "doc_id", F.coalesce("c", "doc_id").alias("component"), F.coalesce("ch", "hub").alias("hub")))
-        more = C.stored(_block_pairs(C.stored(member, "near-members"), classes, percent), "near-pairs")
-        if not more.isEmpty():
-            comp = components(links.union(_confirm(more, docs, percent, size)))
+    # buckets of one list of members count once; only larger ones may be too large to list
+    few = (band.where(f"size between 3 and {SMALL}").groupBy("key", "hub").agg(F.sort_array(F.collect_list("doc_id")).alias("ids"))
+           .select("hub", "ids").distinct().select(F.xxhash64("hub", "ids").alias("key"), "hub", F.explode("ids").alias("doc_id")))
+    rest = band.where(f"size > {SMALL}").select("key", "hub", "doc_id").union(few)
+    at = lambda x, y: comp.select(F.col("node").alias(x), F.col("component").alias(y))
+    member = (rest.join(at("doc_id", "c"), "doc_id", "left").join(at("hub", "ch"), "hub", "left")
+              .select("key", "doc_id", F.coalesce("c", "doc_id").alias("component"), F.coalesce("ch", "hub").alias("hub")))
+    more = C.stored(_block_pairs(C.stored(member, "near-members"), classes, percent), "near-pairs")
+    if not more.isEmpty():
+        comp = components(links.union(_confirm(more, docs, percent, size)))
     labelled = C.stored(cls.join(comp.withColumnRenamed("node", "rep"), "rep", "left")
                         .select("f1", "f2", "n", F.coalesce("component", "rep").alias("component")), "near-labels")
     return (base.join(labelled.where("component is not null"), ["f1", "f2", "n"], "left")

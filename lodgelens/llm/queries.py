@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
-from . import language, near_dup, secrets, top_k
+from . import decontaminate, html_text, language, line_dedup, mixing, near_dup, pii, secrets, top_k, toxicity
 
 QUERIES = {f.__name__: f for f in (
+    html_text.op1_block_tree_text,
     near_dup.op2_setsketch_near_dup,
+    toxicity.op3_toxic_segments,
     top_k.op4_branch_bound_top_k,
+    pii.op5_boosted_pii,
     secrets.op6_trigram_secrets,
+    line_dedup.op7_line_chunk_dedup,
+    mixing.op8_multinomial_mix,
     language.op9_word_backoff_language,
+    decontaminate.op10_minhash_containment,
 )}
 
 SQL = {
@@ -25,4 +31,35 @@ p AS (
     WHERE q.vec_id % 100 = 0)
 SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
 FROM p QUALIFY rank <= 10""",
+    "op10_minhash_containment": r"""
+WITH w AS (
+    SELECT 'd' AS kind, doc_id AS id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+    UNION ALL
+    SELECT 'i', item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') FROM benchmark),
+s AS (
+    SELECT DISTINCT kind, id, unnest(CASE WHEN len(w) >= 5
+        THEN list_transform(range(1, len(w) - 3), lambda k: array_to_string(w[k:k + 4], ' '))
+        ELSE [array_to_string(w, ' ')] END) AS g
+    FROM w WHERE len(w) > 0),
+n AS (SELECT id, count(*) AS item_shingles FROM s WHERE kind = 'i' GROUP BY id)
+SELECT d.id AS doc_id, i.id AS item_id, count(*) AS held, any_value(item_shingles) AS item_shingles
+FROM s d JOIN s i ON d.kind = 'd' AND i.kind = 'i' AND d.g = i.g JOIN n ON n.id = i.id
+GROUP BY d.id, i.id HAVING count(*) >= 0.8 * any_value(item_shingles)""",
+    "op2_setsketch_near_dup": r"""
+WITH RECURSIVE w AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (
+    SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 5
+        THEN list_transform(range(1, len(w) - 3), lambda k: array_to_string(w[k:k + 4], ' '))
+        ELSE [array_to_string(w, ' ')] END) AS g
+    FROM w WHERE len(w) > 0),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+l AS (
+    SELECT a.doc_id AS a, b.doc_id AS b
+    FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id JOIN n na ON na.doc_id = a.doc_id JOIN n nb ON nb.doc_id = b.doc_id
+    GROUP BY a.doc_id, b.doc_id
+    HAVING 100 * count(*) >= 85 * (any_value(na.n) + any_value(nb.n) - count(*))),
+r AS (SELECT doc_id, doc_id AS c FROM documents UNION SELECT r.doc_id, l.b FROM r JOIN l ON l.a = r.c)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, min(r.c) AS component_id, d.doc_id = min(r.c) AS kept
+FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id JOIN r ON r.doc_id = d.doc_id GROUP BY d.doc_id, n.n""",
 }

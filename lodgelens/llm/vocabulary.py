@@ -13,6 +13,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from . import common as C
 
@@ -96,7 +97,7 @@ def scored(docs: DataFrame, table: DataFrame, width: int, score: Callable[[pa.Ar
     """
     spark = docs.sparkSession
     limit = C.BROADCAST_BYTES if broadcast_bytes is None else broadcast_bytes
-    names = ["doc_id"] + [x.strip().split()[0] for x in schema.split(",")]
+    names = ["doc_id", *StructType.fromDDL(schema).names]
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rows = C.stored(hashed(table, width), "word-table")
 
