@@ -6,7 +6,7 @@ functions/  pure ``Column -> Column`` expressions (parsing, bucketing, rounding)
 sources/    raw CSV scan, curated partition reads/writes, snapshot loads, stand-ins
 operators/  curation, analyses, ad-hoc queries, quality gates, sampling, scoring
 plans/      the daily job (curate -> score -> publish) and the query catalog
-streaming/  incremental (availableNow) runner for newly landed stage partitions
+streaming/  (empty: the daily job is a batch job)
 
 Every operator takes and returns DataFrames; nothing is collected to the
 driver except scalars such as a resolved partition date.

@@ -57,9 +57,13 @@ PRIMARY_KEYS = {
 }
 
 
-def conform_columns(df: DataFrame, schema: T.StructType) -> list:
+def conform_columns(df: DataFrame, schema: T.StructType, strict: bool = False) -> list:
     """The contract's columns as expressions over ``df`` (see ``conform``)."""
     have = {f.name: f.dataType for f in df.schema.fields}  # one schema round trip
+    wrong = {f.name: f"{have[f.name].simpleString()}, not {f.dataType.simpleString()}"
+             for f in schema.fields if strict and f.name in have and have[f.name] != f.dataType}
+    if wrong:
+        raise TypeError(f"columns break the contract: {wrong}")
     cols = []
     for f in schema.fields:
         if f.name in have:
@@ -71,11 +75,12 @@ def conform_columns(df: DataFrame, schema: T.StructType) -> list:
     return cols
 
 
-def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
+def conform(df: DataFrame, schema: T.StructType, strict: bool = False) -> DataFrame:
     """Select exactly the contract's columns, in order, with its types.
 
     Missing columns become typed NULLs (the load of a column that the writer
     did not produce, e.g. ``rating``); extra columns are dropped.  Casts are
-    ``try_cast`` so a bad value is NULL, never a failed job.
+    ``try_cast`` so a bad value is NULL, never a failed job; ``strict``
+    refuses a column of another type instead of casting it.
     """
-    return df.select(*conform_columns(df, schema))
+    return df.select(*conform_columns(df, schema, strict))

@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import uuid
 
+import datetime as _dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -143,13 +145,13 @@ def comment_length_by_listing(spark: SparkSession, reviews: DataFrame, listings:
         reviews=reviews, listings=listings, min_reviews=min_reviews)
 
 
-def listing_age_by_host(listings: DataFrame, as_of: str = "2002-01-01") -> DataFrame:
-    """Per host: mean whole days from each listing's first review to ``as_of``.
+def listing_age_by_host(listings: DataFrame, as_of: str | None = None) -> DataFrame:
+    """Per host: mean whole days from each listing's first review to ``as_of`` (default: today).
 
     A built-in ``avg(datediff)``: partial aggregation on the map side, no
     Python worker (the notebook used a grouped-aggregate pandas UDF).
     """
     return (listings.where(F.col("first_review").isNotNull())
             .groupBy("host_id")
-            .agg(F.avg(X.days_since(F.col("first_review"), as_of))
+            .agg(F.avg(X.days_since(F.col("first_review"), as_of or _dt.date.today()))
                  .alias("average_days_since_first_review_days")))

@@ -79,12 +79,18 @@ def price_landscape(dim_listing: DataFrame, approximate: bool = False,
     if approximate:
         q = F.percentile_approx("price", [0.5, 0.9], accuracy)
         median, p90 = q.getItem(0), q.getItem(1)
+        n, total = _n(), F.sum("price")
+        prices = dim_listing.where(F.col("price").isNotNull())
     else:
-        median, p90 = F.percentile("price", 0.5), F.percentile("price", 0.9)
-    return (dim_listing.where(F.col("price").isNotNull())
-            .groupBy("property_type")
-            .agg(_n().alias("listings"),
-                 X.round_half_up(F.avg("price"), 2).alias("avg_price"),
+        # equal prices are counted first, so a type's buffer meets each price once
+        prices = (dim_listing.where(F.col("price").isNotNull())
+                  .groupBy("property_type", "price").agg(_n().alias("n")))
+        q = F.percentile("price", F.array(F.lit(0.5), F.lit(0.9)), F.col("n"))
+        median, p90 = q.getItem(0), q.getItem(1)
+        n, total = F.sum("n"), F.sum(F.col("price") * F.col("n"))
+    return (prices.groupBy("property_type")
+            .agg(n.alias("listings"),
+                 X.round_half_up(total / n, 2).alias("avg_price"),
                  X.round_half_up(median, 2).alias("median_price"),
                  X.round_half_up(p90, 2).alias("p90_price"))
             .orderBy(F.desc("listings"), F.asc_nulls_last("property_type")))
@@ -140,7 +146,7 @@ def value_picks(dim_listing: DataFrame, low: float = 60, high: float = 150,
 def reviews_by_month(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
     """Review volume by year and month (fact joined to the calendar)."""
     per_day = fact.groupBy("date_key").agg(_n().alias("n"))
-    cal = F.broadcast(dim_date.select("date_key", "yyyy", "mm"))
+    cal = dim_date.select("date_key", "yyyy", "mm")
     return (per_day.join(cal, "date_key")
             .groupBy("yyyy", "mm").agg(F.sum("n").alias("reviews"))
             .orderBy("yyyy", "mm"))
@@ -211,9 +217,12 @@ def vw_listing_sentiment(fact: DataFrame) -> DataFrame:
 
 def vw_city_sentiment_daily(fact: DataFrame, dim_listing: DataFrame, dim_date: DataFrame) -> DataFrame:
     """Per day and city: reviews and positive rate."""
-    parts = listing_partials(fact, ["date_key"])
-    parts = _with_listing(parts, dim_listing, ["city"])
-    cal = F.broadcast(dim_date.select("date_key", "yyyy", "mm", "dd"))
+    # a listing has about one review a day, so counting by listing and day first
+    # would reduce nothing: attach the city, then count by day and city map-side
+    with_city = _with_listing(fact.select("listing_id", "date_key", "sentiment_label"), dim_listing, ["city"])
+    parts = with_city.groupBy("date_key", "city").agg(
+        _n().alias("n_reviews"), F.count_if(F.col("sentiment_label") == "POSITIVE").alias("n_positive"))
+    cal = dim_date.select("date_key", "yyyy", "mm", "dd")
     agg = (parts.join(cal, "date_key")
            .groupBy("yyyy", "mm", "dd", "city")
            .agg(F.sum("n_reviews").alias("reviews"), F.sum("n_positive").alias("pos")))

@@ -7,6 +7,7 @@ three outputs need and the job reads the raw input once.
 
 from __future__ import annotations
 
+import dataclasses
 import datetime as _dt
 
 from pyspark.sql import Column, DataFrame
@@ -14,7 +15,15 @@ from pyspark.sql import functions as F
 
 from lodgelens.contracts import DIM_DATE, DIM_LISTING, FACT_REVIEWS_STAGE, conform
 from lodgelens.functions import exprs as X
-from lodgelens.sources.standins import DEFAULT_CITY, DEFAULT_COUNTRY, DEFAULT_STATE
+
+
+@dataclasses.dataclass(frozen=True)
+class Place:
+    """Where a raw drop's listings are; raw files don't say."""
+
+    city: str = "London"
+    state: str = "England"
+    country: str = "UK"
 
 
 def dedupe_by_key(df: DataFrame, keys: list[str] | str, order_by: list[Column] | None = None) -> DataFrame:
@@ -49,7 +58,7 @@ def build_dim_date(dates: DataFrame, date_col: str = "review_date") -> DataFrame
     return conform(d.select(*[v.alias(k) for k, v in parts.items()]), DIM_DATE)
 
 
-def clean_listings(listings: DataFrame) -> DataFrame:
+def clean_listings(listings: DataFrame, place: Place = Place()) -> DataFrame:
     """Parse the raw (all-string) listing columns into typed curated columns."""
     present = set(listings.columns)  # one schema round trip
 
@@ -60,9 +69,9 @@ def clean_listings(listings: DataFrame) -> DataFrame:
     cols = {
         "listing_id": col_or_null("listing_id").cast("string"),
         "host_id": X.parse_long(col_or_null("host_id")),
-        "city": F.lit(DEFAULT_CITY),
-        "state": F.lit(DEFAULT_STATE),
-        "country": F.lit(DEFAULT_COUNTRY),
+        "city": F.lit(place.city),
+        "state": F.lit(place.state),
+        "country": F.lit(place.country),
         "property_type": col_or_null("property_type"),
         "room_type": col_or_null("room_type"),
         "capacity": X.parse_int(col_or_null("accommodates")),
@@ -90,9 +99,10 @@ def clean_listings(listings: DataFrame) -> DataFrame:
     return out.withColumn("price_bucket", X.price_bucket(F.col("price")))
 
 
-def build_dim_listing(listings: DataFrame, loaded_at: _dt.datetime | None = None) -> DataFrame:
+def build_dim_listing(listings: DataFrame, loaded_at: _dt.datetime | None = None,
+                      place: Place = Place()) -> DataFrame:
     """One curated row per listing (34 columns, contract ``DIM_LISTING``)."""
-    clean = drop_null_keys(clean_listings(listings), ["listing_id"])
+    clean = drop_null_keys(clean_listings(listings, place), ["listing_id"])
     one = dedupe_by_key(clean, "listing_id")
     stamp = F.lit(loaded_at).cast("timestamp") if loaded_at else F.current_timestamp()
     return conform(one.withColumn("created_at", stamp), DIM_LISTING)

@@ -62,11 +62,14 @@ def dq_orphans(fact: DataFrame, dim_listing: DataFrame, dim_date: DataFrame) ->
     """Facts without a listing and facts without a calendar day."""
     return _stack([
         _orphan_count(fact, dim_listing, "listing_id", "fact_without_listing"),
-        _orphan_count(fact, F.broadcast(dim_date.select("date_key")), "date_key", "fact_without_calendar"),
+        _orphan_count(fact, dim_date.select("date_key"), "date_key", "fact_without_calendar"),
     ])
 
 
-def dq_ranges(dim_listing: DataFrame, max_price: float = 10000, max_rating: float = 5) -> DataFrame:
+MAX_PRICE, MAX_RATING = 10000, 5
+
+
+def dq_ranges(dim_listing: DataFrame, max_price: float = MAX_PRICE, max_rating: float = MAX_RATING) -> DataFrame:
     """Prices outside 0..max_price and ratings outside 0..max_rating."""
     p, r = F.col("price"), F.col("review_scores_rating")
     return dim_listing.agg(
@@ -102,13 +105,13 @@ def quality_report(dim_listing: DataFrame, dim_date: DataFrame, fact: DataFrame)
     """
     p, r = F.col("price"), F.col("review_scores_rating")
     listing = _key_summary(dim_listing, "listing_id", {
-        "p_bad": F.sum(F.when((p < 0) | (p > 10000), 1).otherwise(0)),
-        "r_bad": F.sum(F.when((r < 0) | (r > 5), 1).otherwise(0)),
+        "p_bad": F.sum(F.when((p < 0) | (p > MAX_PRICE), 1).otherwise(0)),
+        "r_bad": F.sum(F.when((r < 0) | (r > MAX_RATING), 1).otherwise(0)),
     })
     reviews = _key_summary(fact, "review_id")
     dates = _key_summary(dim_date, "date_key")
     null_c = lambda k: F.sum(F.when(F.col(k).isNull(), F.col("c")))
-    dup = lambda k: F.count_if(F.col(k).isNotNull() & (F.col("c") > 1))
+    dup = lambda k: F.count_if(F.col("c") > 1)
     frames = [
         _checks(dates, "date_key", {"dim_date.date_key_nulls": null_c("date_key")}),
         _checks(listing, "listing_id", {"dim_listing.listing_id_nulls": null_c("listing_id"),
@@ -120,7 +123,7 @@ def quality_report(dim_listing: DataFrame, dim_date: DataFrame, fact: DataFrame)
     ]
     per_key = fact.groupBy("listing_id", "date_key").agg(F.count(F.lit(1)).alias("n"))
     for name, key, dim in (("fact_without_listing", "listing_id", dim_listing),
-                           ("fact_without_calendar", "date_key", F.broadcast(dim_date))):
+                           ("fact_without_calendar", "date_key", dim_date)):
         orphans = per_key.join(dim.select(key), key, "left_anti")
         frames.append(orphans.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("n_bad"))
                       .select(F.lit(name).alias("check_name"), "n_bad"))

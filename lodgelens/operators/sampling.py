@@ -36,34 +36,14 @@ def sample_fraction(df: DataFrame, fraction: float, seed: int, key: str) -> Data
     return df.where(hash_uniform(key, seed) < F.lit(float(fraction)))
 
 
-# A top-k keeps ``n`` rows per input partition and merges them in one task;
-# past this many merged rows the exact pre-cut below is used instead.
-PRECUT_MERGE_ROWS = 2_000_000
-
-
-def sample_cap(df: DataFrame, n: int, seed: int, key: str, precut: bool | None = None) -> DataFrame:
+def sample_cap(df: DataFrame, n: int, seed: int, key: str) -> DataFrame:
     """At most ``n`` rows in seeded random order (ties broken by key); 0 = off.
 
-    Exact either way.  With many input partitions the top-k would merge
-    ``n`` rows from every partition in a single task, so the rows are first
-    cut at a threshold ``tau`` on the uniform number, chosen so that well over
-    ``n`` rows survive in expectation (10 standard deviations); if at least
-    ``n`` survive, the top ``n`` of all rows are among them.  Otherwise the
-    plain top-k runs.  ``precut`` forces the choice (None = decide by size).
+    One plan at every size: a top-k, which keeps ``n`` rows per input
+    partition.  A NULL key draws the number of the empty key.
     """
     if not n or n <= 0:
         return df
     u = "_sample_u"
-    with_u = df.withColumn(u, hash_uniform(key, seed))
-    if precut is None:
-        precut = df.rdd.getNumPartitions() * n > PRECUT_MERGE_ROWS
-    if precut:
-        total = df.count()
-        if total <= n:
-            return df
-        expected = n * (1.0 + 10.0 / n ** 0.5) + 10.0
-        tau = min(1.0, expected / total)
-        cut = with_u.where(F.col(u) < F.lit(tau))
-        if tau < 1.0 and cut.count() >= n:
-            with_u = cut
-    return with_u.orderBy(F.col(u), F.col(key)).limit(n).drop(u)
+    with_u = df.withColumn(u, hash_uniform(F.coalesce(F.col(key).cast("string"), F.lit("")), seed))
+    return with_u.orderBy(F.col(u), F.asc_nulls_first(key)).limit(n).drop(u)

@@ -21,7 +21,7 @@ from lodgelens.contracts import FACT_REVIEWS, conform_columns
 from lodgelens.operators import curate as C
 from lodgelens.operators import quality as Q
 from lodgelens.operators import scoring as SC
-from lodgelens.session import checkpoint_dir
+from lodgelens.session import scratch_path
 from lodgelens.sources import curated as CU
 from lodgelens.sources import raw as R
 
@@ -31,7 +31,7 @@ TABLES = ("dim_listing", "dim_date", "fact_reviews_stage", "fact_reviews")
 @dataclasses.dataclass(frozen=True)
 class ScoringKnobs:
     """Cost controls of the scoring step (0 switches a control off)."""
-    max_rows: int = 1000
+    max_rows: int = 0
     sample_frac: float = 0.0
     max_tokens: int = 0
     seed: int = 42
@@ -67,9 +67,10 @@ def _together(spark: SparkSession, *actions: Callable[[], object]) -> list:
 
 
 def curate_day(spark: SparkSession, raw_root: str, curated_root: str, ds,
-               loaded_at: _dt.datetime | None = None) -> dict[str, str]:
+               loaded_at: _dt.datetime | None = None,
+               place: C.Place = C.Place()) -> dict[str, str]:
     """Raw listings/reviews CSV -> dim_listing, dim_date, fact_reviews_stage for ``ds``."""
-    checkpoint_dir(spark)  # reviews are checkpointed below; needs the shared folder
+    clean_path = scratch_path(spark, "reviews-clean")
     # Raw row counts and malformed rows are observed while the curation jobs
     # run (``observe``), so counting them costs no extra pass over the CSV.
     seen = {name: Observation(f"raw_{name}") for name in ("listings", "reviews")}
@@ -80,13 +81,15 @@ def curate_day(spark: SparkSession, raw_root: str, curated_root: str, ds,
                                     F.count_if(F.col(R.CORRUPT_COL).isNotNull()).alias("malformed"))
                          for name, df in (("listings", listings), ("reviews", reviews)))
     listing_root = _root(curated_root, "dim_listing")
-    # Reviews feed both the calendar and the facts: a reliable checkpoint in
-    # the shared folder, so neither the CSV scan nor the de-duplication runs
-    # again.  It is independent of the listing write, so both run at once.
-    wrote_listing, reviews_clean = _together(
+    # Reviews feed both the calendar and the facts: Parquet in the shared
+    # folder, so neither the CSV scan nor the de-duplication runs again, and
+    # the calendar reads one column.  It is independent of the listing write,
+    # so both run at once.
+    wrote_listing, _ = _together(
         spark,
-        lambda: CU.write_partition(C.build_dim_listing(listings, loaded_at), listing_root, ds),
-        lambda: C.clean_reviews(reviews).checkpoint(eager=True))
+        lambda: CU.write_partition(C.build_dim_listing(listings, loaded_at, place), listing_root, ds),
+        lambda: C.clean_reviews(reviews).write.parquet(clean_path))
+    reviews_clean = spark.read.parquet(clean_path)
     dim_listing = CU.scan_curated_partition(spark, listing_root, ds)
     wrote_date, wrote_stage = _together(
         spark,
@@ -114,7 +117,7 @@ def score_day(spark: SparkSession, curated_root: str, ds=None,
                                      sample_frac=knobs.sample_frac, max_rows=knobs.max_rows,
                                      seed=knobs.seed)
     # No emptiness pre-check: it would run the whole selection twice.  An
-    # empty selection writes no partition and is counted as 0 below.
+    # empty selection leaves an empty partition of the day.
     if scorer is None:
         scored = SC.lexicon_score(picked).withColumn("parse_status", F.lit("ok"))
     else:
@@ -124,11 +127,7 @@ def score_day(spark: SparkSession, curated_root: str, ds=None,
     out = scored.select(*conform_columns(scored, FACT_REVIEWS), "parse_status")
     fact_root = _root(curated_root, "fact_reviews")
     CU.write_scored(out, fact_root, day)
-    try:
-        written = CU.scan_curated_partition(spark, fact_root, day).count()
-    except CU.EmptyStageError:  # nothing scored yet, ever
-        written = 0
-    return day, written
+    return day, CU.scan_curated_partition(spark, fact_root, day).count()
 
 
 def load_day(spark: SparkSession, curated_root: str, ds) -> dict[str, DataFrame]:
@@ -158,16 +157,17 @@ def publish_day(spark: SparkSession, curated_root: str, warehouse_root: str, ds)
 def run_day(spark: SparkSession, raw_root: str, curated_root: str, warehouse_root: str, ds,
             scorer: Callable[[list[str]], str] | None = None,
             knobs: ScoringKnobs = ScoringKnobs(), stop_on_failed_gates: bool = True,
-            loaded_at: _dt.datetime | None = None) -> dict:
-    """Curate, score, gate and publish one day."""
-    curated = curate_day(spark, raw_root, curated_root, ds, loaded_at)
+            loaded_at: _dt.datetime | None = None, place: C.Place = C.Place()) -> dict:
+    """Curate, score, gate and publish one day: that day, also when it has no reviews."""
+    curated = curate_day(spark, raw_root, curated_root, ds, loaded_at, place)
     day, scored_rows = score_day(spark, curated_root, ds, scorer, knobs)
     report = gate_day(spark, curated_root, day)
     failed = [r for r in report if not r["passed"]]
     if failed and stop_on_failed_gates:
         raise GateFailure(failed)
     published = publish_day(spark, curated_root, warehouse_root, day)
-    return {"ds": day, "curated": curated, "scored_rows": scored_rows,
+    rows = {r["table_name"]: r["rows"] for r in Q.dq_row_counts(load_day(spark, curated_root, day)).collect()}
+    return {"ds": day, "curated": curated, "scored_rows": scored_rows, "rows": rows,
             "gates": report, "published": published}
 
 

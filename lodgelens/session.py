@@ -10,6 +10,7 @@ machine-local folder.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -17,23 +18,19 @@ from pyspark.sql import SparkSession
 
 # SQL settings that can be applied to a running session (see ``apply_sql_conf``).
 #
-# Broadcast joins are decided only on sizes AQE *measures* at run time: the
-# static threshold is off because plan-time estimates are unreliable (without
-# table statistics a join is estimated as the product of its inputs, so a
-# dimension joined to a lookup looks huge while an aggregated fact table may
-# look small).  Beyond the runtime threshold the join stays a sort-merge join,
+# Only what results depend on (the time zone) or plans rely on (AQE); broadcast
+# thresholds are the caller's.  Beyond them a join stays a sort-merge join,
 # whose skewed partitions AQE splits.
 SQL_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.autoBroadcastJoinThreshold": "-1",
-    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32m",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
 DEFAULT_CONF = dict(SQL_CONF, **{
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32m",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     # A session that serves many different queries keeps their compiled
@@ -74,7 +71,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return sc.getCheckpointDir() or current
-    if not sc.master.startswith("local"):
+    if not re.match(r"local(\[|$)", sc.master):
         raise RuntimeError(
             "spark.checkpoint.dir is not set; point it at a shared folder "
             "(HDFS/object store) before running lodgelens jobs on a cluster")

@@ -30,17 +30,25 @@ def _ds_lit(ds) -> F.Column:
 def write_partition(df: DataFrame, root: str, ds=None, num_files: int | None = None) -> str:
     """Idempotently replace the day(s) in ``df`` under ``root``.
 
-    If ``ds`` is given it is stamped on every row; otherwise ``df`` must
-    already carry a ``ds`` column (a backfill of many days in one job).
+    If ``ds`` is given, exactly that day's directory is replaced, also by no
+    rows: an empty, typed partition stays.  Otherwise ``df`` must already
+    carry a ``ds`` column (a backfill of many days in one job); the days it
+    holds are replaced, and the ``rebalance`` hint merges small days into few
+    files and splits large ones.
     """
-    out = df.withColumn(PARTITION_COL, _ds_lit(ds)) if ds is not None else df
-    if num_files:
-        # round-robin, not by day: hashing on ``ds`` would put a whole day in one task
-        out = out.repartition(num_files)
+    if ds is not None:
+        day = _dt.date.fromisoformat(str(ds))
+        out = df.drop(PARTITION_COL)
+        out = out.repartition(num_files) if num_files else out
+        path = f"{root.rstrip('/')}/{PARTITION_COL}={day}"
+        out.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+        return path
+    # round-robin, not by day: hashing on ``ds`` would put a whole day in one task
+    out = df.repartition(num_files) if num_files else df.hint("rebalance", PARTITION_COL)
     (out.write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic")
      .partitionBy(PARTITION_COL).parquet(root))
-    return f"{root}/{PARTITION_COL}={ds}" if ds is not None else root
+    return root
 
 
 def write_scored(scored: DataFrame, root: str, ds) -> str:
@@ -104,9 +112,10 @@ def resolve_ds(spark: SparkSession, root: str, requested=None) -> _dt.date:
 
 def load_snapshot(spark: SparkSession, root: str, table: str, ds) -> DataFrame:
     """One day of a curated table as a full warehouse snapshot: no ``ds``
-    column, the contract's columns and types (missing ones as NULL)."""
+    column, the contract's columns and types (missing ones as NULL; a column
+    of another type is an error)."""
     day = scan_curated_partition(spark, root, ds).drop(PARTITION_COL)
-    return conform(day, CONTRACTS[table])
+    return conform(day, CONTRACTS[table], strict=True)
 
 
 def publish_snapshot(df: DataFrame, target: str, as_table: bool = False) -> str:
@@ -124,6 +133,3 @@ def preview(spark: SparkSession, root: str, ds, key: str, n: int = 5) -> DataFra
     return scan_curated_partition(spark, root, ds).orderBy(key).limit(n)
 
 
-def empty_guard(df: DataFrame) -> bool:
-    """True when there is nothing to process (reads at most one row)."""
-    return df.isEmpty()

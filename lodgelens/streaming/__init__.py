@@ -1,3 +1 @@
-"""Incremental processing of newly landed stage days (Structured Streaming)."""
-
-from lodgelens.streaming.incremental import score_new_days  # noqa: F401
+"""Streams: none.  The daily job is a batch job; a scheduler calls ``plans.daily.run_day``."""

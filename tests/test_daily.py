@@ -1,5 +1,5 @@
 """Golden end-to-end run: hand-written raw CSVs -> curated -> scored -> gates
--> warehouse -> analyses, plus backfill and the incremental stream."""
+-> warehouse -> analyses, plus backfill."""
 
 import datetime as dt
 import json
@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 from lodgelens.operators import analysis as AN
 from lodgelens.plans import daily as P
 from lodgelens.sources import curated as CU
-from lodgelens.streaming import score_new_days
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -126,18 +125,6 @@ def test_run_day_with_model_scorer(spark, tmp_root, raw_day):
     assert got["102"] == ("POSITIVE", 0.8, "ok") and got["100"] == ("NEGATIVE", 0.8, "ok")
 
 
-def test_stream_scores_each_new_day_once(spark, tmp_root, raw_day):
-    cur = os.path.join(tmp_root, "curated")
-    fact, ckpt = os.path.join(tmp_root, "facts"), os.path.join(tmp_root, "stream-ckpt")
-    P.curate_day(spark, raw_day, cur, "2024-09-01")
-    score_new_days(spark, f"{cur}/fact_reviews_stage", fact, ckpt)
-    first = spark.read.parquet(fact).count()
-    P.curate_day(spark, raw_day, cur, "2024-09-02")
-    score_new_days(spark, f"{cur}/fact_reviews_stage", fact, ckpt)
-    per_day = {str(r.ds): r["count"] for r in spark.read.parquet(fact).groupBy("ds").count().collect()}
-    assert first == 3 and per_day == {"2024-09-01": 3, "2024-09-02": 3}
-
-
 def test_score_day_with_nothing_to_score(spark, tmp_root):
     blank = "id,listing_id,date,comments\n200,1,2024-09-01,\n"
     raw = os.path.join(tmp_root, "raw-blank")
@@ -148,28 +135,6 @@ def test_score_day_with_nothing_to_score(spark, tmp_root):
     assert P.score_day(spark, cur, "2024-09-01") == (dt.date(2024, 9, 1), 0)
 
 
-def test_stream_recovers_after_a_failed_batch(spark, tmp_root, raw_day, monkeypatch):
-    from pyspark.errors import StreamingQueryException
-
-    from lodgelens.streaming import incremental as INC
-
-    cur = os.path.join(tmp_root, "curated")
-    fact, ckpt = os.path.join(tmp_root, "facts"), os.path.join(tmp_root, "stream-ckpt")
-    P.curate_day(spark, raw_day, cur, "2024-09-01")
-    real_write = INC.CU.write_scored
-
-    def broken(*args, **kwargs):
-        raise RuntimeError("storage unavailable")
-    monkeypatch.setattr(INC.CU, "write_scored", broken)
-    with pytest.raises((StreamingQueryException, RuntimeError)):
-        score_new_days(spark, f"{cur}/fact_reviews_stage", fact, ckpt)
-    monkeypatch.setattr(INC.CU, "write_scored", real_write)
-    score_new_days(spark, f"{cur}/fact_reviews_stage", fact, ckpt)  # same checkpoint: the batch reruns
-    score_new_days(spark, f"{cur}/fact_reviews_stage", fact, ckpt)  # nothing new: no-op
-    rows = spark.read.parquet(fact).collect()
-    assert sorted(r.review_id for r in rows) == ["100", "101", "102"]
-
-
 def test_curate_day_observes_raw_rows(spark, tmp_root):
     raw = os.path.join(tmp_root, "raw-messy")
     _land(raw, "listings", LISTINGS)
@@ -177,3 +142,34 @@ def test_curate_day_observes_raw_rows(spark, tmp_root):
     out = P.curate_day(spark, raw, os.path.join(tmp_root, "curated"), "2024-09-01")
     assert out["raw"] == {"listings_rows": 4, "listings_malformed": 0,
                           "reviews_rows": 8, "reviews_malformed": 2}
+
+
+def test_an_empty_day_is_published_as_that_day(spark, tmp_root, raw_day):
+    cur, wh = os.path.join(tmp_root, "curated"), os.path.join(tmp_root, "wh")
+    P.run_day(spark, raw_day, cur, wh, "2024-09-01")
+    raw = os.path.join(tmp_root, "raw-none")
+    _land(raw, "listings", LISTINGS)
+    _land(raw, "reviews", "id,listing_id,date,comments\n900,77777,2024-09-02,of no known listing\n")
+    out = P.run_day(spark, raw, cur, wh, "2024-09-02")
+    assert out["ds"] == dt.date(2024, 9, 2) and out["scored_rows"] == 0 and out["rows"]["fact_reviews"] == 0
+    assert spark.read.parquet(out["published"]["fact_reviews"]).count() == 0
+    again = P.run_day(spark, raw, cur, wh, "2024-09-01")  # day 1 loses its reviews on a rerun
+    assert again["scored_rows"] == 0 and CU.scan_curated_partition(spark, f"{cur}/fact_reviews", "2024-09-01").count() == 0
+
+
+def test_every_staged_review_is_scored_by_default():
+    assert P.ScoringKnobs().max_rows == 0
+
+
+def test_a_wrong_type_is_refused(spark, tmp_root):
+    root = os.path.join(tmp_root, "dim_date")
+    CU.write_partition(spark.createDataFrame([("x", 1)], "date_key string, yyyy int"), root, "2024-09-01")
+    with pytest.raises(TypeError):
+        CU.load_snapshot(spark, root, "dim_date", "2024-09-01")
+
+
+def test_place_is_a_parameter(spark, tmp_root, raw_day):
+    from lodgelens.operators.curate import Place
+    cur = os.path.join(tmp_root, "curated")
+    P.curate_day(spark, raw_day, cur, "2024-09-01", place=Place("Ghent", "East Flanders", "Belgium"))
+    assert {r.city for r in spark.read.parquet(f"{cur}/dim_listing").collect()} == {"Ghent"}

@@ -7,11 +7,12 @@ import re
 import pytest
 
 import __spark_entry__ as E
+from lodgelens.plans.catalog import QUERIES
 
 SF = "/root/testdata/sf0.001"
 # Queries whose work is Python by design (the scorer runs in Python workers).
 PYTHON_OK = {"score_batches", "lexicon_score", "write_scored", "run_day"}
-NAMES = sorted(E.queries())
+NAMES = sorted(QUERIES)  # the text-preparation queries are tested in tests/llm
 
 
 def _plan(df) -> str:

@@ -56,10 +56,9 @@ def test_dedupe_without_order_is_deterministic(spark):
     assert [(r.key, r.val) for r in out] == [(1, "b"), (2, "z")]
 
 
-def test_sample_cap_precut_is_exact(spark):
-    base = spark.range(0, 20000).select(F.col("id").cast("string").alias("k")).repartition(16)
-    plain = _ids(SM.sample_cap(base, 150, 3, "k", precut=False))
-    cut = _ids(SM.sample_cap(base, 150, 3, "k", precut=True))
-    assert plain == cut and len(cut) == 150
-    small = spark.range(0, 40).select(F.col("id").cast("string").alias("k"))
-    assert len(_ids(SM.sample_cap(small, 100, 3, "k", precut=True))) == 40
+def test_sample_cap_is_the_same_over_any_layout_and_keeps_null_keys(spark):
+    base = spark.range(0, 20000).select(F.col("id").cast("string").alias("k"))
+    assert _ids(SM.sample_cap(base.repartition(64), 150, 3, "k")) == _ids(SM.sample_cap(base.coalesce(1), 150, 3, "k"))
+    few = spark.createDataFrame([(None,), ("a",), ("b",)], "k string")
+    for parts in (1, 3):
+        assert {r.k for r in SM.sample_cap(few.repartition(parts), 3, 3, "k").collect()} == {None, "a", "b"}

@@ -50,18 +50,22 @@ def test_null_item_and_results_null(spark):
     assert _parse(spark, '{"results": null}', 1) == [("NEGATIVE", 0.0, "no_json")]
 
 
-def test_build_prompt_truncates_and_numbers():
+def test_build_prompt_holds_whole_texts():
     p = SC.build_prompt(["a" * 1200, None])
-    assert p.startswith(SC.INSTRUCTION)
-    assert "1. '''" + "a" * 1000 + "'''" in p and "2. ''''''" in p
-
-
-class _Echo:
-    """Scores by text: 'good' -> POSITIVE 0.75; remembers nothing across calls."""
-
-    def __call__(self, texts):
-        return json.dumps({"results": [
-            {"label": "POSITIVE" if "good" in t else "NEGATIVE", "confidence": 0.75} for t in texts]})
+    assert json.loads(p.split("\n", 1)[1]) == [{"review": 1, "text": "a" * 1200}, {"review": 2, "text": ""}]
+    assert "a" * 11 not in SC.build_prompt(["a" * 1200], max_chars=10)
+
+
+def test_building_a_plan_runs_no_job(spark):
+    seen = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("plan", "plan")
+    try:
+        df = spark.range(1000).selectExpr("cast(id % 7 as string) k", "'x' comments").groupBy("k").agg(F.max("comments").alias("comments"))
+        SC.lexicon_score(df)
+        SC.score_batches(df, SC.LexiconReplyScorer(), max_concurrency=2)
+        assert not seen.getJobIdsForGroup("plan")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
 def test_score_batches_keeps_rows_keyed(spark):
