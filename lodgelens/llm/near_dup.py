@@ -13,10 +13,11 @@ the full shingle sets.
 Documents with equal sets collapse into one class before any pair is formed.
 Pairs are formed between classes only:
 
-* every member of a bucket against the bucket's most central one;
-* then the members left outside its component against the rest of the bucket,
-  block against block in separate tasks; only pairs across components that the
-  likelihood keeps leave the task.
+* every member of a bucket against the bucket's most central one, by likelihood
+  and then on full sets;
+* then the members left outside its component against the rest of the bucket
+  on full sets, block against block in separate tasks; only links across
+  components leave the task.
 
 No bucket is cut.  A null or empty text has no shingles and is linked with
 nothing.  A null doc_id takes no part in linking and gets a null component.
@@ -177,35 +178,62 @@ def _confirm(pairs: DataFrame, docs: DataFrame, percent: int, size: int) -> Data
     return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "sa", "sb").mapInPandas(run, "a long, b long")
 
 
-def _block_pairs(member: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Likely pairs across components in large buckets; ``member``: key, doc_id, component, hub."""
+def intersections(left: list[np.ndarray], right: list[np.ndarray], columns: int = 4096) -> np.ndarray:
+    """Sizes of all pairs' intersections: products of 0/1 matrices, a slice of the shared shingles at a time."""
+    both = left + right
+    code, of = np.concatenate(both), np.repeat(np.arange(len(both)), [len(x) for x in both])
+    _, code, count = np.unique(code, return_inverse=True, return_counts=True)
+    shared = count[code] > 1
+    code, of = (np.cumsum(count > 1) - 1)[code[shared]], of[shared]
+    order = np.argsort(code, kind="stable")
+    code, of = code[order], of[order]
+    out = np.zeros((len(left), len(right)), np.float64)
+    for first in range(0, int(code[-1]) + 1 if len(code) else 0, columns):
+        a, b = np.searchsorted(code, [first, first + columns])
+        held = np.zeros((len(both), columns), np.float32)
+        held[of[a:b], code[a:b] - first] = 1
+        out += held[:len(left)] @ held[len(left):].T
+    return out
+
+
+def _block_links(member: DataFrame, docs: DataFrame, percent: int, size: int) -> DataFrame:
+    """Links across components inside buckets; ``member``: key, doc_id, component, hub.
+
+    Those outside the hub's component meet all of their bucket, block against
+    block, on full shingle sets; a link for each pair of a document and a
+    component that it reaches leaves the task.
+    """
     sizes = member.groupBy("key").agg(
         F.count("*").alias("size"),
         F.sum((F.col("component") != F.col("hub")).cast("long")).alias("outside")).where("outside > 0")
-    m = (member.join(sizes, "key")
-         .join(classes.select("doc_id", "n", "regs"), "doc_id")
+    m = C.stored(member.join(sizes, "key"), "near-open")
+    ids = C.stored(m.select("doc_id").distinct(), "near-ids")
+    sets = shingle_sets(docs.join(C.small(ids, 16), "doc_id", "left_semi"), size)
+    m = (m.join(sets, "doc_id")
          .withColumn("mb", F.expr(f"cast(ceil(size / {BLOCK}) as int)"))
          .withColumn("ob", F.expr(f"cast(ceil(outside / {BLOCK}) as int)"))
          .withColumn("h", F.expr("xxhash64(doc_id) & 9223372036854775807L")))
     out = m.where("component <> hub").select(
         "key", F.expr("cast(h % ob as int)").alias("i"), F.explode(F.expr("sequence(0, mb - 1)")).alias("j"),
-        "doc_id", "component", "n", "regs", F.lit(True).alias("outer"))
+        "doc_id", "component", "shingles", F.lit(True).alias("outer"))
     rest = m.select(
         "key", F.explode(F.expr("sequence(0, ob - 1)")).alias("i"), F.expr("cast(h % mb as int)").alias("j"),
-        "doc_id", "component", "n", "regs", F.lit(False).alias("outer"))
+        "doc_id", "component", "shingles", F.lit(False).alias("outer"))
 
     def run(f: pd.DataFrame) -> pd.DataFrame:
-        regs = np.frombuffer(b"".join(f.regs), np.uint16).reshape(len(f), -1)
-        n, ids, comp, outer = f.n.to_numpy(float), f.doc_id.to_numpy(), f.component.to_numpy(), f.outer.to_numpy()
-        other = np.flatnonzero(~outer)
-        found = [np.zeros((0, 2), np.int64)]
-        for k in np.flatnonzero(outer):
-            o = other[(comp[other] != comp[k]) & (100 * np.minimum(n[other], n[k]) >= percent * np.maximum(n[other], n[k]))]
-            if len(o):
-                x, y = regs[o], regs[k]
-                yes = o[likely((x > y).sum(1), (x == y).sum(1), (x < y).sum(1), n[o], np.full(len(o), n[k]), percent / 100)]
-                found.append(np.stack([np.minimum(ids[yes], ids[k]), np.maximum(ids[yes], ids[k])], 1))
-        return pd.DataFrame(np.concatenate(found), columns=["a", "b"])
+        left, right = f[f.outer], f[~f.outer]
+        found: list[tuple[int, int]] = []
+        if len(left) and len(right):
+            x, y = ([np.frombuffer(s, np.uint64) for s in side.shingles] for side in (left, right))
+            nx, ny = (np.array([len(s) for s in side], float) for side in (x, y))
+            cx, cy, ids = left.component.to_numpy(), right.component.to_numpy(), right.doc_id.to_numpy()
+            both = intersections(x, y)
+            linked = (100 * both >= percent * (nx[:, None] + ny[None] - both)) & (both > 0) & (cx[:, None] != cy[None])
+            for k, doc in enumerate(left.doc_id.tolist()):
+                at = np.flatnonzero(linked[k])
+                for o in at[np.unique(cy[at], return_index=True)[1]].tolist():
+                    found.append((min(doc, int(ids[o])), max(doc, int(ids[o]))))
+        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
     return out.union(rest).groupBy("key", "i", "j").applyInPandas(run, "a long, b long").distinct()
 
@@ -238,9 +266,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, percent: int = 80, siz
     at = lambda x, y: comp.select(F.col("node").alias(x), F.col("component").alias(y))
     member = (rest.join(at("doc_id", "c"), "doc_id", "left").join(at("hub", "ch"), "hub", "left")
               .select("key", "doc_id", F.coalesce("c", "doc_id").alias("component"), F.coalesce("ch", "hub").alias("hub")))
-    more = C.stored(_block_pairs(C.stored(member, "near-members"), classes, percent), "near-pairs")
+    more = C.stored(_block_links(C.stored(member, "near-members"), docs, percent, size), "near-links")
     if not more.isEmpty():
-        comp = components(links.union(_confirm(more, docs, percent, size)))
+        comp = components(links.union(more))
     labelled = C.stored(cls.join(comp.withColumnRenamed("node", "rep"), "rep", "left")
                         .select("f1", "f2", "n", F.coalesce("component", "rep").alias("component")), "near-labels")
     return (base.join(labelled.where("component is not null"), ["f1", "f2", "n"], "left")
