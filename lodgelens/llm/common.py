@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 #: Sides of at most so many bytes (row count times row width) are broadcast.
 BROADCAST_BYTES = 32 << 20
 #: Texts are worked on in pieces of about so many bytes (one text at least).
-PIECE_BYTES = 1 << 20
+PIECE_BYTES = 1 << 19
 
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -89,6 +89,17 @@ def utf8(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[at[0]:at[-1]], at - at[0]
 
 
+def slim(batches: Iterator[pa.RecordBatch], column: int, limit: int = 8 * PIECE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of about ``limit`` bytes of the text ``column`` (a row at least): batches count rows, not bytes."""
+    for batch in batches:
+        size = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        i = 0
+        while i < batch.num_rows:
+            j = max(i + 1, int(np.searchsorted(size, (size[i - 1] if i else 0) + limit, "right")))
+            yield batch.slice(i, j - i)
+            i = j
+
+
 def pieces(col: pa.Array, limit: int = PIECE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, end row, bytes, offsets) of runs of rows of about ``limit`` bytes."""
     data, at = utf8(col)

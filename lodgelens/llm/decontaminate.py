@@ -109,7 +109,7 @@ def _pass(docs: DataFrame, rows: list, threshold: float) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         items = Items(*sent.value)
-        for batch in batches:
+        for batch in C.slim(batches, 1):
             out = []
             for i, j, data, at in C.pieces(batch.column(1)):
                 row, sh = ordered_shingles(data, at)

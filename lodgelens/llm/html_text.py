@@ -194,7 +194,7 @@ def extract(spark: SparkSession, pages: DataFrame) -> DataFrame:
     tree = train()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in C.slim(batches, 2):
             text = [main_text(h.as_py(), tree) for h in batch.column(2)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(text, pa.string())], ["page_id", "url", "text"])
 

@@ -64,19 +64,13 @@ def counted_chunks(docs: DataFrame, with_text: bool) -> DataFrame:
     names = ["doc_id", "seq", "hash"] + ["chunk"] * with_text
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in C.slim(batches, 1):
             out: list[list] = [[] for _ in names]
-            size = 0
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 for seq, (chunk, counts) in enumerate(chunks(text.as_py() or "")):
                     if counts:
-                        row = (doc, seq, _hash(chunk.encode()), chunk)
-                        for c, x in zip(out, row):
+                        for c, x in zip(out, (doc, seq, _hash(chunk.encode()), chunk)):
                             c.append(x)
-                        size += len(chunk)
-                if size > 4 * C.PIECE_BYTES:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types)], names)
-                    out, size = [[] for _ in names], 0
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types)], names)
 
     types = [pa.int64(), pa.int64(), pa.int64(), pa.string()][:len(names)]
@@ -98,7 +92,7 @@ def dedup_lines(spark: SparkSession, docs: DataFrame) -> DataFrame:
     joined = docs.select(*rest, "text").join(few, F.col("doc_id").cast("long").eqNullSafe(F.col("of")), "left").drop("of")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in C.slim(batches, len(rest)):
             texts, total, removed = [], [], []
             for text, gone in zip(batch.column(len(rest)), batch.column(len(rest) + 1)):
                 text, gone = text.as_py(), gone.as_py()

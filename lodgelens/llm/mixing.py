@@ -26,6 +26,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -174,23 +175,25 @@ def mixed(spark: SparkSession, docs: DataFrame, block: int = 64, **options) -> D
     m = mix(spark, texts, block, keep=("h",), **options)
     text = texts.select("doc_id", "text", "h").dropDuplicates(["doc_id", "h"])
 
-    def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import pyarrow as pa
+    names = ["source_id", "block", "start", "doc_id", "piece"]
+    kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.string()]
 
-        for f in frames:
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in C.slim(batches, 1):
             out = []
-            for doc, whole, source, start in zip(f["doc_id"], f["text"], f["source_id"], f["start"]):
-                data, at = C.utf8(pa.array([whole], pa.string()))
+            for i, (doc, source, start) in enumerate(zip(*(batch.column(c).to_pylist() for c in (0, 2, 3)))):
+                data, at = C.utf8(batch.column(1)[i:i + 1])
                 _, a, b = C.words(data, at)
                 raw, n = data.tobytes(), len(a)
                 for k in range(start // block, (start + n - 1) // block + 1):
-                    i, j = max(0, k * block - start), min(n, (k + 1) * block - start)
-                    out.append((source, k, start, doc, raw[a[i]:b[j - 1]].decode()))
-            yield pd.DataFrame(out, columns=["source_id", "block", "start", "doc_id", "piece"]).astype({"source_id": "int32"})
+                    x, y = max(0, k * block - start), min(n, (k + 1) * block - start)
+                    out.append((source, k, start, doc, raw[a[x]:b[y - 1]].decode()))
+            columns = list(zip(*out)) or [()] * len(names)
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names)
 
     s = m.streams.where("size > 0").select("doc_id", "h", "source_id", "start")
     joined = s.join(text, (s.doc_id.eqNullSafe(text.doc_id)) & (s.h == text.h)).select(s.doc_id.cast("long").alias("doc_id"), "text", "source_id", "start")
-    pieces = joined.mapInPandas(cut, "source_id int, block long, start long, doc_id long, piece string")
+    pieces = joined.mapInArrow(cut, "source_id int, block long, start long, doc_id long, piece string")
     blocks = (pieces.groupBy("source_id", "block").agg(F.sort_array(F.collect_list(F.struct("start", "doc_id", "piece"))).alias("p"))  # at most ``block`` words
               .select("source_id", "block", F.col("p.doc_id").alias("doc_ids"), F.array_join("p.piece", "\n").alias("text")))
     return (m.slots.join(blocks, ["source_id", "block"]).join(F.broadcast(m.sources.select("source_id", "source")), "source_id")

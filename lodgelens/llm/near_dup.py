@@ -108,7 +108,7 @@ def sketched(docs: DataFrame, bands: int, rows: int, size: int = 5) -> DataFrame
     """doc_id, n (set size), f1, f2 (fingerprint of the set), regs, bands."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in C.slim(batches, 1):
             for i, j, data, at in C.pieces(batch.column(1)):
                 row, sh = C.shingles(data, at, size)
                 n = j - i
@@ -132,7 +132,7 @@ def shingle_sets(docs: DataFrame, size: int = 5) -> DataFrame:
     """doc_id, shingles: the sorted 64-bit hashes of the whole text's shingles, packed."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in C.slim(batches, 1):
             for i, j, data, at in C.pieces(batch.column(1)):
                 row, sh = C.shingles(data, at, size)
                 cut = np.searchsorted(row, np.arange(j - i + 1))

@@ -36,9 +36,9 @@ def word_counts(docs: DataFrame, kind: Column, by_document: bool) -> DataFrame:
     """(kind, word, n): occurrences of each word under each kind, or documents that hold it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in C.slim(batches, 1):
             kinds, codes = np.unique(batch.column(0).to_numpy(zero_copy_only=False).astype(str), return_inverse=True)
-            for i, j, data, at in C.pieces(lowered(batch.column(1)), 4 * C.PIECE_BYTES):
+            for i, j, data, at in C.pieces(lowered(batch.column(1))):
                 row, start, end, h = letter_words(data, at)
                 if not len(row):
                     continue
@@ -113,13 +113,13 @@ def scored(docs: DataFrame, table: DataFrame, width: int, score: Callable[[pa.Ar
         sent = spark.sparkContext.broadcast(arrays(got.column("hash").to_numpy().astype(np.int64), flat))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
+            for batch in C.slim(batches, 1):
                 yield pa.RecordBatch.from_arrays([batch.column(0), *score(batch.column(1), Words(*sent.value))], names)
 
         return docs.mapInArrow(run, f"doc_id long, {schema}")
 
     def distinct_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in C.slim(batches, 1):
             for i, j, data, at in C.pieces(lowered(batch.column(1))):
                 row, _, _, h = letter_words(data, at)
                 order = np.lexsort((h, row))
@@ -130,7 +130,7 @@ def scored(docs: DataFrame, table: DataFrame, width: int, score: Callable[[pa.Ar
             .groupBy(F.col("doc_id").alias("id")).agg(F.collect_list(F.struct("hash", "payload")).alias("hits")))
 
     def run_joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in C.slim(batches, 1):
             found = batch.column(2).flatten()  # null lists flatten to nothing
             h = found.field("hash").to_numpy(zero_copy_only=False).astype(np.int64)
             _, first = np.unique(h, return_index=True)
