@@ -173,8 +173,6 @@ def mixed(spark: SparkSession, docs: DataFrame, block: int = 64, **options) -> D
     """shard, slot, source, block, doc_ids, text: the mix itself, a row for each slot."""
     texts = docs.select("doc_id", "text", F.xxhash64("text").alias("h"), "source")
     m = mix(spark, texts, block, keep=("h",), **options)
-    text = texts.select("doc_id", "text", "h").dropDuplicates(["doc_id", "h"])
-
     names = ["source_id", "block", "start", "doc_id", "piece"]
     kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.string()]
 
@@ -192,7 +190,11 @@ def mixed(spark: SparkSession, docs: DataFrame, block: int = 64, **options) -> D
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names)
 
     s = m.streams.where("size > 0").select("doc_id", "h", "source_id", "start")
-    joined = s.join(text, (s.doc_id.eqNullSafe(text.doc_id)) & (s.h == text.h)).select(s.doc_id.cast("long").alias("doc_id"), "text", "source_id", "start")
+    text = texts.select("doc_id", "text", "h")
+    if not s.groupBy("doc_id", "h").agg(F.count("*").alias("n")).where("n > 1").isEmpty():
+        text = text.dropDuplicates(["doc_id", "h"])  # each place of a repeated row takes the one text
+    place = C.small(s, 40)  # without a broadcast the texts are shuffled to their places
+    joined = text.join(place, (s.doc_id.eqNullSafe(text.doc_id)) & (s.h == text.h)).select(s.doc_id.cast("long").alias("doc_id"), "text", "source_id", "start")
     pieces = joined.mapInArrow(cut, "source_id int, block long, start long, doc_id long, piece string")
     blocks = (pieces.groupBy("source_id", "block").agg(F.sort_array(F.collect_list(F.struct("start", "doc_id", "piece"))).alias("p"))  # at most ``block`` words
               .select("source_id", "block", F.col("p.doc_id").alias("doc_ids"), F.array_join("p.piece", "\n").alias("text")))
