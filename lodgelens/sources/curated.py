@@ -133,3 +133,6 @@ def preview(spark: SparkSession, root: str, ds, key: str, n: int = 5) -> DataFra
     return scan_curated_partition(spark, root, ds).orderBy(key).limit(n)
 
 
+def empty_guard(df: DataFrame) -> bool:
+    """True when there is nothing to process (reads at most one row)."""
+    return df.isEmpty()

@@ -68,6 +68,14 @@ def test_building_a_plan_runs_no_job(spark):
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
+class _Echo:
+    """Scores by text: 'good' -> POSITIVE 0.75; remembers nothing across calls."""
+
+    def __call__(self, texts):
+        return json.dumps({"results": [
+            {"label": "POSITIVE" if "good" in t else "NEGATIVE", "confidence": 0.75} for t in texts]})
+
+
 def test_score_batches_keeps_rows_keyed(spark):
     rows = [(str(i), "good stay" if i % 3 == 0 else "meh") for i in range(50)]
     df = spark.createDataFrame(rows, "review_id string, comments string").repartition(5)
@@ -134,11 +142,11 @@ def test_lexicon_column_matches_python_scorer(spark):
     assert col["4"] == ("NEGATIVE", 0.5) and col["5"] == ("POSITIVE", 0.8)
 
 
-def test_spread_only_when_needed(spark):
+def test_spread_deals_to_the_asked_partitions(spark):
     one = spark.range(100).coalesce(1)
     assert SC.spread(one, 4).rdd.getNumPartitions() == 4
     many = spark.range(100).repartition(6)
-    assert SC.spread(many, 4).rdd.getNumPartitions() == 6
+    assert SC.spread(many, 4).rdd.getNumPartitions() == 4
 
 
 def test_lexicon_udf_matches_columns(spark):
