@@ -84,6 +84,8 @@ def dedup_lines(spark: SparkSession, docs: DataFrame) -> DataFrame:
     found = C.stored(counted_chunks(own, True).join(C.small(repeated, 16), "hash", "left_semi"), "line-chunks")
     groups = (found.groupBy("hash", "chunk").agg(F.min(F.struct("doc_id", "seq")).alias("first"), F.count("*").alias("n"))
               .where("n > 1").drop("n"))
+    # written: a join straight onto the aggregate keeps its partitioning, which cannot be split at a chunk that is everywhere
+    groups = C.stored(groups, "line-groups")
     extra = (found.join(groups, ["hash", "chunk"]).where(~F.struct("doc_id", "seq").eqNullSafe(F.col("first")))
              .groupBy(F.col("doc_id").alias("of")).agg(F.collect_set(F.struct("seq", "hash")).alias("gone")))
     extra = C.stored(extra, "line-removed")
