@@ -1,14 +1,18 @@
 """Mixing sources to target weights.
 
 Each source's words, in a fixed order of its documents, form one stream that
-is packed into blocks of ``block`` words.  A source's target sets how many
-output slots it fills.  Slots are dealt to output shards by multinomial draws
-given the sources' totals: the shards are halved again and again, and each
-half draws its counts from its parent's, so any shard finds its own draws and
-where they begin without the others, and the totals come out exact.  The j-th
-slot of a source maps to a block through the source's pseudorandom permutation
-(a new one for each round through the source), and slots and blocks are joined
-by source and block index.
+is packed into blocks of ``block`` words.  A stream is a sequence of runs of
+about ``RUN_WORDS`` words, each of which begins a new block, so that one task
+packs a run without the others; a run's last block may be short.  A source's
+target sets how many output slots it fills.  Slots are dealt to output shards
+by multinomial draws given the sources' totals: the shards are halved again
+and again, and each half draws its counts from its parent's, so any shard
+finds its own draws and where they begin without the others, and the totals
+come out exact.  The j-th slot of a source maps to a block through the
+source's pseudorandom permutation (a new one for each round through the
+source), and slots and blocks are joined by source and block index: slots find
+the run that holds their block, and meet its documents there, so the texts are
+shuffled once.
 
 The list of sources is a parameter of a mixture: it is held by the driver and
 every task, and more than ``MOST_SOURCES`` are refused.  Documents, blocks and
@@ -27,7 +31,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import common as C
@@ -35,8 +39,8 @@ from . import common as C
 WEIGHTS = (3, 1, 2)
 SHARE, MOST_TIMES = 1.5, 2
 MOST_SOURCES = 100_000
-#: Documents whose sizes one task adds up in order.
-RUN = 50_000
+#: Words of a run on average; a run holds one document at least.
+RUN_WORDS = 1 << 21
 SHARD = 4096
 #: Hypergeometric draws are made for at most so many slots; larger totals are first cut in proportion.
 DRAWN = 500_000_000
@@ -102,41 +106,51 @@ def permuted(index: np.ndarray, n: int, key: int) -> np.ndarray:
 
 @dataclass
 class Mix:
-    """``streams``: doc_id, source, source_id, size, start (offset of the document in its source's
-    stream); ``sources``: source_id, source, words, target; ``slots``: shard, slot, source_id, block."""
+    """``placed``: doc_id, h (hash of the text), source, source_id, size, run; ``runs``: source_id, run, base (its
+    first block), blocks; ``sources``: source_id, source, source_size, target, runs; ``slots``: shard, slot, source_id, block."""
 
-    streams: DataFrame
+    placed: DataFrame
+    runs: DataFrame
     sources: DataFrame
     slots: DataFrame
     block: int
+    run_words: int
+
+
+def _placed(rows: DataFrame, sources: DataFrame) -> DataFrame:
+    """``rows(doc_id, h, source, …)`` with source_id and run."""
+    few = F.broadcast(sources.select("source_id", F.col("source").alias("s"), "runs"))
+    return (rows.join(few, F.col("source").eqNullSafe(F.col("s")))
+            .withColumn("run", F.pmod(F.xxhash64("doc_id", "h"), F.col("runs"))).drop("s", "runs"))
+
+
+def _own() -> list[Column]:
+    return [F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.col("text").cast("string")).alias("h"),
+            F.col("source").cast("string").alias("source")]
 
 
 def mix(spark: SparkSession, docs: DataFrame, block: int = 64, weights: tuple = WEIGHTS, share: float = SHARE,
-        most: float = MOST_TIMES, shard: int = SHARD, seed: int = 7, keep: tuple[str, ...] = ()) -> Mix:
-    """Plan the mix of ``docs(doc_id, text, source)``; ``keep`` names columns to carry along."""
-    rows = C.stored(docs.select("doc_id", F.col("source").cast("string").alias("source"), *keep, F.coalesce(
-        F.size(F.regexp_extract_all("text", F.lit(C.WORD), F.lit(0))), F.lit(0)).cast("long").alias("size")), "mix-sizes")
-    rows = rows.withColumn("size", F.greatest("size", F.lit(0).cast("long")))
-    found = rows.groupBy("source").agg(F.sum("size").alias("words"), F.count("*").alias("n")).limit(MOST_SOURCES + 1).collect()
+        most: float = MOST_TIMES, shard: int = SHARD, seed: int = 7, run_words: int = RUN_WORDS) -> Mix:
+    """Plan the mix of ``docs(doc_id, text, source)``."""
+    rows = C.stored(docs.select(*_own(), F.greatest(F.lit(0), F.coalesce(
+        F.size(F.regexp_extract_all("text", F.lit(C.WORD), F.lit(0))), F.lit(0))).cast("long").alias("size")), "mix-sizes")
+    found = rows.groupBy("source").agg(F.sum("size").alias("words")).limit(MOST_SOURCES + 1).collect()
     if len(found) > MOST_SOURCES:
         raise ValueError(f"a mixture has at most {MOST_SOURCES} sources")
     found.sort(key=lambda r: (r["source"] is None, (r["source"] or "").encode()))
     words = [r["words"] for r in found]
     target = targets(words, [weights[i % len(weights)] for i in range(len(found))], share, most)
-    sources = spark.createDataFrame([(i, r["source"], w, t) for i, (r, w, t) in enumerate(zip(found, words, target))],
-                                    "source_id int, source string, source_size long, target double")
-    # a document's place in its source's stream: sums inside short runs, then sums of the runs
-    runs = max(1, -(-sum(r["n"] for r in found) // RUN))
-    placed = (rows.join(F.broadcast(sources.select("source_id", F.col("source").alias("s"))), F.col("source").eqNullSafe(F.col("s"))).drop("s")
-              .withColumn("run", F.pmod(F.xxhash64("doc_id"), F.lit(runs))))
-    inside = Window.partitionBy("source_id", "run").orderBy("doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    sources = spark.createDataFrame([(i, r["source"], w, t, max(1, -(-w // run_words))) for i, (r, w, t) in enumerate(zip(found, words, target))],
+                                    "source_id int, source string, source_size long, target double, runs long")
+    placed = _placed(rows, sources)
     before = Window.partitionBy("source_id").orderBy("run").rowsBetween(Window.unboundedPreceding, -1)
-    sums = placed.groupBy("source_id", "run").agg(F.sum("size").alias("n")).withColumn("base", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n")
-    streams = C.stored(placed.withColumn("start", F.coalesce(F.sum("size").over(inside), F.lit(0))).join(sums, ["source_id", "run"])
-                       .withColumn("start", F.col("start") + F.col("base")).drop("run", "base"), "mix-streams")
+    runs = C.stored(placed.groupBy("source_id", "run").agg(F.ceil(F.sum("size") / block).cast("long").alias("blocks"))
+                    .withColumn("base", F.coalesce(F.sum("blocks").over(before), F.lit(0))), "mix-runs")
 
-    n_blocks = np.array([-(-w // block) for w in words], np.int64)
-    n_slots = np.array([min(round(t / block), most * -(-w // block)) if t < most * w else most * -(-w // block) for t, w in zip(target, words)], np.int64)
+    n_blocks = np.zeros(len(words), np.int64)
+    for r in runs.groupBy("source_id").agg(F.sum("blocks").alias("n")).collect():  # a row for each source
+        n_blocks[r["source_id"]] = r["n"]
+    n_slots = np.array([min(round(t * b / w), most * b) if 0 < t < most * w else most * b for t, w, b in zip(target, words, n_blocks.tolist())], np.int64)
     shards = max(1, -(-int(n_slots.sum()) // shard))
 
     def deal(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -154,51 +168,83 @@ def mix(spark: SparkSession, docs: DataFrame, block: int = 64, weights: tuple =
                 yield pd.DataFrame({"shard": int(k), "slot": np.arange(len(who)), "source_id": who[order].astype(np.int32), "block": at[order]})
 
     slots = spark.range(shards).mapInPandas(deal, "shard long, slot long, source_id int, block long")
-    return Mix(streams, sources, slots, block)
+    return Mix(placed, runs, sources, slots, block, run_words)
+
+
+def streams(m: Mix) -> DataFrame:
+    """The placed rows with ``start``, the document's offset in its source's stream (runs begin at whole blocks)."""
+    inside = Window.partitionBy("source_id", "run").orderBy("doc_id", "size", "h").rowsBetween(Window.unboundedPreceding, -1)
+    return (m.placed.withColumn("start", F.coalesce(F.sum("size").over(inside), F.lit(0))).join(m.runs, ["source_id", "run"])
+            .withColumn("start", F.col("start") + F.col("base") * m.block).drop("run", "base", "blocks", "h"))
 
 
 def taken(m: Mix) -> DataFrame:
     """The streams' rows with ``taken``, the words that the mix takes of each, repeats counted."""
-    piece = (m.streams.where("size > 0").withColumn("block", F.explode(F.expr(f"sequence(start div {m.block}, (start + size - 1) div {m.block})")))
+    rows = C.stored(streams(m), "mix-streams")
+    piece = (rows.where("size > 0").withColumn("block", F.explode(F.expr(f"sequence(start div {m.block}, (start + size - 1) div {m.block})")))
              .select("source_id", "start", "block", F.expr(f"least(start + size, (block + 1) * {m.block}) - greatest(start, block * {m.block})").alias("n")))
     times = m.slots.groupBy("source_id", "block").agg(F.count("*").alias("times"))
     # a nonempty document's start is unique in its source
     took = piece.join(times, ["source_id", "block"]).groupBy("source_id", "start").agg(F.sum(F.col("n") * F.col("times")).alias("t"))
-    empty = m.streams.where("size = 0").withColumn("taken", F.lit(0).cast("long"))
-    return (m.streams.where("size > 0").join(took, ["source_id", "start"], "left").withColumn("taken", F.coalesce("t", F.lit(0).cast("long"))).drop("t")
+    empty = rows.where("size = 0").withColumn("taken", F.lit(0).cast("long"))
+    return (rows.where("size > 0").join(took, ["source_id", "start"], "left").withColumn("taken", F.coalesce("t", F.lit(0).cast("long"))).drop("t")
             .unionByName(empty))
 
 
+def packed(texts: pa.Table, wanted: np.ndarray, block: int) -> dict[int, tuple[list, str]]:
+    """The ``wanted`` blocks (doc_ids, text) of a run of documents ``texts(doc_id, h, text)``, by place in the run."""
+    found = []  # of each document: order, bytes, where its words begin and end
+    at_row = 0
+    ids, h = texts["doc_id"].to_pylist(), texts["h"].to_pylist()
+    for chunk in texts["text"].chunks:
+        for i, j, data, at in C.pieces(chunk):
+            row, a, b = C.words(data, at)
+            cut = np.searchsorted(row, np.arange(j - i + 1))
+            for k in range(j - i):
+                who = at_row + i + k
+                x, y = cut[k], cut[k + 1]
+                if x < y:
+                    found.append(((ids[who] is not None, ids[who] or 0, int(y - x), h[who]), data, a[x:y], b[x:y]))
+        at_row += len(chunk)
+    found.sort(key=lambda f: f[0])
+    open_, out, start = set(wanted.tolist()), {}, 0
+    for (known, doc, n, _), data, a, b in found:
+        for k in range(start // block, (start + n - 1) // block + 1):
+            if k in open_:
+                x, y = max(0, k * block - start), min(n, (k + 1) * block - start)
+                docs, parts = out.setdefault(k, ([], []))
+                docs.append(doc if known else None)
+                parts.append(data[a[x]:b[y - 1]].tobytes())
+        start += n
+    return {k: (docs, b"\n".join(parts).decode()) for k, (docs, parts) in out.items()}
+
+
 def mixed(spark: SparkSession, docs: DataFrame, block: int = 64, **options) -> DataFrame:
     """shard, slot, source, block, doc_ids, text: the mix itself, a row for each slot."""
-    texts = docs.select("doc_id", "text", F.xxhash64("text").alias("h"), "source")
-    m = mix(spark, texts, block, keep=("h",), **options)
-    names = ["source_id", "block", "start", "doc_id", "piece"]
-    kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.string()]
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in C.slim(batches, 1):
-            out = []
-            for i, (doc, source, start) in enumerate(zip(*(batch.column(c).to_pylist() for c in (0, 2, 3)))):
-                data, at = C.utf8(batch.column(1)[i:i + 1])
-                _, a, b = C.words(data, at)
-                raw, n = data.tobytes(), len(a)
-                for k in range(start // block, (start + n - 1) // block + 1):
-                    x, y = max(0, k * block - start), min(n, (k + 1) * block - start)
-                    out.append((source, k, start, doc, raw[a[x]:b[y - 1]].decode()))
-            columns = list(zip(*out)) or [()] * len(names)
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names)
-
-    s = m.streams.where("size > 0").select("doc_id", "h", "source_id", "start")
-    text = texts.select("doc_id", "text", "h")
-    if not s.groupBy("doc_id", "h").agg(F.count("*").alias("n")).where("n > 1").isEmpty():
-        text = text.dropDuplicates(["doc_id", "h"])  # each place of a repeated row takes the one text
-    place = C.small(s, 40)  # without a broadcast the texts are shuffled to their places
-    joined = text.join(place, (s.doc_id.eqNullSafe(text.doc_id)) & (s.h == text.h)).select(s.doc_id.cast("long").alias("doc_id"), "text", "source_id", "start")
-    pieces = joined.mapInArrow(cut, "source_id int, block long, start long, doc_id long, piece string")
-    blocks = (pieces.groupBy("source_id", "block").agg(F.sort_array(F.collect_list(F.struct("start", "doc_id", "piece"))).alias("p"))  # at most ``block`` words
-              .select("source_id", "block", F.col("p.doc_id").alias("doc_ids"), F.array_join("p.piece", "\n").alias("text")))
-    return (m.slots.join(blocks, ["source_id", "block"]).join(F.broadcast(m.sources.select("source_id", "source")), "source_id")
+    m = mix(spark, docs, block, **options)
+    texts = _placed(docs.where("text is not null").select(*_own(), F.col("text").cast("string").alias("text")), m.sources).drop("source")
+    # the run that holds a slot's block: both meet in cells of as many blocks as a run has on average
+    cell = max(1, m.run_words // block)
+    homes = m.runs.where("blocks > 0").withColumn("cell", F.explode(F.expr(f"sequence(base div {cell}, (base + blocks - 1) div {cell})")))
+    slots = (m.slots.withColumn("cell", F.expr(f"block div {cell}")).join(homes, ["source_id", "cell"])
+             .where("block between base and base + blocks - 1").select("source_id", "run", "base", "shard", "slot", "block"))
+    kinds = pa.schema([("shard", pa.int64()), ("slot", pa.int64()), ("source_id", pa.int32()), ("block", pa.int64()),
+                       ("doc_ids", pa.list_(pa.int64())), ("text", pa.string())])
+
+    def fill(left: pa.Table, right: pa.Table) -> pa.Table:
+        if not right.num_rows:
+            return kinds.empty_table()
+        place = right["block"].to_numpy() - right["base"].to_numpy()
+        wanted, which = np.unique(place, return_inverse=True)
+        got = packed(left, wanted, block)
+        ids = pa.array([got[k][0] for k in wanted.tolist()], kinds.field("doc_ids").type)
+        text = pa.array([got[k][1] for k in wanted.tolist()], pa.string())
+        which = pa.array(which)
+        return pa.Table.from_arrays([right["shard"], right["slot"], right["source_id"], right["block"], ids.take(which), text.take(which)], schema=kinds)
+
+    filled = texts.groupBy("source_id", "run").cogroup(slots.groupBy("source_id", "run")).applyInArrow(
+        fill, "shard long, slot long, source_id int, block long, doc_ids array<long>, text string")
+    return (filled.join(F.broadcast(m.sources.select("source_id", "source")), "source_id")
             .select("shard", "slot", "source", "block", "doc_ids", "text"))
 
 

@@ -287,6 +287,26 @@ def test_mix_near_targets(spark):
     assert sum(len(t.split()) for t in out.text) == got.taken.sum()
 
 
+def test_mix_of_many_runs(spark):
+    docs = common.table(spark, "/root/testdata/sf0.001", "documents").select("doc_id", "text", "source")
+    m = mixing.mix(spark, docs, 16, run_words=1000)
+    assert m.runs.count() > 2 * m.sources.count()
+    slots = m.slots.toPandas()
+    out = mixing.mixed(spark, docs, 16, run_words=1000).toPandas()
+    assert len(out) == len(slots) and not out.duplicated(["shard", "slot"]).any()
+    assert sorted(zip(out.shard, out.slot, out.block)) == sorted(zip(slots.shard, slots.slot, slots.block))
+    # brute force: the streams cut into blocks
+    text = {r.doc_id: (r.text or "").split() for r in docs.collect()}
+    blocks = {}
+    for r in sorted(mixing.streams(m).where("size > 0").collect(), key=lambda r: r.start):
+        for w, word in enumerate(text[r.doc_id], r.start):
+            blocks.setdefault((r.source, w // 16), []).append(word)
+    assert all(t.split() == blocks[s, b] for s, b, t in zip(out.source, out.block, out.text))
+    by_doc = {r.doc_id: (r.taken, r["size"]) for r in mixing.taken(m).collect()}
+    assert sum(t for t, _ in by_doc.values()) == sum(len(t.split()) for t in out.text)
+    assert all(t <= 2 * n for t, n in by_doc.values())
+
+
 def test_mix_odd_rows(spark):
     rows = [(1, None, "a"), (2, "", "b"), (3, "x y z", None), (4, "x y z", "b"), (4, "x y z", "b"), (None, "q r", "a")]
     d = frame(spark, rows, "doc_id long, text string, source string")
@@ -294,6 +314,7 @@ def test_mix_odd_rows(spark):
     got = mixing.taken(m).collect()
     assert len(got) == 6 and all(r.taken <= 2 * r["size"] for r in got)
     assert mixing.mixed(spark, d, 2).count() == m.slots.count()
+    assert mixing.mixed(spark, d.where("false"), 2).count() == 0
     empty = mixing.mix(spark, d.where("false"), 2)
     assert mixing.taken(empty).count() == 0
 
