@@ -183,7 +183,8 @@ def taken(m: Mix) -> DataFrame:
     rows = C.stored(streams(m), "mix-streams")
     piece = (rows.where("size > 0").withColumn("block", F.explode(F.expr(f"sequence(start div {m.block}, (start + size - 1) div {m.block})")))
              .select("source_id", "start", "block", F.expr(f"least(start + size, (block + 1) * {m.block}) - greatest(start, block * {m.block})").alias("n")))
-    times = m.slots.groupBy("source_id", "block").agg(F.count("*").alias("times"))
+    # merged: the plan takes the slots for as small as the range of shards that they are dealt from, and would broadcast them
+    times = m.slots.groupBy("source_id", "block").agg(F.count("*").alias("times")).hint("merge")
     # a nonempty document's start is unique in its source
     took = piece.join(times, ["source_id", "block"]).groupBy("source_id", "start").agg(F.sum(F.col("n") * F.col("times")).alias("t"))
     empty = rows.where("size = 0").withColumn("taken", F.lit(0).cast("long"))
@@ -226,7 +227,7 @@ def mixed(spark: SparkSession, docs: DataFrame, block: int = 64, **options) -> D
     # the run that holds a slot's block: both meet in cells of as many blocks as a run has on average
     cell = max(1, m.run_words // block)
     homes = m.runs.where("blocks > 0").withColumn("cell", F.explode(F.expr(f"sequence(base div {cell}, (base + blocks - 1) div {cell})")))
-    slots = (m.slots.withColumn("cell", F.expr(f"block div {cell}")).join(homes, ["source_id", "cell"])
+    slots = (m.slots.withColumn("cell", F.expr(f"block div {cell}")).hint("merge").join(C.small(homes, 40), ["source_id", "cell"])
              .where("block between base and base + blocks - 1").select("source_id", "run", "base", "shard", "slot", "block"))
     kinds = pa.schema([("shard", pa.int64()), ("slot", pa.int64()), ("source_id", pa.int32()), ("block", pa.int64()),
                        ("doc_ids", pa.list_(pa.int64())), ("text", pa.string())])
