@@ -19,7 +19,8 @@ every task, and more than ``MOST_SOURCES`` are refused.  Documents, blocks and
 slots are never held whole by anyone.
 
 A null text has size 0, and sizes of 0 are never taken.  A null source is a
-source of its own.  Rows that repeat a doc_id are documents of their own.  An
+source of its own.  Rows that repeat a doc_id are documents of their own; rows
+that repeat id, text and source fall into one run, which grows with them.  An
 empty table gives an empty mix.  Other columns are not looked at.
 """
 
