@@ -260,6 +260,44 @@ def test_line_dedup_matches_brute_force(spark):
     assert line_dedup.dedup_lines(spark, frame(spark, [], "doc_id long, text string")).count() == 0
 
 
+def passages_cut(docs):
+    """Brute force: the lines of a passage (two lines and 20 words, or one line of 50) that occurs earlier go."""
+    seen, out = set(), []
+    for t in docs:
+        lines = t.split("\n")
+        spans = [(i, j) for i in range(len(lines)) for j in range(i, len(lines)) if lines[i].strip() and lines[j].strip()
+                 and (n := len(" ".join(lines[i:j + 1]).split())) >= (50 if i == j else 20)]
+        gone = set()
+        for i, j in spans:  # in order of their first lines
+            x = "\n".join(lines[i:j + 1])
+            if x in seen:
+                gone.update(range(i, j + 1))
+            seen.add(x)
+        out.append("\n".join(x for k, x in enumerate(lines) if k not in gone))
+    return out
+
+
+@pytest.mark.parametrize("hash_bits", [64, 6])
+def test_line_dedup_of_short_lines(spark, hash_bits):
+    """Repeated passages of 2 to 10 lines of 5 to 30 words, blank lines in some, whole at every place; short lines stay."""
+    rng = random.Random(11)
+    passages = [[words(rng, -(-60 // n)) for _ in range(n)] for n in range(2, 11) for _ in range(3)]
+    passages += [[words(rng, 15), "", words(rng, 15)], [words(rng, 60), words(rng, 4)], [words(rng, 7)] * 6]
+    docs = []
+    for i in range(60):
+        blocks = [[words(rng, rng.randint(1, 12))] for _ in range(rng.randint(0, 3))] + [["read more"]]
+        for p in rng.sample(passages, 3):
+            p = p if rng.random() < 0.7 else p[rng.randint(0, 1):]
+            blocks.insert(rng.randint(0, len(blocks)), p)
+        docs.append("\n".join(itertools.chain(*blocks)))
+    docs += ["read more"] * 2
+    got = line_dedup.dedup_lines(spark, frame(spark, list(enumerate(docs)), "doc_id long, text string"), hash_bits).collect()
+    assert [r.text for r in sorted(got, key=lambda r: r.doc_id)] == passages_cut(docs)
+    for p in passages[:27]:
+        assert sum("\n".join(p) in r.text for r in got) <= 1
+    assert [r.text for r in got if r.doc_id >= 60] == ["read more"] * 2
+
+
 def test_targets():
     assert mixing.targets([100, 100, 100], [3, 1, 2]) == pytest.approx([200, 250 / 3, 500 / 3])
     assert mixing.targets([0, 10], [3, 1]) == pytest.approx([0, 15])
