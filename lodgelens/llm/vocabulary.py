@@ -87,6 +87,23 @@ def hashed(table: DataFrame, width: int) -> DataFrame:
     return table.select("word", "payload").mapInArrow(run, "hash long, payload array<float>").dropDuplicates(["hash"])
 
 
+def arrays(hashes: np.ndarray, payload: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """What ``Words`` is made of."""
+    hashes = hashes.view(np.uint64)
+    order = np.argsort(hashes)
+    return hashes[order], payload.flatten().to_numpy(zero_copy_only=False).astype(np.float32).reshape(-1, width)[order]
+
+
+def sent(rows: DataFrame, width: int, broadcast_bytes: int | None = None):
+    """A broadcast of the (stored) ``rows(hash, payload)``, or None if they are more than ``broadcast_bytes`` in size."""
+    if rows.count() * (8 + 4 * width) > (C.BROADCAST_BYTES if broadcast_bytes is None else broadcast_bytes):
+        return None
+    got = rows.toArrow()
+    flat = got.column("payload").combine_chunks() if len(got) else pa.array([], pa.list_(pa.float32()))
+    flat = flat if isinstance(flat, pa.Array) else pa.concat_arrays(flat.chunks)
+    return rows.sparkSession.sparkContext.broadcast(arrays(got.column("hash").to_numpy().astype(np.int64), flat, width))
+
+
 def scored(docs: DataFrame, table: DataFrame, width: int, score: Callable[[pa.Array, Words], list[pa.Array]], schema: str,
            broadcast_bytes: int | None = None) -> DataFrame:
     """``docs`` columns doc_id, text go in; doc_id and what ``score`` returns come out.
@@ -95,26 +112,15 @@ def scored(docs: DataFrame, table: DataFrame, width: int, score: Callable[[pa.Ar
     ``broadcast_bytes`` in size.  If not, each document's distinct words are
     joined with it by hash, and a task's table is what its documents hold.
     """
-    spark = docs.sparkSession
-    limit = C.BROADCAST_BYTES if broadcast_bytes is None else broadcast_bytes
     names = ["doc_id", *StructType.fromDDL(schema).names]
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rows = C.stored(hashed(table, width), "word-table")
 
-    def arrays(hashes: np.ndarray, payload: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        hashes = hashes.view(np.uint64)
-        order = np.argsort(hashes)
-        return hashes[order], payload.flatten().to_numpy(zero_copy_only=False).astype(np.float32).reshape(-1, width)[order]
-
-    if rows.count() * (8 + 4 * width) <= limit:
-        got = rows.toArrow()
-        flat = got.column("payload").combine_chunks() if len(got) else pa.array([], pa.list_(pa.float32()))
-        flat = flat if isinstance(flat, pa.Array) else pa.concat_arrays(flat.chunks)
-        sent = spark.sparkContext.broadcast(arrays(got.column("hash").to_numpy().astype(np.int64), flat))
-
+    table = sent(rows, width, broadcast_bytes)
+    if table is not None:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in C.slim(batches, 1):
-                yield pa.RecordBatch.from_arrays([batch.column(0), *score(batch.column(1), Words(*sent.value))], names)
+                yield pa.RecordBatch.from_arrays([batch.column(0), *score(batch.column(1), Words(*table.value))], names)
 
         return docs.mapInArrow(run, f"doc_id long, {schema}")
 
@@ -134,7 +140,7 @@ def scored(docs: DataFrame, table: DataFrame, width: int, score: Callable[[pa.Ar
             found = batch.column(2).flatten()  # null lists flatten to nothing
             h = found.field("hash").to_numpy(zero_copy_only=False).astype(np.int64)
             _, first = np.unique(h, return_index=True)
-            own = Words(*arrays(h[first], found.field("payload").take(pa.array(first))))
+            own = Words(*arrays(h[first], found.field("payload").take(pa.array(first)), width))
             yield pa.RecordBatch.from_arrays([batch.column(0), *score(batch.column(1), own)], names)
 
     return (docs.join(hits, F.col("doc_id").eqNullSafe(F.col("id")), "left").select("doc_id", "text", "hits")

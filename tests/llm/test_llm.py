@@ -164,6 +164,44 @@ def test_language_odd_rows(spark):
     assert {r.lang_pred for r in language.identify(spark, docs, train.where("false")).collect()} == {"und"}
 
 
+def test_language_backoff_matches_exact_grams(spark):
+    """Every distinct character n-gram has its own count, with more of them than a fixed table could keep apart."""
+    rng = random.Random(12)
+    word = lambda letters: "".join(rng.choices(letters, k=rng.randint(2, 9)))
+    train = [(" ".join(word(x) for _ in range(8000)), k) for x, k in (("abcdefghijklmnoé", "en"), ("hijklmnopqrstuvß", "fr"))] * 2
+    train += [("once once once", "en"), (word("abc"), None)]
+    docs = [(i, " ".join(word("abchijkuvwéßжz") for _ in range(rng.randint(1, 4)))) for i in range(200)] + [(900, "жжжж"), (901, "once wzwz")]
+    seen = {k: collections.Counter(w for t, y in train if y == k for w in t.split()) for k in ("en", "fr")}
+    n_words = len(set().union(*seen.values()))
+    grams = lambda w, n: [f" {w} "[k:k + n] for k in range(len(w) + 3 - n)]
+    held = {(k, n): collections.Counter() for k in seen for n in range(1, 5)}
+    for k, n in held:
+        for w, c in seen[k].items():
+            for g in grams(w, n):
+                held[k, n][g] += c
+    distinct = {n: len(set(held["en", n]) | set(held["fr", n])) for n in range(1, 5)}
+    assert distinct[4] > 32768
+
+    def value(w, k):
+        if sum(c[w] for c in seen.values()) >= 3:
+            return np.log((seen[k][w] + 0.5) / (sum(seen[k].values()) + 0.5 * n_words))
+        for n in range(4, 0, -1):
+            hits = [g for g in grams(w, n) if held["en", n][g] + held["fr", n][g]]
+            if hits:
+                all_of = sum(held[k, n].values()) + 0.5 * distinct[n]
+                return np.mean([np.log((held[k, n][g] + 0.5) / all_of) for g in hits]) + (4 - n) * np.log(0.4)
+
+    want = {}
+    for d, t in docs:
+        x = {k: sum(value(w, k) for w in t.split()) for k in seen}
+        want[d] = max(x, key=x.get), 1 / (1 + np.exp(min(x.values()) - max(x.values())))
+    for limit in (None, 0):
+        got = language.identify(spark, frame(spark, docs, "doc_id long, text string"), frame(spark, train, "text string, lang string"), limit).collect()
+        assert len(got) == len(docs)
+        assert all(r.score == pytest.approx(want[r.doc_id][1], abs=1e-4) for r in got)
+        assert all(r.lang_pred == want[r.doc_id][0] for r in got if r.score > 0.5001)
+
+
 def test_segments_match_brute_force():
     def brute(x):
         best = None
