@@ -17,12 +17,33 @@ LEAST_SURE = 0.5
 MIX_BLOCK = 256
 
 
+#: The name of the row key beside a table's own columns.
+KEY = "_row_key"
+
+
+def keyed(docs: DataFrame) -> DataFrame:
+    """``docs`` with a key of each row's doc_id and text, null or not: rows equal in both share it (63 bits of a hash)."""
+    i, text = F.col("doc_id").cast("long"), F.col("text").cast("string")
+    return docs.withColumn(KEY, F.xxhash64(i.isNull(), i, text.isNull(), text).bitwiseAND(F.lit((1 << 63) - 1)))
+
+
+def by_key(docs: DataFrame) -> DataFrame:
+    """What the operators are given: the row key as doc_id, and the text."""
+    return docs.select(F.col(KEY).alias("doc_id"), "text")
+
+
+def without(docs: DataFrame, gone: DataFrame, tag: str) -> DataFrame:
+    """``docs`` but for the rows whose keys ``gone`` holds as doc_id."""
+    gone = common.small(common.stored(gone.select(F.col("doc_id").alias(KEY)).distinct(), tag), 16)
+    return docs.join(gone, KEY, "left_anti")
+
+
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Reject documents without a letter or without a sure language; a null id is rejected, too."""
-    found = language.identify(spark, docs, docs.where(~common.held_out()).select("text", "lang"))
-    bad = found.where((F.col("lang_pred") == "und") | (F.col("score") < LEAST_SURE) | F.col("doc_id").isNull()).select("doc_id").distinct()
-    bad = common.small(common.stored(bad, "language-rejected"), 16)
-    return docs.where("doc_id is not null").join(bad, "doc_id", "left_anti").select(docs.columns)
+    """Reject documents without a letter or without a sure language."""
+    rows = keyed(docs)
+    found = language.identify(spark, by_key(rows), docs.where(~common.held_out()).select("text", "lang"))
+    bad = found.where((F.col("lang_pred") == "und") | (F.col("score") < LEAST_SURE))
+    return without(rows, bad, "language-rejected").select(docs.columns)
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,17 +56,26 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays."""
-    gone = near_dup.near_duplicates(spark, docs).where(~F.col("kept")).select("doc_id").distinct()
-    gone = common.small(common.stored(gone, "near-dropped"), 16)
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    """One row of each group of near-duplicates stays: the least doc_id (null last), and of rows equal in id and text one."""
+    rows = keyed(docs)
+    found = near_dup.near_duplicates(spark, by_key(rows)).where("n_shingles > 0")
+    found = common.stored(found.groupBy(F.col("doc_id").alias(KEY), "component_id").agg(F.count("*").alias("copies")), "near-found")
+    groups = found.groupBy("component_id").agg(F.count("*").alias("keys")).where("keys > 1").select("component_id")
+    linked = common.stored(found.join(groups, "component_id").select(KEY, "component_id"), "near-linked")
+    ids = rows.select(KEY, F.col("doc_id").cast("long").alias("id")).join(common.small(linked, 24), KEY)
+    place = F.struct(F.col("id").isNull(), "id", KEY)
+    first = common.stored(ids.groupBy("component_id").agg(F.min(place).alias("first")).select(F.col(f"first.{KEY}").alias(KEY)), "near-kept")
+    left = without(rows, linked.join(common.small(first, 16), KEY, "left_anti").select(F.col(KEY).alias("doc_id")), "near-dropped")
+    copies = common.small(common.stored(found.where("copies > 1").select(KEY), "near-copies"), 16)
+    one = left.join(copies, KEY, "left_semi").groupBy(KEY).agg(F.min_by(F.struct(*docs.columns), F.xxhash64(*docs.columns)).alias("row"))
+    return left.join(copies, KEY, "left_anti").select(docs.columns).union(one.select("row.*"))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item go."""
-    hit = decontaminate.contained(spark, docs, common.table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
-    hit = common.small(common.stored(hit, "contaminated"), 16)
-    return docs.join(hit, "doc_id", "left_anti").select(docs.columns)
+    rows = keyed(docs)
+    hit = decontaminate.contained(spark, by_key(rows), common.table(spark, sf_dir, "benchmark"))
+    return without(rows, hit, "contaminated").select(docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -465,3 +465,26 @@ def test_pipeline(spark):
     assert set(held["decontamination"]) == clean
     out = p.run(spark, "/root/testdata/sf0.01").collect()
     assert {d for r in out for d in r.doc_ids} <= clean and out
+
+
+def test_pipeline_decides_by_row(spark):
+    """Rows without an id stay if they pass; a bad row takes no other row of its id with it; of identical rows one stays."""
+    import corpus_pipeline as p
+    sf = "/root/testdata/sf0.01"
+    table = common.table(spark, sf, "documents")
+    good = [r for r in table.where(~common.held_out()).orderBy("doc_id").limit(40).collect()]
+    texts = [r.text.split("\n")[0] for r in good]
+    item = common.table(spark, sf, "benchmark").orderBy("item_id").first().text
+
+    def table_of(rows):
+        return frame(spark, [{**good[0].asDict(), "doc_id": i, "text": t} for i, t in rows], table.schema)
+
+    docs = table_of([(None, texts[0]), (None, texts[1]), (None, "123"), (1, texts[2]), (1, "456")]).union(table.where(~common.held_out()).limit(300))
+    kept = [(r.doc_id, r.text) for r in p.identify_language(spark, docs, sf).collect()]
+    assert {(None, texts[0]), (None, texts[1]), (1, texts[2])} <= set(kept) and not {"123", "456"} & {t for _, t in kept}
+    far = ["a b c d e f g h", "k l m n o p q r", "s t u v w x y z"]
+    docs = table_of([(5, far[0]), (5, far[0]), (5, far[1]), (3, far[1]), (None, far[1]), (None, far[2]), (None, far[2]), (8, None), (8, None)])
+    kept = [(r.doc_id, r.text) for r in p.drop_near_duplicates(spark, docs, sf).collect()]
+    assert sorted(kept, key=str) == sorted([(5, far[0]), (3, far[1]), (None, far[2]), (8, None), (8, None)], key=str)
+    docs = table_of([(7, item), (7, far[0]), (None, item), (None, far[1])])
+    assert {(r.doc_id, r.text) for r in p.drop_contaminated(spark, docs, sf).collect()} == {(7, far[0]), (None, far[1])}
