@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from . import decontaminate, html_text, language, line_dedup, mixing, near_dup, pii, secrets, top_k, toxicity
+from . import (decontaminate, fill_middle, html_text, language, line_dedup, mixing, near_dup, pii, resample, secrets, token_files, top_k,
+               toxicity)
 
 QUERIES = {f.__name__: f for f in (
     html_text.op1_block_tree_text,
@@ -15,6 +16,9 @@ QUERIES = {f.__name__: f for f in (
     mixing.op8_multinomial_mix,
     language.op9_word_backoff_language,
     decontaminate.op10_minhash_containment,
+    token_files.op11_seekable_token_files,
+    fill_middle.op12_capture_fill_middle,
+    resample.op13_line_importance_draw,
 )}
 
 SQL = {
@@ -62,4 +66,21 @@ l AS (
 r AS (SELECT doc_id, doc_id AS c FROM documents UNION SELECT r.doc_id, l.b FROM r JOIN l ON l.a = r.c)
 SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, min(r.c) AS component_id, d.doc_id = min(r.c) AS kept
 FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id JOIN r ON r.doc_id = d.doc_id GROUP BY d.doc_id, n.n""",
+    "op12_capture_fill_middle": r"""
+WITH d AS (
+    SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h,
+           regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS u FROM documents),
+k AS (
+    SELECT *, len(u) AS n, CAST('0x' || substr(h, 1, 8) AS BIGINT) AS h1, CAST('0x' || substr(h, 9, 8) AS BIGINT) AS h2,
+           CAST('0x' || substr(h, 17, 8) AS BIGINT) AS h3, CAST('0x' || substr(h, 25, 8) AS BIGINT) AS h4 FROM d),
+c AS (
+    SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+           CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 50 THEN 'plain'
+                WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM k),
+p AS (
+    SELECT *, array_to_string(u[1:a], '') AS prefix, array_to_string(u[a + 1:b], '') AS middle, array_to_string(u[b + 1:], '') AS suffix FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'spm' THEN '<S>' || suffix || '<P>' || prefix || '<M>' || middle
+              ELSE '<P>' || prefix || '<S>' || suffix || '<M>' || middle END) AS output_sha256, sha256(text) AS restored_sha256
+FROM p""",
 }
