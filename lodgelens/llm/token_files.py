@@ -18,7 +18,10 @@ task tried twice) isn't part of the data.
 
 Documents go in ascending doc_id, null last; rows that repeat a doc_id follow
 each other by the hash of their text, equal rows in any order.  A null or empty
-text has the end id alone.  Texts are encoded whole.  A long document's ids stay
+text has the end id alone.  Texts are encoded whole: by one call each, or, for
+vocabularies whose pre-tokenizer drops blanks (``by_words``), word by word with
+a memo, which gives the same ids as no piece of such a vocabulary holds a blank.
+A long document's ids stay
 in one frame, so a frame holds fewer than 2^30 ids; one text beyond that is an
 error.  Other columns are not looked at.  Without rows there are no files.
 """
@@ -26,8 +29,12 @@ error.  Other columns are not looked at.  Without rows there are no files.
 from __future__ import annotations
 
 import os
+import re
 import struct
+import sys
+import types
 import uuid
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -43,6 +50,10 @@ from . import common as C
 
 #: Ids in a frame and in a file, before the document that reaches the number.
 FRAME_IDS, FILE_IDS = 1 << 16, 1 << 24
+#: Words, and pieces, that a worker remembers twice over (some 200 bytes an entry), and the longest (bytes).
+MEMO, MEMO_BYTES = 1 << 18, 64
+#: Letters that stay one letter when lowered and take part in no composition with what is not a mark.
+LATIN = re.compile("[a-z\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+")
 #: Frames that one reading task's row stands for.
 SLICE = 32
 LEVEL = 3
@@ -158,12 +169,85 @@ class FileReader:
         return np.flatnonzero(high > low).tolist()
 
 
-def _writing(folder: str, vocabulary, end_id: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from tokenizers import Tokenizer
+class _Memo(dict):
+    """Values made on first use; when full, entries not used since it was last full are forgotten."""
+
+    def __init__(self, make):
+        super().__init__()
+        self.make, self.older = make, {}
+
+    def __missing__(self, key: bytes) -> bytes | None:
+        made = self.older[key] if key in self.older else self.make(key)
+        if len(key) <= MEMO_BYTES:
+            if len(self) >= MEMO:
+                self.older = dict(self)
+                self.clear()
+            self[key] = made
+        return made
+
+
+class WordEncoder:
+    """Ids of texts (UTF-8), as u32 bytes, word by word, for byte-level vocabularies that part letters from all else.
+
+    A word without an apostrophe parts into runs of ASCII letters and non-ASCII
+    characters and runs of other characters.  Where the former are Latin letters
+    the pre-tokenizer parts as well, and such a run is one piece: it needs the
+    normalizer and the model alone.  Everything else, and what holds an added
+    token, goes through the whole tokenizer.
+    """
+
+    def __init__(self, tokenizer):
+        from tokenizers.pre_tokenizers import ByteLevel
+
+        normal, spelled = tokenizer.normalizer.normalize_str, ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        run, model = re.compile(rb"[a-z\x80-\xff]+|[^a-z\x80-\xff]+"), tokenizer.model.tokenize
+        special = re.compile(b"|".join([b"'", *(re.escape(t.content.encode()) for t in tokenizer.get_added_tokens_decoder().values())]))
+
+        def whole(word: bytes) -> bytes:
+            return array("I", tokenizer.encode_batch_fast([word.decode()], add_special_tokens=False)[0].ids).tobytes()
 
+        def piece(low: bytes) -> bytes | None:
+            text = low.decode()
+            if not low.isalpha():  # not a-z alone
+                if low.isascii():
+                    return whole(low)
+                if not LATIN.fullmatch(text):
+                    return None
+                (text, _), = spelled(normal(text))
+            return array("I", [t.id for t in model(text)]).tobytes()
+
+        def word(raw: bytes) -> bytes:
+            if special.search(raw):
+                return whole(raw)
+            parts = [pieces[r] for r in run.findall(raw.lower())]  # lowers A-Z only
+            return whole(raw) if None in parts else b"".join(parts)
+
+        pieces = _Memo(piece)
+        self.words = _Memo(word)
+
+    def __call__(self, text: bytes) -> bytes:
+        return b"".join(map(self.words.__getitem__, text.split()))  # bytes part at the ASCII blanks
+
+
+def _encoder(vocabulary: str, by_words: bool):
+    """Texts to u32 bytes; kept with its memo for the life of the worker process (this module's globals last a task)."""
+    from tokenizers import Tokenizer
+
+    kept = sys.modules.setdefault("token_files_kept", types.ModuleType("token_files_kept")).__dict__
+    key = xxhash.xxh128_hexdigest(vocabulary), by_words
+    if key not in kept:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-        tokenizer = Tokenizer.from_str(vocabulary.value)
+        tokenizer = Tokenizer.from_str(vocabulary)
+        if by_words:
+            kept[key] = lambda texts, encode=WordEncoder(tokenizer): [encode(t.encode()) for t in texts]
+        else:
+            kept[key] = lambda texts: [array("I", e.ids).tobytes() for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    return kept[key]
+
+
+def _writing(folder: str, vocabulary, end_id: int, by_words: bool):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encode, end = _encoder(vocabulary.value, by_words), array("I", [end_id]).tobytes()
         partition, attempt = TaskContext.get().partitionId(), uuid.uuid4().hex[:12]
         writer, made = None, []
 
@@ -172,9 +256,9 @@ def _writing(folder: str, vocabulary, end_id: int):
 
         for batch in C.slim(batches, 1, 2 * C.PIECE_BYTES):
             texts = [t or "" for t in batch.column(1).to_pylist()]
-            for doc_id, found in zip(batch.column(0).to_pylist(), tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
+            for doc_id, found in zip(batch.column(0).to_pylist(), encode(texts)):
                 writer = writer or FileWriter(f"{folder}/part-{partition:06d}-{len(made):04d}-{attempt}.zst")
-                writer.add(doc_id, np.array([*found.ids, end_id], np.uint32))
+                writer.add(doc_id, np.frombuffer(found + end, np.uint32))
                 if writer.ids + writer.held >= FILE_IDS:
                     done()
                     writer = None
@@ -190,7 +274,7 @@ def _arrow(schema: str) -> pa.Schema:
     return pa.schema([(n, kinds[t]) for n, t in (c.split() for c in schema.split(", "))])
 
 
-def write_ids(docs: DataFrame, folder: str, vocabulary_path: str, end_id: int, partitions: int | None = None) -> DataFrame:
+def write_ids(docs: DataFrame, folder: str, vocabulary_path: str, end_id: int, by_words: bool = False, partitions: int | None = None) -> DataFrame:
     """Encode ``docs`` (doc_id, text) into files of ``folder``; returns its manifest, which lies in ``folder``/manifest.
 
     ``vocabulary_path`` is a file of the tokenizers library; its text (a few
@@ -208,7 +292,7 @@ def write_ids(docs: DataFrame, folder: str, vocabulary_path: str, end_id: int, p
     dealt = rows.repartitionByRange(partitions, *order) if partitions else rows.repartitionByRange(*order)
     opened(folder)[0].create_dir(opened(folder)[1], recursive=True)
     files = dealt.sortWithinPartitions(*order).select("doc_id", "text")
-    files = files.mapInArrow(_writing(folder, spark.sparkContext.broadcast(text), end_id), MANIFEST)
+    files = files.mapInArrow(_writing(folder, spark.sparkContext.broadcast(text), end_id, by_words), MANIFEST)
     raw = C.stored(files, "token-files")
     before = F.sum("ids").over(Window.orderBy("partition", "file").rowsBetween(Window.unboundedPreceding, -1))  # one row a file
     raw.withColumn("start", F.coalesce(before, F.lit(0)).cast("long")).write.parquet(f"{folder}/manifest")
@@ -237,8 +321,9 @@ def _reading(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def read_ids(spark: SparkSession, folder: str) -> DataFrame:
     """doc_id, start (ids of all documents before it), n_tokens, ids (u32, little-endian) of every document, frames dealt to all tasks."""
+    tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))  # rows here are few, what they stand for is not
     slices = manifest(spark, folder).select("path", "start", F.explode(F.sequence(F.lit(0), F.col("frames") - 1, F.lit(SLICE))).alias("frame"))
-    return slices.repartition("path", "frame").mapInArrow(_reading, ROWS)
+    return slices.repartition(tasks).mapInArrow(_reading, ROWS)
 
 
 def fetch_ids(spark: SparkSession, folder: str, doc_ids: list[int]) -> DataFrame:
@@ -268,5 +353,5 @@ def op11_seekable_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lodgelens.session import scratch_path
 
     folder = scratch_path(spark, "token-ids")
-    write_ids(C.table(spark, sf_dir, "documents"), folder, public_tokenizers.path("word_bpe_49k.json"), end_id=1)
+    write_ids(C.table(spark, sf_dir, "documents"), folder, public_tokenizers.path("word_bpe_49k.json"), end_id=1, by_words=True)
     return read_ids(spark, folder).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))

@@ -12,6 +12,7 @@ import sys
 import time
 import zlib
 
+import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
@@ -69,7 +70,7 @@ def test_token_files_odd_rows(spark, monkeypatch, partitions):
     monkeypatch.setattr(token_files, "FRAME_IDS", 40)
     monkeypatch.setattr(token_files, "FILE_IDS", 300)
     folder, docs = scratch_path(spark, "ids"), spark.createDataFrame(odd_rows(), SCHEMA)
-    files = token_files.write_ids(docs, folder, VOCABULARY, 1, partitions)
+    files = token_files.write_ids(docs, folder, VOCABULARY, 1, partitions == 5, partitions)
     assert files.count() > 5
     got = unpacked(sorted(token_files.read_ids(spark, folder).collect(), key=lambda r: r.start))
     ids = [g[0] for g in got]
@@ -118,10 +119,23 @@ def test_frames_are_independent_and_checked(tmp_path):
         token_files.FileReader(path)
 
 
-def test_long_texts_are_encoded_whole(spark):
+def test_words_encode_as_their_text(monkeypatch):
+    """Word by word is the same as whole, also where the memo is emptied, on odd characters and on added tokens."""
+    monkeypatch.setattr(token_files, "MEMO", 50)
+    t, rng = Tokenizer.from_file(VOCABULARY), random.Random(9)
+    encode = token_files.WordEncoder(t)
+    odd = [chr(c) for c in range(128)] + ["'"] * 5 + list("é\u0301\u0308\u0331\u00a0\u2028\u3000ß\u0130\u03a3\u03c2\u201c\u2014\u0663\u00bd\u4f60\uff46\U0001f600")
+    bits = odd + ["don't", "'Tis", "H\u0331", "<|endoftext|>", "<|EndOfText|>", "<|startoftext|>", "x<|endoftext|>y", "word.", "WORD", "3rd", "a1b2", " ", " ", "\n", "x" * 70]
+    texts = ["".join(rng.choices(bits, k=rng.randint(0, 60))) for _ in range(3000)]
+    texts += [r[0] for r in duckdb.sql(f"select text from '{SF10}/documents.parquet'").fetchall()]
+    assert [list(np.frombuffer(encode(x.encode()), "<u4")) for x in texts] == [e.ids for e in t.encode_batch(texts, add_special_tokens=False)]
+
+
+@pytest.mark.parametrize("by_words", [False, True])
+def test_long_texts_are_encoded_whole(spark, by_words):
     rows = [(1, "word " * 200_000), (2, "x" * 100_000), (3, " \n" * 500_000)]
     folder = scratch_path(spark, "ids")
-    token_files.write_ids(spark.createDataFrame(rows, "doc_id long, text string"), folder, VOCABULARY, 1, 1)
+    token_files.write_ids(spark.createDataFrame(rows, "doc_id long, text string"), folder, VOCABULARY, 1, by_words, 1)
     got = unpacked(sorted(token_files.read_ids(spark, folder).collect(), key=lambda r: r.start))
     assert got == expected_ids(rows)
 
