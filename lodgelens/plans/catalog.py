@@ -18,6 +18,7 @@ from lodgelens.operators import analysis as AN
 from lodgelens.operators import curate as C
 from lodgelens.functions import exprs as X
 from lodgelens.operators import quality as Q
+from lodgelens.operators import rollups as RU
 from lodgelens.operators import sampling as SM
 from lodgelens.operators import scoring as SC
 from lodgelens.plans import daily as P
@@ -25,6 +26,7 @@ from lodgelens.session import scratch_path
 from lodgelens.sources import curated as CU
 from lodgelens.sources import raw as R
 from lodgelens.sources import standins as S
+from lodgelens.sources import warehouse as W
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -588,6 +590,78 @@ def preview(spark, sf):
         "listing_id", "host_id", "price", "price_bucket", "room_type")
 
 
+@register()
+def publish_version(spark, sf):
+    """Three publications of all three tables: a day, the next day re-priced by
+    +100, and one whose facts fail to be written.  The second stays visible."""
+    root = scratch_path(spark, "warehouse")
+    listing, fact, dates = S.listings_from_part(spark, sf), _fact(spark, sf), _review_calendar(spark, sf)
+    dearer = listing.withColumn("price", F.col("price") + 100)
+    W.publish(spark, {"dim_listing": listing, "dim_date": dates, "fact_reviews": fact}, root, "2024-09-01")
+    W.publish(spark, {"dim_listing": dearer, "dim_date": dates, "fact_reviews": fact}, root, "2024-09-02")
+    lost = F.when(F.col("review_id").isNotNull(), F.raise_error(F.lit("lost on purpose")).cast("string"))
+    try:
+        W.publish(spark, {"dim_listing": listing, "dim_date": dates, "fact_reviews": fact.withColumn("comments", lost)}, root, "2024-09-03")
+    except Exception as e:  # noqa: BLE001 - the failure is the point; any other error is raised again
+        if "lost on purpose" not in str(e):
+            raise
+    now = W.resolve(spark, root)
+    tables = W.read(spark, root)
+    per = tables["fact_reviews"].groupBy("listing_id").agg(F.count(F.lit(1)).alias("reviews"))
+    return (tables["dim_listing"].join(per, "listing_id", "left")
+            .select("listing_id", "price", "reviews", F.lit(now.number).alias("version"), F.lit(now.ds).alias("ds")))
+
+
+def _three_days(spark, sf) -> str:
+    """Curated tables of three days: a line item's review is staged on the day
+    of its line number mod 3.  Day two is staged wrong first (its positive
+    reviews only, scores doubled); then that day alone is replaced and updated."""
+    root = scratch_path(spark, "curated")
+    days = ["2024-09-01", "2024-09-02", "2024-09-03"]
+    day = F.element_at(F.array(*[F.lit(d).cast("date") for d in days]), (F.col("l_linenumber") % 3 + 1).cast("int"))
+    staged = S.read_table(spark, sf, "lineitem").selectExpr("l_linenumber", *S._LINEITEM_REVIEW_EXPRS).withColumn("ds", day)
+    staged = staged.drop("l_linenumber", "review_date")
+    each = F.explode(F.array(*[F.lit(d).cast("date") for d in days])).alias("ds")
+    wrong = (F.col("ds") != days[1]) | (F.col("sentiment_label") == "POSITIVE")
+    doubled = F.when(F.col("ds") == days[1], F.col("sentiment_score") * 2).otherwise(F.col("sentiment_score"))
+    CU.write_partition(staged.where(wrong).withColumn("sentiment_score", doubled), f"{root}/fact_reviews")
+    CU.write_partition(_listing(spark, sf, city=True).select("*", each), f"{root}/dim_listing")
+    CU.write_partition(_review_calendar(spark, sf).select("*", each), f"{root}/dim_date")
+    for d in days:
+        RU.update_day(spark, root, d)
+    CU.write_partition(staged.where(F.col("ds") == days[1]), f"{root}/fact_reviews", days[1])
+    RU.update_day(spark, root, days[1])
+    return root
+
+
+@register()
+def rollup_listing_sentiment(spark, sf):
+    return RU.listing_sentiment(spark, _three_days(spark, sf))
+
+
+@register()
+def rollup_city_sentiment_daily(spark, sf):
+    return RU.city_sentiment_daily(spark, _three_days(spark, sf))
+
+
+@register()
+def rollup_distinct_hosts(spark, sf):
+    """Hosts (customers) by the order's year, one sketch a year: for every run
+    of years the merged estimate's error against the exact count, as a flag."""
+    root = scratch_path(spark, "curated")
+    years = [r.y for r in S.read_table(spark, sf, "orders").select(F.year("o_orderdate").alias("y")).distinct().orderBy("y").collect()]
+    hosts = S.read_table(spark, sf, "orders").select(F.col("o_custkey").alias("host_id"), F.year("o_orderdate").alias("y"))
+    for y in years:
+        CU.write_partition(RU.host_rollup(hosts.where(F.col("y") == y)), f"{root}/rollup_hosts", f"{y}-01-01")
+    out = None
+    for y in years:
+        near = RU.distinct_hosts(spark, root, f"{years[0]}-01-01", f"{y}-01-01")
+        exact = hosts.where(F.col("y") <= y).agg(F.countDistinct("host_id").alias("hosts"))
+        row = exact.withColumn("n_hosts", F.lit(near.first().n_hosts)).select(F.lit(y).alias("to_year"), "hosts", (F.abs(F.col("n_hosts") - F.col("hosts")) <= 0.05 * F.col("hosts")).alias("near"))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
 @register()
 def quality_report(spark, sf):
     return Q.quality_report(_listing(spark, sf), _review_calendar(spark, sf), _fact(spark, sf))
@@ -613,11 +687,11 @@ def curate_day(spark, sf):
 
 @register()
 def run_day(spark, sf):
-    """Curate, score (offline scorer, default cap of 1,000 rows), gate and
-    publish one day; the published fact table."""
+    """Curate, score (offline scorer, every review), gate and publish one day,
+    and update its views; the published fact table."""
     cur, wh = scratch_path(spark, "curated"), scratch_path(spark, "warehouse")
     P.run_day(spark, _land_raw_day(spark, sf), cur, wh, "2024-09-01")
-    return spark.read.parquet(f"{wh}/fact_reviews").select(
+    return W.read(spark, wh)["fact_reviews"].select(
         "review_id", "listing_id", "date_key", "tokens_ct", "sentiment_label", "sentiment_score")
 
 

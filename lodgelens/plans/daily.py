@@ -20,10 +20,12 @@ from pyspark.util import inheritable_thread_target
 from lodgelens.contracts import FACT_REVIEWS, conform_columns
 from lodgelens.operators import curate as C
 from lodgelens.operators import quality as Q
+from lodgelens.operators import rollups as RU
 from lodgelens.operators import scoring as SC
 from lodgelens.session import scratch_path
 from lodgelens.sources import curated as CU
 from lodgelens.sources import raw as R
+from lodgelens.sources import warehouse as W
 
 TABLES = ("dim_listing", "dim_date", "fact_reviews_stage", "fact_reviews")
 
@@ -116,8 +118,12 @@ def score_day(spark: SparkSession, curated_root: str, ds=None,
     picked = SC.select_scoring_input(stage, max_tokens=knobs.max_tokens,
                                      sample_frac=knobs.sample_frac, max_rows=knobs.max_rows,
                                      seed=knobs.seed)
-    # No emptiness pre-check: it would run the whole selection twice.  An
-    # empty selection leaves an empty partition of the day.
+    fact_root = _root(curated_root, "fact_reviews")
+    if CU.empty_guard(picked):  # stops at the first row; no scorer is started for nothing
+        none = picked.limit(0).withColumns({"sentiment_label": F.lit(None).cast("string"),
+                                            "sentiment_score": F.lit(None).cast("double")})
+        CU.write_scored(none.select(*conform_columns(none, FACT_REVIEWS), F.lit("ok").alias("parse_status")), fact_root, day)
+        return day, 0
     if scorer is None:
         scored = SC.lexicon_score(picked).withColumn("parse_status", F.lit("ok"))
     else:
@@ -125,7 +131,6 @@ def score_day(spark: SparkSession, curated_root: str, ds=None,
                                   max_retries=knobs.max_retries, base_sleep=knobs.base_sleep,
                                   parallelism=knobs.parallelism, max_concurrency=knobs.max_concurrency)
     out = scored.select(*conform_columns(scored, FACT_REVIEWS), "parse_status")
-    fact_root = _root(curated_root, "fact_reviews")
     CU.write_scored(out, fact_root, day)
     return day, CU.scan_curated_partition(spark, fact_root, day).count()
 
@@ -146,19 +151,20 @@ def gate_day(spark: SparkSession, curated_root: str, ds) -> list[dict]:
     return [r.asDict() for r in report.collect()]
 
 
-def publish_day(spark: SparkSession, curated_root: str, warehouse_root: str, ds) -> dict[str, str]:
-    """Replace each warehouse table with the day's snapshot (TRUNCATE + COPY)."""
-    tables = load_day(spark, curated_root, ds)
-    paths = _together(spark, *[(lambda n=name, d=df: CU.publish_snapshot(d, _root(warehouse_root, n)))
-                        for name, df in tables.items()])
-    return dict(zip(tables, paths))
+def publish_day(spark: SparkSession, curated_root: str, warehouse_root: str, ds) -> W.Version:
+    """Replace the three warehouse tables with the day's snapshot, all at once (TRUNCATE + COPY)."""
+    return W.publish(spark, load_day(spark, curated_root, ds), warehouse_root, ds)
 
 
 def run_day(spark: SparkSession, raw_root: str, curated_root: str, warehouse_root: str, ds,
             scorer: Callable[[list[str]], str] | None = None,
             knobs: ScoringKnobs = ScoringKnobs(), stop_on_failed_gates: bool = True,
             loaded_at: _dt.datetime | None = None, place: C.Place = C.Place()) -> dict:
-    """Curate, score, gate and publish one day: that day, also when it has no reviews."""
+    """Curate, score, gate and publish one day, also when it has no reviews, and update the kept views by it.
+
+    A step that fails leaves the published version, and the days and views
+    before, as they were.
+    """
     curated = curate_day(spark, raw_root, curated_root, ds, loaded_at, place)
     day, scored_rows = score_day(spark, curated_root, ds, scorer, knobs)
     report = gate_day(spark, curated_root, day)
@@ -166,9 +172,9 @@ def run_day(spark: SparkSession, raw_root: str, curated_root: str, warehouse_roo
     if failed and stop_on_failed_gates:
         raise GateFailure(failed)
     published = publish_day(spark, curated_root, warehouse_root, day)
-    rows = {r["table_name"]: r["rows"] for r in Q.dq_row_counts(load_day(spark, curated_root, day)).collect()}
-    return {"ds": day, "curated": curated, "scored_rows": scored_rows, "rows": rows,
-            "gates": report, "published": published}
+    views = RU.update_day(spark, curated_root, day)
+    return {"ds": day, "curated": curated, "scored_rows": scored_rows, "rows": published.rows,
+            "gates": report, "published": published.folders, "version": published.number, "views": views}
 
 
 def backfill(spark: SparkSession, days: Iterable[tuple[str, object]], curated_root: str,

@@ -1,22 +1,26 @@
 """Curated tables: day-partitioned Parquet datasets.
 
 Layout: ``<root>/<table>/ds=YYYY-MM-DD/part-*.parquet``.  A write replaces
-exactly the partitions present in the DataFrame (dynamic partition
-overwrite), so re-running a day never deletes another day; a read of one day
-is a partition filter that Spark prunes at planning time.
+exactly the days that it holds, so re-running a day never deletes another.  A
+given day is written aside, to ``_aside`` under the root (which Spark's readers
+pass over), and takes the old day's place by renames once the job is through;
+a job that dies leaves the old day.  A read of one day lists that day only.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodgelens.contracts import CONTRACTS, conform
+from lodgelens.sources import storage
 
 PARTITION_COL = "ds"
+ASIDE = "_aside"
 
 
 class EmptyStageError(RuntimeError):
@@ -31,7 +35,8 @@ def write_partition(df: DataFrame, root: str, ds=None, num_files: int | None = N
     """Idempotently replace the day(s) in ``df`` under ``root``.
 
     If ``ds`` is given, exactly that day's directory is replaced, also by no
-    rows: an empty, typed partition stays.  Otherwise ``df`` must already
+    rows: an empty, typed partition stays.  The day is written aside first, so
+    until it is whole readers have the old one.  Otherwise ``df`` must already
     carry a ``ds`` column (a backfill of many days in one job); the days it
     holds are replaced, and the ``rebalance`` hint merges small days into few
     files and splits large ones.
@@ -40,9 +45,9 @@ def write_partition(df: DataFrame, root: str, ds=None, num_files: int | None = N
         day = _dt.date.fromisoformat(str(ds))
         out = df.drop(PARTITION_COL)
         out = out.repartition(num_files) if num_files else out
-        path = f"{root.rstrip('/')}/{PARTITION_COL}={day}"
-        out.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
-        return path
+        aside = f"{root.rstrip('/')}/{ASIDE}/{uuid.uuid4().hex}"
+        out.write.parquet(f"{aside}/new")
+        return _take_place(df.sparkSession, root, day, aside)
     # round-robin, not by day: hashing on ``ds`` would put a whole day in one task
     out = df.repartition(num_files) if num_files else df.hint("rebalance", PARTITION_COL)
     (out.write.mode("overwrite")
@@ -51,8 +56,38 @@ def write_partition(df: DataFrame, root: str, ds=None, num_files: int | None = N
     return root
 
 
+def _take_place(spark: SparkSession, root: str, day: _dt.date, aside: str) -> str:
+    """Put ``aside``/new in the day's place; the old day waits in ``aside`` until then."""
+    name = f"{PARTITION_COL}={day}"
+    path = f"{root.rstrip('/')}/{name}"
+    while True:
+        if storage.exists(spark, path):
+            old = f"{aside}/old-{uuid.uuid4().hex}"
+            storage.make_folder(spark, old)
+            storage.move(spark, path, f"{old}/{name}")
+        try:
+            storage.move(spark, f"{aside}/new", path)
+        except storage.AlreadyThere:
+            continue  # a rerun of the same day came between
+        storage.remove(spark, aside)
+        return path
+
+
+def restore_days(spark: SparkSession, root: str) -> list[str]:
+    """Put back days that a driver lost between the two renames left aside; the days' names."""
+    back = []
+    base = root.rstrip("/")
+    for write in storage.names(spark, f"{base}/{ASIDE}", folders=True):
+        for old in storage.names(spark, f"{base}/{ASIDE}/{write}", folders=True):
+            for name in storage.names(spark, f"{base}/{ASIDE}/{write}/{old}", folders=True):
+                if old.startswith("old-") and not storage.exists(spark, f"{base}/{name}"):
+                    storage.move(spark, f"{base}/{ASIDE}/{write}/{old}/{name}", f"{base}/{name}")
+                    back.append(name)
+    return back
+
+
 def write_scored(scored: DataFrame, root: str, ds) -> str:
-    """Write scored reviews for one day (same dynamic overwrite)."""
+    """Write scored reviews for one day (the same replacement of a day)."""
     return write_partition(scored, root, ds)
 
 
@@ -70,15 +105,9 @@ def read_table_root(spark: SparkSession, root: str) -> DataFrame:
 def list_days(spark: SparkSession, root: str) -> list[_dt.date]:
     """The ``ds=`` partition directories under ``root`` (directory names only:
     no data file is listed or opened, however many days the table holds)."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(root)
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(path):
-        return []
     days = []
-    for status in fs.listStatus(path):
-        name = status.getPath().getName()
-        if status.isDirectory() and name.startswith(f"{PARTITION_COL}="):
+    for name in storage.names(spark, root, folders=True):
+        if name.startswith(f"{PARTITION_COL}="):
             try:
                 days.append(_dt.date.fromisoformat(name.split("=", 1)[1]))
             except ValueError:
@@ -118,16 +147,6 @@ def load_snapshot(spark: SparkSession, root: str, table: str, ds) -> DataFrame:
     return conform(day, CONTRACTS[table], strict=True)
 
 
-def publish_snapshot(df: DataFrame, target: str, as_table: bool = False) -> str:
-    """Replace the warehouse copy (TRUNCATE + COPY): a path or a catalog table."""
-    writer = df.write.mode("overwrite")
-    if as_table:
-        writer.saveAsTable(target)
-    else:
-        writer.parquet(target)
-    return target
-
-
 def preview(spark: SparkSession, root: str, ds, key: str, n: int = 5) -> DataFrame:
     """The first ``n`` rows of one day of a written table, in key order."""
     return scan_curated_partition(spark, root, ds).orderBy(key).limit(n)

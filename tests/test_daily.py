@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 
 from lodgelens.operators import analysis as AN
 from lodgelens.plans import daily as P
+from lodgelens.operators import rollups as RU
 from lodgelens.sources import curated as CU
+from lodgelens.sources import warehouse as W
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -55,7 +57,7 @@ def test_golden_run_day(spark, tmp_root, raw_day):
     assert res["ds"] == dt.date(2024, 9, 1)
     assert all(g["passed"] for g in res["gates"]), res["gates"]
 
-    dim = {r.listing_id: r for r in spark.read.parquet(f"{wh}/dim_listing").collect()}
+    dim = {r.listing_id: r for r in W.read(spark, wh)["dim_listing"].collect()}
     assert sorted(dim) == ["1", "2", "3"]
     one = dim["1"]
     assert (one.price, one.price_bucket, one.bathrooms, one.host_is_superhost) == (1250.0, "gte_400", 1.5, True)
@@ -64,7 +66,7 @@ def test_golden_run_day(spark, tmp_root, raw_day):
     assert dim["2"].amenities_count == 3 and dim["2"].price_bucket == "50_99"
     assert dim["3"].host_is_superhost is None and dim["3"].review_scores_rating is None
 
-    cal = sorted(r.date_key for r in spark.read.parquet(f"{wh}/dim_date").collect())
+    cal = sorted(r.date_key for r in W.read(spark, wh)["dim_date"].collect())
     assert cal == [20240831, 20240901]  # 104's day is kept: the calendar precedes the semi join
 
     stage = {r.review_id: r for r in CU.scan_curated_partition(
@@ -73,14 +75,14 @@ def test_golden_run_day(spark, tmp_root, raw_day):
     assert stage["100"].comments == "Great place, very clean.\nWould come back!"
     assert stage["100"].tokens_ct == 7 and stage["105"].comments is None and stage["105"].tokens_ct == 1
 
-    facts = {r.review_id: r for r in spark.read.parquet(f"{wh}/fact_reviews").collect()}
+    facts = {r.review_id: r for r in W.read(spark, wh)["fact_reviews"].collect()}
     assert sorted(facts) == ["100", "101", "102"]  # 105 has no text to score
     assert facts["100"].sentiment_label == "POSITIVE" and facts["101"].sentiment_label == "NEGATIVE"
     assert res["scored_rows"] == 3
 
-    wl = spark.read.parquet(f"{wh}/dim_listing")
-    wf = spark.read.parquet(f"{wh}/fact_reviews")
-    wd = spark.read.parquet(f"{wh}/dim_date")
+    wl = W.read(spark, wh)["dim_listing"]
+    wf = W.read(spark, wh)["fact_reviews"]
+    wd = W.read(spark, wh)["dim_date"]
     months = [tuple(r) for r in AN.reviews_by_month(wf, wd).collect()]
     assert months == [(2024, 8, 1), (2024, 9, 2)]
     split = {r.sentiment_label: r.reviews for r in AN.sentiment_split(wf).collect()}
@@ -173,3 +175,34 @@ def test_place_is_a_parameter(spark, tmp_root, raw_day):
     cur = os.path.join(tmp_root, "curated")
     P.curate_day(spark, raw_day, cur, "2024-09-01", place=Place("Ghent", "East Flanders", "Belgium"))
     assert {r.city for r in spark.read.parquet(f"{cur}/dim_listing").collect()} == {"Ghent"}
+
+
+def test_a_failed_day_leaves_the_published_one(spark, tmp_root, raw_day):
+    """Gates stop day 2: readers keep day 1 of all three tables, and the kept views don't see day 2."""
+    cur, wh = os.path.join(tmp_root, "curated"), os.path.join(tmp_root, "wh")
+    P.run_day(spark, raw_day, cur, wh, "2024-09-01")
+    raw = os.path.join(tmp_root, "raw-bad")
+    _land(raw, "listings", LISTINGS.replace('"$1,250.00"', '"$12,500.00"'))
+    _land(raw, "reviews", REVIEWS)
+    with pytest.raises(P.GateFailure):
+        P.run_day(spark, raw, cur, wh, "2024-09-02")
+    v = W.resolve(spark, wh)
+    assert (v.number, v.ds, v.rows) == (1, "2024-09-01", {"dim_listing": 3, "dim_date": 2, "fact_reviews": 3})
+    assert {r.listing_id: r.reviews for r in RU.listing_sentiment(spark, cur).collect()} == {"1": 2, "2": 1}
+
+
+def test_kept_views_follow_replaced_days(spark, tmp_root, raw_day):
+    cur, wh = os.path.join(tmp_root, "curated"), os.path.join(tmp_root, "wh")
+    P.backfill(spark, [(raw_day, "2024-09-01"), (raw_day, "2024-09-02")], cur, wh)
+    assert {r.listing_id: r.reviews for r in RU.listing_sentiment(spark, cur).collect()} == {"1": 4, "2": 2}
+    raw = os.path.join(tmp_root, "raw-2")
+    _land(raw, "listings", LISTINGS)
+    _land(raw, "reviews", "id,listing_id,date,comments\n900,1,2024-09-02,great stay\n")
+    P.run_day(spark, raw, cur, wh, "2024-09-02")
+    got = {r.listing_id: (r.reviews, r.positive_rate) for r in RU.listing_sentiment(spark, cur).collect()}
+    assert got == {"1": (3, 2 / 3), "2": (1, 1.0)}
+    days = sorted((r.yyyy, r.mm, r.dd, r.city, r.reviews) for r in RU.city_sentiment_daily(spark, cur).collect())
+    assert days == [(2024, 8, 31, "London", 1), (2024, 9, 1, "London", 2), (2024, 9, 2, "London", 1)]
+    assert [r.reviews for r in RU.listing_sentiment(spark, cur, first="2024-09-02").collect()] == [1]
+    assert RU.distinct_hosts(spark, cur).first().n_hosts == 2
+    assert RU.distinct_hosts(spark, cur, last="2024-08-01").first().n_hosts == 0
