@@ -3,15 +3,17 @@
 Pipeline
 --------
 ``select_scoring_input``  non-empty text -> token cap -> seeded sample -> row cap
-``score_batches``         ``mapInPandas``: rows of each partition are grouped
+``score_batches``         ``mapInArrow``: rows of each partition are grouped
                           into batches of ``batch_size``; a pluggable scorer
                           turns one batch of texts into one reply string
-                          (the model's JSON).  Each row leaves the Python
-                          worker with its batch reply, its position and the
-                          batch size -- never zipped by position across
-                          batches.
+                          (the model's JSON).  A batch leaves the Python
+                          worker as one row, its rows in a list beside the
+                          reply; the reply is parsed once, then the rows are
+                          unpacked by position inside their own batch.
 ``parse_model_reply``     JVM-side: first ``{`` .. last ``}`` -> ``from_json``
                           -> the row's item -> label / score / parse_status.
+``ledger``                (module) remembers replies, so reruns ask only for
+                          what failed or is new.
 ``lexicon_score``         an offline scorer: word hits against a fixed word
                           list per row (an Arrow-batched pandas UDF), no
                           shuffle.
@@ -32,6 +34,7 @@ import time
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -101,29 +104,22 @@ def build_prompt(texts: list[str], max_chars: int | None = None) -> str:
 
 # -------------------------------------------------------------- reply parser
 
-def parse_model_reply(reply: Column, n: Column, pos: Column) -> Column:
-    """Label, score and status of item ``pos`` (0-based) of a reply for ``n`` texts.
-
-    * no JSON object, or a result count different from ``n``: the whole batch
-      is NEGATIVE / 0.0 (status ``no_json`` / ``count_mismatch``; ``failed``
-      when the scorer gave no reply at all);
-    * label upper-cased; anything but POSITIVE/NEGATIVE becomes NEGATIVE with
-      its confidence kept;
-    * a missing confidence is 0.0; a non-numeric confidence or a null item
-      makes that row NEGATIVE / 0.0 (``bad_item``);
-    * confidence is clamped to [0, 1].
-    """
+def reply_items(reply: Column) -> Column:
+    """The reply's results: the array in its first ``{`` .. last ``}``, or NULL."""
     obj = F.regexp_extract(reply, r"(?s)\{.*\}", 0)
-    parsed = F.from_json(F.nullif(obj, F.lit("")), REPLY_SCHEMA)
-    items = parsed.getField("results")
+    return F.from_json(F.nullif(obj, F.lit("")), REPLY_SCHEMA).getField("results")
+
+
+def item_result(answered: Column, items: Column, n: Column, pos: Column) -> Column:
+    """Label, score and status of item ``pos`` (0-based) of parsed ``items`` for ``n`` texts (see ``parse_model_reply``)."""
     count_ok = F.coalesce(F.size(items) == n, F.lit(False))
     item = F.try_element_at(items, (pos + 1).cast("int"))
     raw_label = F.upper(item.getField("label"))
     raw_conf = item.getField("confidence")
     conf = raw_conf.try_cast("double")
     bad_item = item.isNull() | (raw_conf.isNotNull() & conf.isNull()) | F.isnan(F.coalesce(conf, F.lit(0.0)))
-    status = (F.when(reply.isNull(), "failed")
-               .when(parsed.isNull() | items.isNull(), "no_json")
+    status = (F.when(~answered, "failed")
+               .when(items.isNull(), "no_json")
                .when(~count_ok, "count_mismatch")
                .when(bad_item, "bad_item")
                .otherwise("ok"))
@@ -135,6 +131,21 @@ def parse_model_reply(reply: Column, n: Column, pos: Column) -> Column:
                     status.alias("parse_status"))
 
 
+def parse_model_reply(reply: Column, n: Column, pos: Column) -> Column:
+    """Label, score and status of item ``pos`` (0-based) of a reply for ``n`` texts.
+
+    * no JSON object, or a result count different from ``n``: the whole batch
+      is NEGATIVE / 0.0 (status ``no_json`` / ``count_mismatch``; ``failed``
+      when the scorer gave no reply at all);
+    * label upper-cased; anything but POSITIVE/NEGATIVE becomes NEGATIVE with
+      its confidence kept;
+    * a missing confidence is 0.0; a non-numeric confidence or a null item
+      makes that row NEGATIVE / 0.0 (``bad_item``);
+    * confidence is clamped to [0, 1].
+    """
+    return item_result(reply.isNotNull(), reply_items(reply), n, pos)
+
+
 # ------------------------------------------------------------ batch runner
 
 def _as_reply_text(reply) -> str | None:
@@ -160,20 +171,16 @@ def _call_with_retries(scorer: Scorer, texts: list[str], max_retries: int,
     return None
 
 
-def _runner(scorer: Scorer, text_col: str, batch_size: int, max_retries: int, base_sleep: float):
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in frames:
-            n_rows = len(pdf)
-            replies, sizes, positions = [None] * n_rows, [0] * n_rows, [0] * n_rows
-            texts = pdf[text_col].tolist()
-            for start in range(0, n_rows, batch_size):
-                chunk = [t if isinstance(t, str) else "" for t in texts[start:start + batch_size]]
-                reply = _call_with_retries(scorer, chunk, max_retries, base_sleep)
-                for j in range(len(chunk)):
-                    replies[start + j] = reply
-                    sizes[start + j] = len(chunk)
-                    positions[start + j] = j
-            yield pdf.assign(_reply=replies, _batch_n=sizes, _batch_pos=positions)
+def _runner(scorer: Scorer, batch_size: int, max_retries: int, base_sleep: float):
+    """(rows..., text) -> one row a batch: the list of its rows, and the reply."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [t or "" for t in batch.column(batch.num_columns - 1).to_pylist()]
+            starts = range(0, batch.num_rows, batch_size)
+            replies = [_call_with_retries(scorer, texts[i:i + batch_size], max_retries, base_sleep) for i in starts]
+            rows = pa.StructArray.from_arrays(batch.columns[:-1], fields=list(batch.schema)[:-1])
+            lists = pa.ListArray.from_arrays(pa.array([*starts, batch.num_rows], pa.int32()), rows)
+            yield pa.RecordBatch.from_arrays([lists, pa.array(replies, pa.string())], ["_rows", "_reply"])
     return run
 
 
@@ -189,23 +196,27 @@ def spread(df: DataFrame, partitions: int | None = None) -> DataFrame:
 def score_batches(df: DataFrame, scorer: Scorer, text_col: str = "comments",
                   batch_size: int = BATCH_SIZE, max_retries: int = MAX_RETRIES,
                   base_sleep: float = BASE_SLEEP_SEC, parallelism: int | None = None,
-                  max_concurrency: int | None = None) -> DataFrame:
+                  max_concurrency: int | None = None, max_chars: int = 0) -> DataFrame:
     """All input columns plus sentiment_label, sentiment_score, parse_status.
 
     Concurrent scorer calls = number of partitions: ``parallelism`` (default
     the cluster's default parallelism) and, for a rate-limited remote model,
-    at most ``max_concurrency``.  Building the plan runs no job.
+    at most ``max_concurrency``.  The scorer sees at most ``max_chars``
+    characters of a text (0: all).  Building the plan runs no job.
     """
     want = parallelism or df.sparkSession.sparkContext.defaultParallelism
     src = spread(df, min(want, max_concurrency) if max_concurrency else want)
-    out_schema = T.StructType(src.schema.fields + [
-        T.StructField("_reply", T.StringType()),
-        T.StructField("_batch_n", T.IntegerType()),
-        T.StructField("_batch_pos", T.IntegerType()),
-    ])
-    raw = src.mapInPandas(_runner(scorer, text_col, batch_size, max_retries, base_sleep), out_schema)
-    parsed = raw.withColumn("_p", parse_model_reply(F.col("_reply"), F.col("_batch_n"), F.col("_batch_pos")))
-    return parsed.select(*df.columns, "_p.sentiment_label", "_p.sentiment_score", "_p.parse_status")
+    text = F.col(text_col).cast("string")
+    shown = src.select("*", (X.truncate_text(text, max_chars) if max_chars else text).alias("_shown"))
+    schema = T.StructType([T.StructField("_rows", T.ArrayType(T.StructType(src.schema.fields))),
+                           T.StructField("_reply", T.StringType())])
+    raw = shown.mapInArrow(_runner(scorer, batch_size, max_retries, base_sleep), schema)
+    # parsed below the explode: once a batch
+    batches = raw.select("_rows", F.col("_reply").isNotNull().alias("_answered"), reply_items(F.col("_reply")).alias("_items"))
+    rows = batches.select(F.posexplode("_rows").alias("_pos", "_row"), "_answered", "_items", F.size("_rows").alias("_n"))
+    result = item_result(F.col("_answered"), F.col("_items"), F.col("_n"), F.col("_pos"))
+    done = rows.select("_row", result.alias("_p"))
+    return done.select(*[F.col("_row").getField(c).alias(c) for c in df.columns], "_p.sentiment_label", "_p.sentiment_score", "_p.parse_status")
 
 
 # ------------------------------------------------------------------ lexicon
@@ -272,3 +283,25 @@ class LexiconReplyScorer:
             label = "POSITIVE" if p > q else "NEGATIVE"
             results.append({"label": label, "confidence": (max(p, q) + 1) / (p + q + 2)})
         return json.dumps({"results": results})
+
+
+class ScheduledFailures:
+    """``scorer``, but a batch that holds a text whose length is a multiple of ``every`` fails.  For tests and drills."""
+
+    def __init__(self, scorer: Scorer, every: int):
+        self.scorer, self.every = scorer, every
+
+    def __call__(self, texts: list[str]) -> str:
+        if any(len(t) % self.every == 0 for t in texts):
+            raise RuntimeError("a failure on schedule")
+        return self.scorer(texts)
+
+
+class ConstantReplyScorer:
+    """Answers every text alike."""
+
+    def __init__(self, label: str, confidence: float):
+        self.item = {"label": label, "confidence": confidence}
+
+    def __call__(self, texts: list[str]) -> str:
+        return json.dumps({"results": [self.item] * len(texts)})

@@ -17,6 +17,7 @@ from lodgelens.operators import adhoc as A
 from lodgelens.operators import analysis as AN
 from lodgelens.operators import curate as C
 from lodgelens.functions import exprs as X
+from lodgelens.operators import ledger as LE
 from lodgelens.operators import quality as Q
 from lodgelens.operators import rollups as RU
 from lodgelens.operators import sampling as SM
@@ -393,6 +394,34 @@ def score_batches(spark, sf):
     return scored.select("doc_id", "sentiment_label", "sentiment_score", "parse_status")
 
 
+@register()
+def score_batches_capped(spark, sf):
+    """The scorer sees the first 1,000 characters of a text, as a remote model would."""
+    d = S.read_table(spark, sf, "documents").select("doc_id", "text")
+    scored = SC.score_batches(d, SC.LexiconReplyScorer(), text_col="text", base_sleep=0.0, max_chars=X.MAX_PROMPT_CHARS)
+    return scored.select("doc_id", "sentiment_label", "sentiment_score", "parse_status")
+
+
+@register()
+def score_resumable(spark, sf):
+    """Two runs with one ledger: the first fails on texts whose length is a
+    multiple of 3; the second would answer all alike, fails on multiples of 9,
+    and is asked only about what the first left open."""
+    root = scratch_path(spark, "ledger")
+    d = S.read_table(spark, sf, "documents").select("doc_id", "text")
+    knobs = dict(key="doc_id", text_col="text", batch_size=1, max_retries=1, base_sleep=0.0)
+    LE.score_resumable(d, SC.ScheduledFailures(SC.LexiconReplyScorer(), 3), root, waves=2, **knobs)
+    second = SC.ScheduledFailures(SC.ConstantReplyScorer("POSITIVE", 0.25), 9)
+    return LE.score_resumable(d, second, root, **knobs).drop("text")
+
+
+@register()
+def truncate_text(spark, sf):
+    d = S.read_table(spark, sf, "documents")
+    cut = X.truncate_text(F.col("text"))
+    return d.select("doc_id", F.md5(cut.cast("binary")).alias("cut_md5"), F.length(cut).alias("n_chars_cut"))
+
+
 def _labels_replies(spark, sf) -> DataFrame:
     """Model replies synthesised from ``labels``: documents are batched by
     ``doc_id div 4`` (at most four per batch) and each batch gets one reply,
@@ -701,6 +730,12 @@ def price_bucket(spark, sf):
     return _listing(spark, sf).select("listing_id", "price", "price_bucket")
 
 
+@register()
+def indicator_rate(spark, sf):
+    positive = F.col("sentiment_label") == "POSITIVE"
+    return _fact(spark, sf).groupBy("date_key").agg(X.indicator_rate(positive).alias("positive_rate"))
+
+
 @register()
 def date_parts(spark, sf):
     o = S.read_table(spark, sf, "orders")

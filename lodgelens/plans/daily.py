@@ -19,6 +19,7 @@ from pyspark.util import inheritable_thread_target
 
 from lodgelens.contracts import FACT_REVIEWS, conform_columns
 from lodgelens.operators import curate as C
+from lodgelens.operators import ledger as LE
 from lodgelens.operators import quality as Q
 from lodgelens.operators import rollups as RU
 from lodgelens.operators import scoring as SC
@@ -32,7 +33,11 @@ TABLES = ("dim_listing", "dim_date", "fact_reviews_stage", "fact_reviews")
 
 @dataclasses.dataclass(frozen=True)
 class ScoringKnobs:
-    """Cost controls of the scoring step (0 switches a control off)."""
+    """Cost controls of the scoring step (0 or None switches a control off).
+
+    ``ledger`` is a folder that remembers replies over reruns (see
+    ``operators.ledger``); ``waves`` parts of the work are recorded one by one.
+    """
     max_rows: int = 0
     sample_frac: float = 0.0
     max_tokens: int = 0
@@ -42,6 +47,9 @@ class ScoringKnobs:
     base_sleep: float = SC.BASE_SLEEP_SEC
     parallelism: int | None = None
     max_concurrency: int | None = None
+    max_chars: int = 0
+    ledger: str | None = None
+    waves: int = 1
 
 
 class GateFailure(RuntimeError):
@@ -127,9 +135,10 @@ def score_day(spark: SparkSession, curated_root: str, ds=None,
     if scorer is None:
         scored = SC.lexicon_score(picked).withColumn("parse_status", F.lit("ok"))
     else:
-        scored = SC.score_batches(picked, scorer, batch_size=knobs.batch_size,
-                                  max_retries=knobs.max_retries, base_sleep=knobs.base_sleep,
-                                  parallelism=knobs.parallelism, max_concurrency=knobs.max_concurrency)
+        runner = dict(batch_size=knobs.batch_size, max_retries=knobs.max_retries, base_sleep=knobs.base_sleep,
+                      parallelism=knobs.parallelism, max_concurrency=knobs.max_concurrency, max_chars=knobs.max_chars)
+        scored = (LE.score_resumable(picked, scorer, knobs.ledger, knobs.waves, **runner) if knobs.ledger
+                  else SC.score_batches(picked, scorer, **runner))
     out = scored.select(*conform_columns(scored, FACT_REVIEWS), "parse_status")
     CU.write_scored(out, fact_root, day)
     return day, CU.scan_curated_partition(spark, fact_root, day).count()

@@ -206,3 +206,16 @@ def test_kept_views_follow_replaced_days(spark, tmp_root, raw_day):
     assert [r.reviews for r in RU.listing_sentiment(spark, cur, first="2024-09-02").collect()] == [1]
     assert RU.distinct_hosts(spark, cur).first().n_hosts == 2
     assert RU.distinct_hosts(spark, cur, last="2024-08-01").first().n_hosts == 0
+
+
+def test_a_rerun_with_a_ledger_asks_nothing(spark, tmp_root, raw_day):
+    cur = os.path.join(tmp_root, "curated")
+    P.curate_day(spark, raw_day, cur, "2024-09-01")
+    knobs = P.ScoringKnobs(base_sleep=0.0, max_retries=1, ledger=os.path.join(tmp_root, "ledger"), waves=2)
+    P.score_day(spark, cur, "2024-09-01", lambda texts: json.dumps({"results": [{"label": "POSITIVE", "confidence": 0.9}] * len(texts)}), knobs)
+
+    def unreachable(texts):
+        raise RuntimeError("asked again")
+    assert P.score_day(spark, cur, "2024-09-01", unreachable, knobs)[1] == 3
+    got = {(r.sentiment_label, r.sentiment_score, r.parse_status) for r in CU.scan_curated_partition(spark, f"{cur}/fact_reviews", "2024-09-01").collect()}
+    assert got == {("POSITIVE", 0.9, "ok")}

@@ -11,7 +11,7 @@ from lodgelens.plans.catalog import QUERIES
 
 SF = "/root/testdata/sf0.001"
 # Queries whose work is Python by design (the scorer runs in Python workers).
-PYTHON_OK = {"score_batches", "lexicon_score", "write_scored", "run_day"}
+PYTHON_OK = {"score_batches", "score_batches_capped", "lexicon_score", "write_scored", "run_day"}
 NAMES = sorted(QUERIES)  # the text-preparation queries are tested in tests/llm
 
 
@@ -24,7 +24,7 @@ def test_plan_shape(spark, name):
     plan = _plan(E.queries()[name](spark, SF))
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin"):
         assert bad not in plan, f"{name}: {bad}"
-    python_nodes = re.findall(r"(BatchEvalPython|ArrowEvalPython|MapInPandas|FlatMapGroupsInPandas)", plan)
+    python_nodes = re.findall(r"(BatchEvalPython|ArrowEvalPython|MapInPandas|MapInArrow|FlatMapGroupsInPandas)", plan)
     if name not in PYTHON_OK:
         assert not python_nodes, f"{name}: unexpected Python in plan {python_nodes}"
 
