@@ -6,15 +6,15 @@ calendar day).
 
 Scale notes
 -----------
-* Fact-level questions are answered by first reducing the fact table to one
-  row per listing (or per listing and day) with ``listing_partials``.  That
-  aggregate runs map-side before the shuffle, so a listing that holds a third
-  of all reviews collapses to one row per map task, and the later join to
-  ``dim_listing`` is one-to-one with no skew.
-* ``dim_date`` is broadcast explicitly: it has at most one row per calendar
-  day, a size bound that does not grow with the fact table.
-* ``dim_listing`` is never broadcast by hint; AQE turns the join into a
-  broadcast at run time only when the measured side is under
+* Most fact-level questions are answered by first reducing the fact table to
+  one row per listing with ``listing_partials``.  That aggregate runs map-side
+  before the shuffle, so a listing that holds a third of all reviews collapses
+  to one row per map task, and the later join to ``dim_listing`` is one-to-one
+  with no skew.  ``vw_city_sentiment_daily`` joins the fact's narrow rows
+  instead, as reviews by listing and day are about as many as reviews; the view
+  that is kept by day (``rollups``) counts by listing and day first.
+* Nothing is broadcast by hint; AQE turns a join into a broadcast at run time
+  only when the measured side is under
   ``spark.sql.adaptive.autoBroadcastJoinThreshold`` (see ``session``).
 * Every top-k ends with a unique key in the ordering, so LIMIT returns the
   same rows on every run; Spark plans it as TakeOrderedAndProject.
@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodgelens.functions import exprs as X
+from lodgelens.operators.percentiles import exact_percentiles
 
 POSITIVE = "POSITIVE"
 
@@ -70,29 +71,22 @@ def price_landscape(dim_listing: DataFrame, approximate: bool = False,
                     accuracy: int = 10000) -> DataFrame:
     """Per property type: listings, mean, median and p90 of known prices.
 
-    ``percentile`` is the exact, interpolating percentile (PERCENTILE_CONT);
-    its partial buffer holds one counter per distinct price in a group, so it
-    is bounded by the price domain rather than by the row count.
-    ``approximate`` opts into ``percentile_approx`` (a fixed-size sketch per
-    group, returns an observed value within 1/accuracy of the rank).
+    Median and p90 are exact and interpolated (PERCENTILE_CONT), found by
+    counts over ranges of prices (``percentiles``), so a type may have any
+    number of distinct prices; finding them runs jobs.  ``approximate`` opts
+    into ``percentile_approx`` (a fixed-size sketch per type, returns an
+    observed value within 1/accuracy of the rank).
     """
     if approximate:
         q = F.percentile_approx("price", [0.5, 0.9], accuracy)
-        median, p90 = q.getItem(0), q.getItem(1)
-        n, total = _n(), F.sum("price")
-        prices = dim_listing.where(F.col("price").isNotNull())
+        per = (dim_listing.where(F.col("price").isNotNull()).groupBy("property_type")
+               .agg(_n().alias("n"), F.sum("price").alias("total"), q.getItem(0).alias("median"), q.getItem(1).alias("p90")))
     else:
-        # equal prices are counted first, so a type's buffer meets each price once
-        prices = (dim_listing.where(F.col("price").isNotNull())
-                  .groupBy("property_type", "price").agg(_n().alias("n")))
-        q = F.percentile("price", F.array(F.lit(0.5), F.lit(0.9)), F.col("n"))
-        median, p90 = q.getItem(0), q.getItem(1)
-        n, total = F.sum("n"), F.sum(F.col("price") * F.col("n"))
-    return (prices.groupBy("property_type")
-            .agg(n.alias("listings"),
-                 X.round_half_up(total / n, 2).alias("avg_price"),
-                 X.round_half_up(median, 2).alias("median_price"),
-                 X.round_half_up(p90, 2).alias("p90_price"))
+        per = exact_percentiles(dim_listing, "property_type", "price", {"median": 0.5, "p90": 0.9})
+    return (per.select("property_type", F.col("n").alias("listings"),
+                       X.round_half_up(F.col("total") / F.col("n"), 2).alias("avg_price"),
+                       X.round_half_up(F.col("median"), 2).alias("median_price"),
+                       X.round_half_up(F.col("p90"), 2).alias("p90_price"))
             .orderBy(F.desc("listings"), F.asc_nulls_last("property_type")))
 
 

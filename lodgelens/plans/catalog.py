@@ -19,6 +19,7 @@ from lodgelens.operators import curate as C
 from lodgelens.functions import exprs as X
 from lodgelens.operators import ledger as LE
 from lodgelens.operators import quality as Q
+from lodgelens.operators import percentiles as PC
 from lodgelens.operators import rollups as RU
 from lodgelens.operators import sampling as SM
 from lodgelens.operators import scoring as SC
@@ -68,6 +69,14 @@ def price_landscape(spark, sf):
     return AN.price_landscape(_listing(spark, sf))
 
 
+@register()
+def exact_percentiles(spark, sf):
+    """Quantiles of the order totals by priority, one distinct price an order."""
+    at = {"lowest": 0.0, "p25": 0.25, "median": 0.5, "p99": 0.99, "highest": 1.0}
+    found = PC.exact_percentiles(S.read_table(spark, sf, "orders"), "o_orderpriority", "o_totalprice", at)
+    return found.select("o_orderpriority", "n", *[X.round_half_up(F.col(c), 4).alias(c) for c in at])
+
+
 @register()
 def top_neighbourhoods_5(spark, sf):
     return AN.top_neighbourhoods(_listing(spark, sf), 5)
