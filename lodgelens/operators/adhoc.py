@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodgelens.functions import exprs as X
+from lodgelens.operators import bitmap
 from lodgelens.operators.analysis import register_views
 from lodgelens.operators.joins import salted_join
 
@@ -112,10 +113,14 @@ def anti_join_unreviewed(listings: DataFrame, reviews: DataFrame) -> DataFrame:
 
 def semi_join_known_listings(reviews: DataFrame, listings: DataFrame,
                              salt_buckets: int | None = None) -> DataFrame:
-    """Reviews whose listing exists (``salt_buckets`` as in ``join_listing_reviews``)."""
+    """Reviews whose listing exists (``salt_buckets`` as in ``join_listing_reviews``).
+
+    A bitmap of the listing ids drops most reviews without one before the
+    others meet the listings.
+    """
     if salt_buckets:
         return salted_join(reviews, listings.select("listing_id"), "listing_id", "left_semi", salt_buckets)
-    return reviews.join(listings.select("listing_id"), "listing_id", "left_semi")
+    return bitmap.semi_join(reviews, listings, "listing_id")
 
 
 def price_category_counts(listings: DataFrame) -> DataFrame:

@@ -2,7 +2,8 @@
 
 All steps are declarative projections, one deterministic de-duplication per
 table and one left-semi join, so Catalyst prunes columns down to what the
-three outputs need and the job reads the raw input once.
+three outputs need and the job reads the raw input once.  Review texts are
+kept out of every decision: which reviews stay is found from keys and dates.
 """
 
 from __future__ import annotations
@@ -15,6 +16,8 @@ from pyspark.sql import functions as F
 
 from lodgelens.contracts import DIM_DATE, DIM_LISTING, FACT_REVIEWS_STAGE, conform
 from lodgelens.functions import exprs as X
+from lodgelens.operators.bitmap import semi_join
+from lodgelens.operators.dedupe import ROW, dedupe_by_key
 
 
 @dataclasses.dataclass(frozen=True)
@@ -26,15 +29,13 @@ class Place:
     country: str = "UK"
 
 
-def dedupe_by_key(df: DataFrame, keys: list[str] | str, order_by: list[Column] | None = None) -> DataFrame:
-    """One row per key, chosen deterministically.
+def dedupe_in_plan(df: DataFrame, keys: list[str] | str, order_by: list[Column] | None = None) -> DataFrame:
+    """``dedupe_by_key`` as one aggregate of a plan, for rows without long texts.
 
-    The survivor is the row with the greatest ``(order_by..., whole row)``
-    value, so the same row wins under any partitioning or retry (unlike
-    ``dropDuplicates``).  It is an aggregate (``max`` over a struct), so Spark
-    reduces each key on the map side before the shuffle: a key holding a third
-    of all rows becomes one row per map task, never one giant sort in a single
-    task as a ``row_number`` window would.
+    A ``max`` over a struct of the row, reduced on the map side before the
+    shuffle: a key holding a third of all rows becomes one row per map task,
+    never one giant sort in a single task as a ``row_number`` window would.
+    Runs no job of its own, but moves and sorts whole rows.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     others = [c for c in df.columns if c not in keys]
@@ -103,30 +104,51 @@ def build_dim_listing(listings: DataFrame, loaded_at: _dt.datetime | None = None
                       place: Place = Place()) -> DataFrame:
     """One curated row per listing (34 columns, contract ``DIM_LISTING``)."""
     clean = drop_null_keys(clean_listings(listings, place), ["listing_id"])
-    one = dedupe_by_key(clean, "listing_id")
+    one = dedupe_in_plan(clean, "listing_id")
     stamp = F.lit(loaded_at).cast("timestamp") if loaded_at else F.current_timestamp()
     return conform(one.withColumn("created_at", stamp), DIM_LISTING)
 
 
-def clean_reviews(reviews: DataFrame) -> DataFrame:
-    """Valid date, non-null keys, one row per review id (latest date wins)."""
+def parse_reviews(reviews: DataFrame) -> DataFrame:
+    """Typed columns, valid date and non-null keys; review ids may repeat."""
     r = reviews.select(
         F.col("review_id").cast("string").alias("review_id"),
         F.col("listing_id").cast("string").alias("listing_id"),
         X.parse_date(F.col("date")).alias("review_date"),
         F.col("comments").cast("string").alias("comments"),
     )
-    r = drop_null_keys(r, ["listing_id", "review_id", "review_date"])
-    return dedupe_by_key(r, "review_id", order_by=[F.col("review_date")])
+    return drop_null_keys(r, ["listing_id", "review_id", "review_date"])
+
+
+def clean_reviews(reviews: DataFrame) -> DataFrame:
+    """Valid date, non-null keys, one row per review id (latest date wins)."""
+    return dedupe_by_key(parse_reviews(reviews), "review_id", order_by=[F.col("review_date")])
+
+
+def unwanted_reviews(rows: DataFrame, losers: DataFrame, dim_listing: DataFrame) -> DataFrame:
+    """Numbers of the numbered reviews that lose to another of their id or whose listing isn't known.
+
+    Found from narrow columns, so that one join drops both kinds and the texts
+    are shuffled once, or not at all if the list is small enough to broadcast.
+    """
+    unknown = rows.select(ROW, "listing_id").join(dim_listing.select("listing_id"), "listing_id", "left_anti")
+    return losers.select(ROW).union(unknown.select(ROW)).distinct()
 
 
 def build_fact_stage(reviews_clean: DataFrame, dim_listing: DataFrame) -> DataFrame:
-    """Reviews of known listings with date key, token count and a NULL rating."""
-    known = dim_listing.select("listing_id")
-    f = reviews_clean.join(known, "listing_id", "left_semi")
-    f = f.select("review_id", "listing_id",
-                 X.date_key(F.col("review_date")).alias("date_key"),
-                 F.lit(None).cast("int").alias("rating"),
-                 "comments",
-                 X.token_count(F.col("comments")).alias("tokens_ct"))
+    """Reviews of known listings with date key, token count and a NULL rating.
+
+    Reviews whose listing isn't in a bitmap of the known ones go before the
+    texts are shuffled to the exact join.
+    """
+    return fact_stage(semi_join(reviews_clean, dim_listing, "listing_id"))
+
+
+def fact_stage(reviews: DataFrame) -> DataFrame:
+    """The stage columns of reviews that are known to stay."""
+    f = reviews.select("review_id", "listing_id",
+                       X.date_key(F.col("review_date")).alias("date_key"),
+                       F.lit(None).cast("int").alias("rating"),
+                       "comments",
+                       X.token_count(F.col("comments")).alias("tokens_ct"))
     return conform(f, FACT_REVIEWS_STAGE)

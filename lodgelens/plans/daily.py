@@ -19,6 +19,7 @@ from pyspark.util import inheritable_thread_target
 
 from lodgelens.contracts import FACT_REVIEWS, conform_columns
 from lodgelens.operators import curate as C
+from lodgelens.operators import dedupe as D
 from lodgelens.operators import ledger as LE
 from lodgelens.operators import quality as Q
 from lodgelens.operators import rollups as RU
@@ -80,7 +81,7 @@ def curate_day(spark: SparkSession, raw_root: str, curated_root: str, ds,
                loaded_at: _dt.datetime | None = None,
                place: C.Place = C.Place()) -> dict[str, str]:
     """Raw listings/reviews CSV -> dim_listing, dim_date, fact_reviews_stage for ``ds``."""
-    clean_path = scratch_path(spark, "reviews-clean")
+    clean_path = scratch_path(spark, "reviews-parsed")
     # Raw row counts and malformed rows are observed while the curation jobs
     # run (``observe``), so counting them costs no extra pass over the CSV.
     seen = {name: Observation(f"raw_{name}") for name in ("listings", "reviews")}
@@ -91,21 +92,20 @@ def curate_day(spark: SparkSession, raw_root: str, curated_root: str, ds,
                                     F.count_if(F.col(R.CORRUPT_COL).isNotNull()).alias("malformed"))
                          for name, df in (("listings", listings), ("reviews", reviews)))
     listing_root = _root(curated_root, "dim_listing")
-    # Reviews feed both the calendar and the facts: Parquet in the shared
-    # folder, so neither the CSV scan nor the de-duplication runs again, and
-    # the calendar reads one column.  It is independent of the listing write,
-    # so both run at once.
-    wrote_listing, _ = _together(
+    # Parsed reviews go to Parquet in the shared folder, numbered, so neither
+    # the CSV scan runs again nor do the steps that decide by keys and dates
+    # read a text.  That is independent of the listing write; both run at once.
+    wrote_listing, rows = _together(
         spark,
         lambda: CU.write_partition(C.build_dim_listing(listings, loaded_at, place), listing_root, ds),
-        lambda: C.clean_reviews(reviews).write.parquet(clean_path))
-    reviews_clean = spark.read.parquet(clean_path)
+        lambda: D.write_numbered(C.parse_reviews(reviews), ["review_id"], clean_path))
     dim_listing = CU.scan_curated_partition(spark, listing_root, ds)
+    losers = D.losing_rows(rows, ["review_id"], [F.col("review_date")])
+    gone = C.unwanted_reviews(rows, losers, dim_listing)
     wrote_date, wrote_stage = _together(
         spark,
-        lambda: CU.write_partition(C.build_dim_date(reviews_clean), _root(curated_root, "dim_date"), ds),
-        lambda: CU.write_partition(C.build_fact_stage(reviews_clean, dim_listing),
-                                   _root(curated_root, "fact_reviews_stage"), ds))
+        lambda: CU.write_partition(C.build_dim_date(D.without(rows, losers)), _root(curated_root, "dim_date"), ds),
+        lambda: CU.write_partition(C.fact_stage(D.without(rows, gone)), _root(curated_root, "fact_reviews_stage"), ds))
     raw = {f"{name}_{k}": v for name, o in seen.items() for k, v in o.get.items()}
     return {"dim_listing": wrote_listing, "dim_date": wrote_date, "fact_reviews_stage": wrote_stage,
             "raw": raw}

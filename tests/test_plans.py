@@ -46,7 +46,40 @@ def test_fact_is_reduced_before_the_listing_join(spark):
     assert plan.find("partial_count", first_join) > first_join
 
 
-def test_dedupe_aggregates_map_side(spark):
-    plan = _plan(E.queries()["dedupe_by_key"](spark, SF))
-    assert plan.count("SortAggregate") >= 2 and "partial_max" in plan
+def test_dedupe_moves_no_content(spark):
+    """Narrow fixed-width aggregates decide; contents meet the losers' numbers only."""
+    from pyspark.sql import functions as F
+
+    from lodgelens.operators import dedupe as D
+    from lodgelens.session import scratch_path
+    df = spark.range(1000).selectExpr("cast(id % 900 as string) k", "id as o", "repeat('text ', 20) as text")
+    rows = D.write_numbered(df, ["k"], scratch_path(spark, "numbered"))
+    first = rows.select("k", "o", D.ROW, D.HASH).groupBy("k").agg(F.count(F.lit(1)), F.max("o"))
+    assert "HashAggregate" in _plan(first) and "SortAggregate" not in _plan(first)
+    lost = D.losing_rows(rows, ["k"], [F.col("o")])
+    plan = _plan(D.without(rows, lost))
     assert "Window" not in plan
+    assert D.without(rows, lost).count() == 900
+
+
+def test_curation_shuffles_texts_once_at_most(spark, tmp_root):
+    """With broadcasts off, one exchange of the fact stage's plan carries the comments."""
+    from pyspark.sql import functions as F
+
+    from lodgelens.operators import curate as C
+    from lodgelens.operators import dedupe as D
+    from lodgelens.session import scratch_path
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        raw = spark.range(500).selectExpr("cast(id % 450 as string) review_id", "cast(id % 50 as string) listing_id", "'2024-09-01' date", "'some text' comments")
+        rows = D.write_numbered(C.parse_reviews(raw), ["review_id"], scratch_path(spark, "numbered"))
+        dim = spark.range(40).selectExpr("cast(id as string) listing_id")
+        losers = D.losing_rows(rows, ["review_id"], [F.col("review_date")])
+        facts = C.fact_stage(D.without(rows, C.unwanted_reviews(rows, losers, dim)))
+        lines = _plan(facts).split("\n")
+        moved = [i for i, x in enumerate(lines) if "Exchange" in x and "comments" in "".join(lines[i + 1:i + 4])]
+        assert len(moved) == 1  # the join with the unwanted rows' numbers
+        assert facts.count() == 360
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
