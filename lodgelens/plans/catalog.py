@@ -26,6 +26,7 @@ from lodgelens.operators import scoring as SC
 from lodgelens.plans import daily as P
 from lodgelens.session import scratch_path
 from lodgelens.sources import curated as CU
+from lodgelens.sources import loads as L
 from lodgelens.sources import raw as R
 from lodgelens.sources import standins as S
 from lodgelens.sources import warehouse as W
@@ -490,6 +491,22 @@ def scan_csv_raw(spark, sf):
                        F.col(R.CORRUPT_COL).isNotNull().alias("corrupt"))
 
 
+@register()
+def load_new_files(spark, sf):
+    """Two loads of a growing drop: all documents, then a second delivery of the
+    German ones beside them, of which only the new files are read."""
+    drop, ledger, out = (scratch_path(spark, n) for n in ("drop", "load-ledger", "loaded"))
+    d = S.read_table(spark, sf, "documents").select(F.col("doc_id").alias("Doc_ID"), F.col("text").alias("Text"), F.col("lang").alias("lang"))
+    for load, rows in ((1, d), (2, d.where("lang = 'de'"))):
+        R.write_csv_raw(rows, f"{drop}/delivery-{load}", _raw_files(spark))
+
+        def place(new: DataFrame, to=f"{out}/load={load}") -> int:
+            new.select(F.col("doc_id").cast("long").alias("doc_id"), F.md5(F.col("text").cast("binary")).alias("text_md5")).write.parquet(to)
+            return spark.read.parquet(to).count()
+        L.load(spark, drop, ledger, place)
+    return spark.read.option("basePath", out).parquet(out).select("doc_id", "text_md5", F.col("load").cast("int").alias("load"))
+
+
 def _raw_listings(spark, sf) -> DataFrame:
     """A messy raw listings drop built from ``part``: money strings, 't'/'f'
     flags, percent strings, JSON amenities with quotes and commas, mixed

@@ -5,7 +5,8 @@ day to day; instead the header line alone gives the column names and every
 column is read as a string, to be parsed with the ANSI-safe functions in
 ``lodgelens.functions``.  ``multiLine`` stays on because review comments hold
 newlines; a multi-line CSV file is read by one task, so parallelism comes
-from the number of input files (write raw drops as many files, not one).
+from the number of input files (write raw drops as many files, not one;
+``loads`` refuses files over a size).
 """
 
 from __future__ import annotations
@@ -34,7 +35,7 @@ def _options(multi_line: bool, extra: dict | None) -> dict:
     return opts
 
 
-def csv_header(spark: SparkSession, path: str, multi_line: bool = True,
+def csv_header(spark: SparkSession, path: str | list[str], multi_line: bool = True,
                options: dict | None = None) -> list[str]:
     """Column names from the header line (no inference pass over the data)."""
     opts = _options(multi_line, options)
@@ -58,13 +59,14 @@ def standardize_keys(df: DataFrame, key: str, *also_string: str) -> DataFrame:
     return df.withColumns(casts) if casts else df
 
 
-def scan_csv_raw(spark: SparkSession, path: str, columns: list[str] | None = None,
-                 multi_line: bool = True, options: dict | None = None) -> DataFrame:
-    """Read a raw CSV directory (gzip accepted) with every column as string.
+def scan_csv_raw(spark: SparkSession, path: str | list[str], columns: list[str] | None = None,
+                 multi_line: bool = True, options: dict | None = None, file_col: str | None = None) -> DataFrame:
+    """Read a raw CSV directory, or files (gzip accepted), with every column as string.
 
     Rows that do not fit the header (too short or too long) keep what could
     be read and carry the raw line in ``_corrupt_record`` so gates can count
-    them.  Column names are normalised (trimmed, lower case).
+    them.  Column names are normalised (trimmed, lower case).  ``file_col``
+    adds the file that a row was read from.
     """
     opts = _options(multi_line, options)
     names = columns or csv_header(spark, path, multi_line, options)
@@ -72,7 +74,10 @@ def scan_csv_raw(spark: SparkSession, path: str, columns: list[str] | None = Non
                           + [T.StructField(CORRUPT_COL, T.StringType())])
     df = (spark.read.schema(schema).options(**opts)
           .option("columnNameOfCorruptRecord", CORRUPT_COL).csv(path))
-    return normalize_columns(df)
+    if not file_col:
+        return normalize_columns(df)
+    out = normalize_columns(df.select("*", F.col("_metadata.file_path").alias("_source_file")))
+    return out.withColumnRenamed("_source_file", file_col)
 
 
 def write_csv_raw(df: DataFrame, path: str, num_files: int | None = None) -> str:
