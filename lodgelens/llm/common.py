@@ -51,6 +51,23 @@ def small(df: DataFrame, row_bytes: int) -> DataFrame:
     return F.broadcast(df) if df.count() * row_bytes <= BROADCAST_BYTES else df
 
 
+def met(rows: DataFrame, table: DataFrame, key: str, row_bytes: int, size: str = "size") -> DataFrame:
+    """``rows.join(table, key)`` with no key's rows in one task.
+
+    ``table`` is stored, has each key once and in ``size`` about how many rows
+    it meets.  A small table is broadcast; of a larger one the keys with a
+    thousandth of the rows or more (at most 1,000) are, and the others' rows
+    are shuffled without those.
+    """
+    if table.count() * row_bytes <= BROADCAST_BYTES:
+        return rows.join(F.broadcast(table), key)
+    total = table.agg(F.sum(size)).first()[0]
+    hot = F.col(size) * 1000 >= total
+    often = F.broadcast(table.where(hot))
+    rest = rows.join(often.select(key), key, "left_anti").join(table.where(~hot), key)
+    return rows.join(often, key).unionByName(rest)
+
+
 def held_out(doc_id: str | Column = "doc_id") -> Column:
     """crc32 of the id as text, mod 5, is 0.  A null id is held out."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string") if isinstance(doc_id, str)

@@ -11,7 +11,7 @@ equal and less given both exact set sizes, and what survives is confirmed on
 the full shingle sets.
 
 Documents with equal sets collapse into one class before any pair is formed.
-Pairs are formed between classes only:
+Pairs are formed between classes only, which have numbers of their own:
 
 * every member of a bucket against the bucket's most central one, by likelihood
   and then on full sets;
@@ -19,9 +19,14 @@ Pairs are formed between classes only:
   on full sets, block against block in separate tasks; only links across
   components leave the task.
 
+What holds for a whole bucket (its size, its most central member, how many are
+left outside) is a row a bucket, which members meet by ``common.met``, so a
+bucket's members are never dealt by the bucket alone.
+
 No bucket is cut.  A null or empty text has no shingles and is linked with
-nothing.  A null doc_id takes no part in linking and gets a null component.
-Rows that repeat a doc_id are one node.  Other columns are not looked at.
+nothing.  Rows that repeat a doc_id are one document: its texts' classes are
+linked.  A null doc_id links nothing; its row gets the component of an equal
+set that has an id, else a null one.  Other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -104,6 +109,14 @@ def likely(greater: np.ndarray, equal: np.ndarray, less: np.ndarray, na: np.ndar
     return fit.max(1) - over.max(1) <= GIVEN_UP
 
 
+def fingerprints(row: np.ndarray, sh: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Two 64-bit hashes of each row's set."""
+    f1, f2 = np.zeros(n, np.uint64), np.zeros(n, np.uint64)
+    np.add.at(f1, row, C.mix(sh + np.uint64(1)))
+    np.add.at(f2, row, C.mix(sh ^ np.uint64(C.PRIME)))
+    return f1, f2
+
+
 def sketched(docs: DataFrame, bands: int, rows: int, size: int = 5) -> DataFrame:
     """doc_id, n (set size), f1, f2 (fingerprint of the set), regs, bands."""
 
@@ -113,9 +126,7 @@ def sketched(docs: DataFrame, bands: int, rows: int, size: int = 5) -> DataFrame
                 row, sh = C.shingles(data, at, size)
                 n = j - i
                 regs = registers(row, sh, n)
-                f1, f2 = np.zeros(n, np.uint64), np.zeros(n, np.uint64)
-                np.add.at(f1, row, C.mix(sh + np.uint64(1)))
-                np.add.at(f2, row, C.mix(sh ^ np.uint64(C.PRIME)))
+                f1, f2 = fingerprints(row, sh, n)
                 keys = band_keys(regs, bands, rows)
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0)[i:j], pa.array(np.bincount(row, minlength=n).astype(np.int64)),
@@ -128,24 +139,30 @@ def sketched(docs: DataFrame, bands: int, rows: int, size: int = 5) -> DataFrame
         run, "doc_id long, n long, f1 long, f2 long, regs binary, bands array<long>")
 
 
-def shingle_sets(docs: DataFrame, size: int = 5) -> DataFrame:
-    """doc_id, shingles: the sorted 64-bit hashes of the whole text's shingles, packed."""
+def shingle_sets(docs: DataFrame, nodes: DataFrame, size: int = 5) -> DataFrame:
+    """node, shingles: the sorted 64-bit hashes of the whole set of each class of ``nodes(node, rep, f1, f2, n)``, packed.
+
+    Taken from the texts of the class's least doc_id, of which the right one is told by the set's fingerprint.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in C.slim(batches, 1):
             for i, j, data, at in C.pieces(batch.column(1)):
                 row, sh = C.shingles(data, at, size)
-                cut = np.searchsorted(row, np.arange(j - i + 1))
+                cut, (f1, f2) = np.searchsorted(row, np.arange(j - i + 1)), fingerprints(row, sh, j - i)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0)[i:j], pa.array([sh[a:b].tobytes() for a, b in zip(cut, cut[1:])], pa.binary())],
-                    ["doc_id", "shingles"])
+                    [batch.column(0)[i:j], pa.array(np.diff(cut).astype(np.int64)), pa.array(f1.view(np.int64)), pa.array(f2.view(np.int64)),
+                     pa.array([sh[a:b].tobytes() for a, b in zip(cut, cut[1:])], pa.binary())], ["rep", "n", "f1", "f2", "shingles"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, shingles binary")
+    ids = nodes.select(F.col("rep").alias("doc_id")).distinct()
+    texts = docs.join(C.small(C.stored(ids, "near-ids"), 16), "doc_id", "left_semi").select("doc_id", "text")
+    sets = texts.mapInArrow(run, "rep long, n long, f1 long, f2 long, shingles binary")
+    return sets.join(C.small(nodes, 48), ["rep", "f1", "f2", "n"]).select("node", "shingles").dropDuplicates(["node"])
 
 
 def _screen(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) whose registers make the threshold likely."""
-    side = lambda x: classes.select(F.col("doc_id").alias(x), F.col("n").alias(f"n{x}"), F.col("regs").alias(f"r{x}"))
+    side = lambda x: classes.select(F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("regs").alias(f"r{x}"))
     both = pairs.join(side("a"), "a").join(side("b"), "b").where(
         f"100 * least(na, nb) >= {percent} * greatest(na, nb)")
 
@@ -160,11 +177,11 @@ def _screen(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     return both.select("a", "b", "na", "nb", "ra", "rb").mapInPandas(run, "a long, b long")
 
 
-def _confirm(pairs: DataFrame, docs: DataFrame, percent: int, size: int) -> DataFrame:
+def _confirm(pairs: DataFrame, docs: DataFrame, cls: DataFrame, percent: int, size: int) -> DataFrame:
     """Pairs (a, b) whose full shingle sets reach the threshold."""
-    ids = C.stored(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct(), "near-ids")
-    sets = C.stored(shingle_sets(docs.join(C.small(ids, 16), "doc_id", "left_semi"), size), "near-sets")
-    side = lambda x: sets.select(F.col("doc_id").alias(x), F.col("shingles").alias(f"s{x}"))
+    nodes = C.stored(cls.join(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), "node", "left_semi"), "near-nodes")
+    sets = C.stored(shingle_sets(docs, nodes, size), "near-sets")
+    side = lambda x: sets.select(F.col("node").alias(x), F.col("shingles").alias(f"s{x}"))
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
@@ -196,29 +213,28 @@ def intersections(left: list[np.ndarray], right: list[np.ndarray], columns: int
     return out
 
 
-def _block_links(member: DataFrame, docs: DataFrame, percent: int, size: int) -> DataFrame:
-    """Links across components inside buckets; ``member``: key, doc_id, component, hub.
+def _block_links(member: DataFrame, docs: DataFrame, cls: DataFrame, percent: int, size: int) -> DataFrame:
+    """Links across components inside buckets; ``member``: key, node, component, hub.
 
     Those outside the hub's component meet all of their bucket, block against
-    block, on full shingle sets; a link for each pair of a document and a
+    block, on full shingle sets; a link for each pair of a class and a
     component that it reaches leaves the task.
     """
-    sizes = member.groupBy("key").agg(
+    sizes = C.stored(member.groupBy("key").agg(
         F.count("*").alias("size"),
-        F.sum((F.col("component") != F.col("hub")).cast("long")).alias("outside")).where("outside > 0")
-    m = C.stored(member.join(sizes, "key"), "near-open")
-    ids = C.stored(m.select("doc_id").distinct(), "near-ids")
-    sets = shingle_sets(docs.join(C.small(ids, 16), "doc_id", "left_semi"), size)
-    m = (m.join(sets, "doc_id")
+        F.sum((F.col("component") != F.col("hub")).cast("long")).alias("outside")).where("outside > 0"), "near-sizes")
+    m = C.stored(C.met(member, sizes, "key", 24), "near-open")
+    nodes = C.stored(cls.join(m.select("node").distinct(), "node", "left_semi"), "near-nodes")
+    m = (m.join(shingle_sets(docs, nodes, size), "node")
          .withColumn("mb", F.expr(f"cast(ceil(size / {BLOCK}) as int)"))
          .withColumn("ob", F.expr(f"cast(ceil(outside / {BLOCK}) as int)"))
-         .withColumn("h", F.expr("xxhash64(doc_id) & 9223372036854775807L")))
+         .withColumn("h", F.expr("xxhash64(node) & 9223372036854775807L")))
     out = m.where("component <> hub").select(
         "key", F.expr("cast(h % ob as int)").alias("i"), F.explode(F.expr("sequence(0, mb - 1)")).alias("j"),
-        "doc_id", "component", "shingles", F.lit(True).alias("outer"))
+        "node", "component", "shingles", F.lit(True).alias("outer"))
     rest = m.select(
         "key", F.explode(F.expr("sequence(0, ob - 1)")).alias("i"), F.expr("cast(h % mb as int)").alias("j"),
-        "doc_id", "component", "shingles", F.lit(False).alias("outer"))
+        "node", "component", "shingles", F.lit(False).alias("outer"))
 
     def run(f: pd.DataFrame) -> pd.DataFrame:
         left, right = f[f.outer], f[~f.outer]
@@ -226,53 +242,73 @@ def _block_links(member: DataFrame, docs: DataFrame, percent: int, size: int) ->
         if len(left) and len(right):
             x, y = ([np.frombuffer(s, np.uint64) for s in side.shingles] for side in (left, right))
             nx, ny = (np.array([len(s) for s in side], float) for side in (x, y))
-            cx, cy, ids = left.component.to_numpy(), right.component.to_numpy(), right.doc_id.to_numpy()
+            cx, cy, ids = left.component.to_numpy(), right.component.to_numpy(), right.node.to_numpy()
             both = intersections(x, y)
             linked = (100 * both >= percent * (nx[:, None] + ny[None] - both)) & (both > 0) & (cx[:, None] != cy[None])
-            for k, doc in enumerate(left.doc_id.tolist()):
+            for k, node in enumerate(left.node.tolist()):
                 at = np.flatnonzero(linked[k])
                 for o in at[np.unique(cy[at], return_index=True)[1]].tolist():
-                    found.append((min(doc, int(ids[o])), max(doc, int(ids[o]))))
+                    found.append((min(node, int(ids[o])), max(node, int(ids[o]))))
         return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
     return out.union(rest).groupBy("key", "i", "j").applyInPandas(run, "a long, b long").distinct()
 
 
+def _same_documents(base: DataFrame, cls: DataFrame) -> DataFrame:
+    """Links (a, b) between the classes of different texts of one doc_id."""
+    ids = base.where("n > 0 and doc_id is not null").groupBy("doc_id").agg(
+        F.count("*").alias("rows"), *[f(c).alias(f"{f.__name__}_{c}") for c in ("f1", "f2", "n") for f in (F.min, F.max)])
+    several = ids.where("min_f1 <> max_f1 or min_f2 <> max_f2 or min_n <> max_n").select("doc_id", F.col("rows").alias("size"))
+    several = C.stored(several, "near-several")
+    if several.isEmpty():
+        return several.select(F.col("doc_id").alias("a"), F.col("doc_id").alias("b"))
+    texts = C.met(base.where("n > 0").select("doc_id", "f1", "f2", "n"), several, "doc_id", 16)
+    of = C.stored(texts.join(cls.select("node", "f1", "f2", "n"), ["f1", "f2", "n"]).select("doc_id", "node").distinct(), "near-texts")
+    first = C.stored(of.groupBy("doc_id").agg(F.min("node").alias("a"), F.count("*").alias("size")), "near-first-texts")
+    return C.met(of, first, "doc_id", 24).where("a <> node").select("a", F.col("node").alias("b"))
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, percent: int = 80, size: int = 5) -> DataFrame:
     """doc_id, n_shingles, component_id, kept: one row per row of ``docs(doc_id, text)``."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     bands, rows = bands_for(percent)
     base = C.stored(sketched(docs, bands, rows, size), "near-base")
-    # one class per distinct set; its id is the smallest doc_id
-    cls = C.stored(base.where("n > 0 and doc_id is not null").groupBy("f1", "f2", "n").agg(F.min("doc_id").alias("rep")), "near-classes")
-    classes = C.stored(base.where("n > 0").join(cls.select("f1", "f2", "n", F.col("rep").alias("doc_id")), ["f1", "f2", "n", "doc_id"], "left_semi")
-                       .dropDuplicates(["doc_id"]), "near-sketches")
-    band = classes.select("doc_id", F.explode("bands").alias("key"))
-    counted = band.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
-    band = C.stored(band.join(counted, "key"), "near-buckets")
-
-    central = band.groupBy("doc_id").agg(F.sum("size").alias("weight"))
-    hub = band.join(central, "doc_id").groupBy("key").agg(F.expr("max(struct(weight, -doc_id))").alias("m")).select("key", F.expr("-m.col2").alias("hub"))
-    band = C.stored(band.join(hub, "key").select("key", "size", "doc_id", "hub"), "near-hubs")
-    star = band.where("doc_id <> hub").select(F.least("doc_id", "hub").alias("a"), F.greatest("doc_id", "hub").alias("b"))
+    # one class per distinct set, numbered; it is read from its smallest doc_id
+    cls = base.where("n > 0 and doc_id is not null").groupBy("f1", "f2", "n").agg(F.min("doc_id").alias("rep"))
+    cls = C.stored(cls.select(F.monotonically_increasing_id().alias("node"), "rep", "f1", "f2", "n"), "near-classes")
+    classes = C.stored(base.withColumnRenamed("doc_id", "rep").join(cls, ["f1", "f2", "n", "rep"]).dropDuplicates(["node"]).select("node", "n", "regs", "bands"), "near-sketches")
+    band = classes.select("node", F.explode("bands").alias("key"))
+    counted = C.stored(band.groupBy("key").agg(F.count("*").alias("size")).where("size > 1"), "near-bucket-sizes")
+    band = C.stored(C.met(band, counted, "key", 16), "near-buckets")
+
+    central = band.groupBy("node").agg(F.sum("size").alias("weight"))
+    hub = band.join(central, "node").groupBy("key").agg(F.expr("max(struct(weight, -node))").alias("m"), F.first("size").alias("size"))
+    hub = C.stored(hub.select("key", F.expr("-m.col2").alias("hub"), "size"), "near-hubs")
+    band = C.stored(C.met(band.drop("size"), hub, "key", 24).select("key", "size", "node", "hub"), "near-buckets")
+    star = band.where("node <> hub").select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b"))
 
     pairs = C.stored(_screen(star.distinct(), classes, percent), "near-pairs")
-    links = C.stored(_confirm(pairs, docs, percent, size), "near-links")
+    links = C.stored(_confirm(pairs, docs, cls, percent, size).union(_same_documents(base, cls)), "near-links")
     comp = components(links)
-    # buckets of one list of members count once; only larger ones may be too large to list
-    few = (band.where(f"size between 3 and {SMALL}").groupBy("key", "hub").agg(F.sort_array(F.collect_list("doc_id")).alias("ids"))
-           .select("hub", "ids").distinct().select(F.xxhash64("hub", "ids").alias("key"), "hub", F.explode("ids").alias("doc_id")))
-    rest = band.where(f"size > {SMALL}").select("key", "hub", "doc_id").union(few)
     at = lambda x, y: comp.select(F.col("node").alias(x), F.col("component").alias(y))
-    member = (rest.join(at("doc_id", "c"), "doc_id", "left").join(at("hub", "ch"), "hub", "left")
-              .select("key", "doc_id", F.coalesce("c", "doc_id").alias("component"), F.coalesce("ch", "hub").alias("hub")))
-    more = C.stored(_block_links(C.stored(member, "near-members"), docs, percent, size), "near-links")
+    # buckets of one list of members count once; only larger ones may be too large to list
+    few = (band.where(f"size between 3 and {SMALL}").groupBy("key", "hub").agg(F.sort_array(F.collect_list("node")).alias("ids"))
+           .select("hub", "ids").distinct().select(F.xxhash64("hub", "ids").alias("key"), "hub", F.explode("ids").alias("node")))
+    few = few.join(at("hub", "ch"), "hub", "left").select("key", "node", F.coalesce("ch", "hub").alias("hub"))
+    of_hub = C.stored(hub.where(f"size > {SMALL}").join(at("hub", "ch"), "hub", "left").select("key", F.coalesce("ch", "hub").alias("hub"), "size"), "near-hub-components")
+    many = C.met(band.where(f"size > {SMALL}").select("key", "node"), of_hub, "key", 24).select("key", "node", "hub")
+    member = many.union(few).join(at("node", "c"), "node", "left").select("key", "node", F.coalesce("c", "node").alias("component"), "hub")
+    more = C.stored(_block_links(C.stored(member, "near-members"), docs, cls, percent, size), "near-links")
     if not more.isEmpty():
         comp = components(links.union(more))
-    labelled = C.stored(cls.join(comp.withColumnRenamed("node", "rep"), "rep", "left")
-                        .select("f1", "f2", "n", F.coalesce("component", "rep").alias("component")), "near-labels")
-    return (base.join(labelled.where("component is not null"), ["f1", "f2", "n"], "left")
-            .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
+    # a component is named by its smallest doc_id
+    named = cls.join(comp, "node").select("f1", "f2", "n", "rep", "component")
+    names = C.stored(named.groupBy("component").agg(F.min("rep").alias("name"), F.count("*").alias("size")), "near-names")
+    linked = C.met(named.select("f1", "f2", "n", "component"), names, "component", 24).select("f1", "f2", "n", "name")
+    alone = cls.join(comp.select("node"), "node", "left_anti").select("f1", "f2", "n", F.col("rep").alias("name"))
+    labelled = C.stored(linked.union(alone), "near-labels")
+    return (base.join(labelled, ["f1", "f2", "n"], "left")
+            .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("name", "doc_id").alias("component_id"))
             .withColumn("kept", F.expr("doc_id <=> component_id")))
 
 

@@ -78,6 +78,44 @@ def test_near_duplicates_odd_rows(spark):
     assert near_dup.near_duplicates(spark, frame(spark, [], "doc_id long, text string")).count() == 0
 
 
+@pytest.mark.parametrize("broadcast", [None, 0])
+@pytest.mark.parametrize("seed", [1, 2])
+def test_near_duplicates_repeated_ids(spark, copies, monkeypatch, seed, broadcast):
+    """Different texts under one id are one document, in any order of rows; nothing depends on what is broadcast."""
+    if broadcast is not None:
+        monkeypatch.setattr(common, "BROADCAST_BYTES", broadcast)
+    rng = random.Random(seed)
+    near = lambda t: " ".join([*t.split()[:-1], words(rng, 1)])
+    one, two, far = words(rng, 90), words(rng, 90), words(rng, 90)
+    rows = [(7, one), (7, two), (3, near(one)), (9, near(two)), (7, far), (20, "only a few"), (21, "only a few"), (8, ""), (8, one), (2, near(far)), (None, far), (None, words(rng, 40))]
+    rows += [(5000, words(rng, 30)) for _ in range(40)] + [(4999, None), (6000, words(rng, 5))]
+    rng.shuffle(rows)
+    sets = [(d, shingles(t)) for d, t in rows]
+    label = {d: d for d, _ in sets if d is not None}
+    while True:
+        was = dict(label)
+        for (a, x), (b, y) in itertools.combinations([r for r in sets if r[0] is not None and r[1]], 2):
+            if a == b or 100 * len(x & y) >= 85 * len(x | y):
+                label[a] = label[b] = min(label[a], label[b])
+        if was == label:
+            break
+    docs = frame(spark, [(*r, "x", 1) for r in rows], "doc_id long, text string, component_id string, node int").repartition(3)
+    got = near_dup.near_duplicates(spark, docs, 85).collect()
+    assert len(got) == len(rows)
+    assert all(r.component_id == (label[r.doc_id] if r.n_shingles else r.doc_id) for r in got if r.doc_id is not None)
+    assert sorted((str(r.component_id) for r in got if r.doc_id is None)) == sorted(["None", str(label[7])])
+
+
+def test_met_equals_a_join(spark, monkeypatch):
+    """A key with a third of the rows and many small ones, at both sides of the broadcast bound."""
+    rows = spark.range(9000).selectExpr("case when id % 3 = 0 then -1 else id div 4 end as key", "id as v")
+    table = common.stored(rows.groupBy("key").count().withColumnRenamed("count", "size").where("key % 5 <> 0"), "sizes")
+    want = sorted(map(tuple, rows.join(table, "key").select("key", "v", "size").collect()))
+    for limit in (1 << 25, 0):
+        monkeypatch.setattr(common, "BROADCAST_BYTES", limit)
+        assert sorted(map(tuple, common.met(rows, table, "key", 16).select("key", "v", "size").collect())) == want
+
+
 def test_registers_merge_and_estimate():
     rng = np.random.default_rng(2)
     x = rng.integers(0, 2 ** 63, 400).astype(np.uint64)
