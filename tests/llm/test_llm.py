@@ -9,6 +9,7 @@ import re
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from lodgelens.llm import (common, decontaminate, html_text, language, line_dedup, mixing, near_dup, pii, queries,
                            secrets, top_k, toxicity, trees)
@@ -144,6 +145,49 @@ def test_top_k_odd_rows(spark):
     assert top_k.exact_top_k(spark, empty, empty).count() == 0
 
 
+@pytest.mark.parametrize("size", [1.0, 1e4, 3e5, 1e9, 1e11])
+@pytest.mark.parametrize("step", [1, 4])
+def test_top_k_is_exact_at_every_magnitude(spark, size, step):
+    """Near ties of scores on both sides of 2^53 and with products beyond 2^62, against Python's integers."""
+    rng = random.Random(int(size))
+    base = [rng.uniform(-size, size) for _ in range(12)]
+    rows = [(i, [x + rng.choice([0, 0, 1 / 1024, -1 / 1024, 3 / 1024]) for x in base]) for i in range(60)]
+    rows += [(60 + i, [rng.uniform(-size, size) / 100 for _ in range(12)]) for i in range(60)] + [(200, [0.0] * 12), (201, base)]
+    queries_ = [0, 20, 61]
+    if size >= 1e9:  # sums that a long holds, of products that none does
+        rows = [(i, [size, size, *[x / size for x in v[2:]]] if not i else [v[0], -v[0] + (i % 7) / 1024, *[x / size for x in v[2:]]]) for i, v in rows]
+        queries_ = [0]
+    ints = {i: [int(np.floor(1024 * x)) for x in v] for i, v in rows}
+    want = []
+    for q in queries_:
+        order = sorted((-sum(a * b for a, b in zip(ints[q], ints[i])), i) for i in ints if i != q)[:5]
+        want += [(q, k, i, -x) for k, (x, i) in enumerate(order, 1)]
+    assert all(abs(w[3]) < 2 ** 63 for w in want)
+    v = frame(spark, rows, "vec_id long, embedding array<double>").repartition(3)
+    got = top_k.exact_top_k(spark, v, v.where(F.col("vec_id").isin(queries_)), k=5, step=step).select("query_id", "rank", "vec_id", "score")
+    assert sorted(map(tuple, got.collect())) == sorted(want)
+
+
+def test_top_k_large_components_rank_right(spark):
+    v = frame(spark, [(0, [1e5]), (1, [1e5]), (2, [2e5]), (3, [3e5])], "vec_id long, embedding array<double>")
+    got = [(r.vec_id, r.score) for r in top_k.exact_top_k(spark, v, v.where("vec_id = 0")).orderBy("rank").collect()]
+    assert got == [(i, 102_400_000 * 102_400_000 * i) for i in (3, 2, 1)]
+    w = frame(spark, [(0, [1e300]), (1, [1e300])], "vec_id long, embedding array<double>")
+    with pytest.raises(Exception, match="beyond a long"):
+        top_k.exact_top_k(spark, w, w.where("vec_id = 0")).collect()
+    w = frame(spark, [(0, [1e307]), (1, [1.0])], "vec_id long, embedding array<double>")
+    with pytest.raises(Exception, match="beyond a double"):
+        top_k.exact_top_k(spark, w, w.where("vec_id = 0")).collect()
+
+
+def test_top_k_query_blocks_are_bounded_by_bytes(spark, monkeypatch):
+    v = common.table(spark, "/root/testdata/sf0.01", "embeddings")
+    q = v.where("vec_id % 100 = 0").union(v.where("vec_id = 0"))
+    one = sorted(map(tuple, top_k.exact_top_k(spark, v, q, k=3).collect()))
+    monkeypatch.setattr(top_k, "BLOCK_BYTES", 2000)
+    assert sorted(map(tuple, top_k.exact_top_k(spark, v, q, k=3).collect())) == one
+
+
 def test_top_k_blocks_of_queries(spark):
     v = common.table(spark, "/root/testdata/sf0.01", "embeddings")
     q = v.where("vec_id % 50 = 0")
