@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 
 #: Sides of at most so many bytes (row count times row width) are broadcast.
 BROADCAST_BYTES = 32 << 20
+#: Tasks that the rows of a hot key are dealt to.
+SALT = 64
 #: Texts are worked on in pieces of about so many bytes (one text at least).
 PIECE_BYTES = 1 << 19
 
@@ -51,21 +53,24 @@ def small(df: DataFrame, row_bytes: int) -> DataFrame:
     return F.broadcast(df) if df.count() * row_bytes <= BROADCAST_BYTES else df
 
 
-def met(rows: DataFrame, table: DataFrame, key: str, row_bytes: int, size: str = "size") -> DataFrame:
+def met(rows: DataFrame, table: DataFrame, key: str | list[str], row_bytes: int | None, size: str = "size") -> DataFrame:
     """``rows.join(table, key)`` with no key's rows in one task.
 
     ``table`` is stored, has each key once and in ``size`` about how many rows
-    it meets.  A small table is broadcast; of a larger one the keys with a
-    thousandth of the rows or more (at most 1,000) are, and the others' rows
-    are shuffled without those.
+    it meets.  A small table is broadcast (``row_bytes`` None: never).  For a
+    larger one the keys with a thousandth of the rows or more are found: at
+    most 1,000, whose keys alone are broadcast; their rows are dealt to
+    ``SALT`` tasks, each with its copy of the table's row.
     """
-    if table.count() * row_bytes <= BROADCAST_BYTES:
-        return rows.join(F.broadcast(table), key)
+    keys = [key] if isinstance(key, str) else list(key)
+    if row_bytes is not None and table.count() * row_bytes <= BROADCAST_BYTES:
+        return rows.join(F.broadcast(table), keys)
     total = table.agg(F.sum(size)).first()[0]
     hot = F.col(size) * 1000 >= total
-    often = F.broadcast(table.where(hot))
-    rest = rows.join(often.select(key), key, "left_anti").join(table.where(~hot), key)
-    return rows.join(often, key).unionByName(rest)
+    often = F.broadcast(table.where(hot).select(*keys, F.lit(True).alias("_hot")))
+    dealt = rows.join(often, keys, "left").withColumn("_salt", F.when(F.col("_hot"), F.pmod(F.monotonically_increasing_id(), F.lit(SALT))).otherwise(F.lit(0)).cast("int"))
+    salts = F.explode(F.when(hot, F.sequence(F.lit(0), F.lit(SALT - 1))).otherwise(F.array(F.lit(0))))
+    return dealt.drop("_hot").join(table.withColumn("_salt", salts), [*keys, "_salt"]).drop("_salt")
 
 
 def held_out(doc_id: str | Column = "doc_id") -> Column:

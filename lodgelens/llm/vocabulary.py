@@ -109,8 +109,10 @@ def scored(docs: DataFrame, table: DataFrame, width: int, score: Callable[[pa.Ar
     """``docs`` columns doc_id, text go in; doc_id and what ``score`` returns come out.
 
     ``table(word, payload)`` is sent whole to the tasks if it is at most
-    ``broadcast_bytes`` in size.  If not, each document's distinct words are
-    joined with it by hash, and a task's table is what its documents hold.
+    ``broadcast_bytes`` in size.  If not, each distinct text is scored once:
+    its distinct words are joined with the table by hash, a task's table is what
+    its texts hold, and rows meet their text's result by the text's hash (128
+    bits), so neither copies of a text nor rows that share an id pile up.
     """
     names = ["doc_id", *StructType.fromDDL(schema).names]
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -125,23 +127,28 @@ def scored(docs: DataFrame, table: DataFrame, width: int, score: Callable[[pa.Ar
         return docs.mapInArrow(run, f"doc_id long, {schema}")
 
     def distinct_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in C.slim(batches, 1):
-            for i, j, data, at in C.pieces(lowered(batch.column(1))):
+        for batch in C.slim(batches, 2):
+            for i, j, data, at in C.pieces(lowered(batch.column(2))):
                 row, _, _, h = letter_words(data, at)
                 order = np.lexsort((h, row))
                 new = np.r_[True, (h[order][1:] != h[order][:-1]) | (row[order][1:] != row[order][:-1])][:len(order)]
-                yield pa.RecordBatch.from_arrays([batch.column(0)[i:j].take(pa.array(row[order[new]])), pa.array(h[order[new]].view(np.int64))], ["doc_id", "hash"])
+                of = pa.array(row[order[new]] + i)
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(of), batch.column(1).take(of), pa.array(h[order[new]].view(np.int64))], ["t1", "t2", "hash"])
 
-    hits = (docs.mapInArrow(distinct_words, "doc_id long, hash long").join(rows, "hash")
-            .groupBy(F.col("doc_id").alias("id")).agg(F.collect_list(F.struct("hash", "payload")).alias("hits")))
+    key, whole = ["t1", "t2"], F.coalesce("text", F.lit(""))
+    keyed = docs.select("doc_id", F.xxhash64(whole).alias("t1"), F.xxhash64(F.lit(1), whole).alias("t2"), "text")
+    texts = keyed.groupBy(*key).agg(F.first("text").alias("text"), F.count("*").alias("size"))
+    hits = (keyed.select(*key, "text").mapInArrow(distinct_words, "t1 long, t2 long, hash long").distinct().join(rows, "hash")
+            .groupBy(*key).agg(F.collect_list(F.struct("hash", "payload")).alias("hits")))
 
     def run_joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in C.slim(batches, 1):
-            found = batch.column(2).flatten()  # null lists flatten to nothing
+        for batch in C.slim(batches, 3):
+            found = batch.column(4).flatten()  # null lists flatten to nothing
             h = found.field("hash").to_numpy(zero_copy_only=False).astype(np.int64)
             _, first = np.unique(h, return_index=True)
             own = Words(*arrays(h[first], found.field("payload").take(pa.array(first)), width))
-            yield pa.RecordBatch.from_arrays([batch.column(0), *score(batch.column(1), own)], names)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], *score(batch.column(3), own)], [*key, "size", *names[1:]])
 
-    return (docs.join(hits, F.col("doc_id").eqNullSafe(F.col("id")), "left").select("doc_id", "text", "hits")
-            .mapInArrow(run_joined, f"doc_id long, {schema}"))
+    per = (texts.join(hits, key, "left").select(*key, "size", "text", "hits")
+           .mapInArrow(run_joined, f"t1 long, t2 long, size long, {schema}"))
+    return C.met(keyed.select("doc_id", *key), C.stored(per, "text-scores"), key, None).select(*names)

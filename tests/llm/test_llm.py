@@ -5,6 +5,7 @@ import hashlib
 import itertools
 import random
 import re
+import time
 
 import duckdb
 import numpy as np
@@ -107,6 +108,32 @@ def test_near_duplicates_repeated_ids(spark, copies, monkeypatch, seed, broadcas
     assert sorted((str(r.component_id) for r in got if r.doc_id is None)) == sorted(["None", str(label[7])])
 
 
+@pytest.mark.parametrize("broadcast_bytes", [None, 0])
+def test_equal_rows_are_scored_in_linear_time(spark, broadcast_bytes):
+    """10,000 rows of one text without an id, and as many of one id, beside others; both ways give the same."""
+    rng = random.Random(3)
+    same, mine = words(rng, 24), [words(rng, 24) for _ in range(40)]
+    docs = spark.range(10_000).selectExpr("cast(null as long) doc_id", f"'{same}' text").union(
+        spark.range(10_000).selectExpr("5 as doc_id", f"'{mine[0]}' text")).union(frame(spark, [(i, t) for i, t in enumerate(mine)] + [(None, None), (3, "")], "doc_id long, text string"))
+    train = frame(spark, [(t, "en" if i % 2 else "fr") for i, t in enumerate([same, *mine])], "text string, lang string")
+    began = time.time()
+    got = collections.Counter((r.doc_id, r.lang_pred) for r in language.identify(spark, docs, train, broadcast_bytes).collect())
+    assert time.time() - began < 60
+    assert got[None, "fr"] == 10_000 and got[5, "en"] == 10_000 and got[None, "und"] == 1 and sum(got.values()) == 20_042
+
+
+def test_personal_data_in_a_megabyte_of_digits():
+    """Runs that a scanner from each digit would read a million times; matches as the plain pattern finds them."""
+    for text in ("1" * 1_000_000, "1." * 500_000, "12 " * 330_000, "+1" + "(" * 1_000_000, "1.2.3." + "9" * 999_000):
+        began = time.time()
+        pii.base_candidates(text), pii.more_candidates(text)
+        assert time.time() - began < 20, text[:9]
+    rng, plain = random.Random(8), re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+    for _ in range(3000):
+        text = "".join(rng.choices("11.. 92a", k=rng.randint(0, 40)))
+        assert [m.span() for m in pii._IP.finditer(text)] == [m.span() for m in plain.finditer(text)]
+
+
 def test_met_equals_a_join(spark, monkeypatch):
     """A key with a third of the rows and many small ones, at both sides of the broadcast bound."""
     rows = spark.range(9000).selectExpr("case when id % 3 = 0 then -1 else id div 4 end as key", "id as v")
