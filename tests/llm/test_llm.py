@@ -597,3 +597,18 @@ def test_pipeline_decides_by_row(spark):
     assert sorted(kept, key=str) == sorted([(5, far[0]), (3, far[1]), (None, far[2]), (8, None), (8, None)], key=str)
     docs = table_of([(7, item), (7, far[0]), (None, item), (None, far[1])])
     assert {(r.doc_id, r.text) for r in p.drop_contaminated(spark, docs, sf).collect()} == {(7, far[0]), (None, far[1])}
+
+
+def test_pipeline_stages_keep_odd_columns(spark):
+    """Maps and columns that share a name with a key come back as they were; of equal rows one stays."""
+    import corpus_pipeline as p
+    rng = random.Random(11)
+    texts = [words(rng, 60) for _ in range(4)]
+    rows = [(i, t, "en", {"a": i}, f"k{i}") for i, t in enumerate(texts)] + [(2, texts[2], "en", {"a": 2}, "k2"), (None, texts[3], "en", {"a": 9}, "k9"), (9, None, None, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, m map<string,int>, _row_key string")
+    out = p.drop_near_duplicates(spark, docs, SF)
+    assert out.columns == docs.columns
+    got = sorted((r.doc_id, r.m["a"] if r.m else None, r._row_key) for r in out.collect())
+    assert got == [(0, 0, "k0"), (1, 1, "k1"), (2, 2, "k2"), (3, 3, "k3"), (9, None, None)]
+    assert p.drop_contaminated(spark, docs, SF).columns == docs.columns
+    assert p.drop_near_duplicates(spark, docs.where("false"), SF).count() == 0
