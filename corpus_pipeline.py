@@ -6,8 +6,9 @@ written as Parquet and read again as the next stage's documents.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 
 from lodgelens.llm import common, decontaminate, language, line_dedup, mixing, near_dup
 
@@ -17,33 +18,41 @@ LEAST_SURE = 0.5
 MIX_BLOCK = 256
 
 
-#: The name of the row key beside a table's own columns.
-KEY = "_row_key"
+def keyed(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` with a key of each row's doc_id and text, null or not, and its name, which no column of ``docs`` has.
 
-
-def keyed(docs: DataFrame) -> DataFrame:
-    """``docs`` with a key of each row's doc_id and text, null or not: rows equal in both share it (63 bits of a hash)."""
+    Rows equal in both share the key (63 bits of a hash).
+    """
+    name = "_row_key"
+    while name in docs.columns:
+        name += "_"
     i, text = F.col("doc_id").cast("long"), F.col("text").cast("string")
-    return docs.withColumn(KEY, F.xxhash64(i.isNull(), i, text.isNull(), text).bitwiseAND(F.lit((1 << 63) - 1)))
+    return docs.withColumn(name, F.xxhash64(i.isNull(), i, text.isNull(), text).bitwiseAND(F.lit((1 << 63) - 1))), name
 
 
-def by_key(docs: DataFrame) -> DataFrame:
+def by_key(docs: DataFrame, key: str) -> DataFrame:
     """What the operators are given: the row key as doc_id, and the text."""
-    return docs.select(F.col(KEY).alias("doc_id"), "text")
+    return docs.select(F.col(key).alias("doc_id"), "text")
 
 
-def without(docs: DataFrame, gone: DataFrame, tag: str) -> DataFrame:
+def without(docs: DataFrame, key: str, gone: DataFrame, tag: str) -> DataFrame:
     """``docs`` but for the rows whose keys ``gone`` holds as doc_id."""
-    gone = common.small(common.stored(gone.select(F.col("doc_id").alias(KEY)).distinct(), tag), 16)
-    return docs.join(gone, KEY, "left_anti")
+    gone = common.small(common.stored(gone.select(F.col("doc_id").alias(key)).distinct(), tag), 16)
+    return docs.join(gone, key, "left_anti")
+
+
+def content_hash(docs: DataFrame, columns: list[str]) -> Column:
+    """A hash of a row's columns; of a map its entries (Spark hashes no map)."""
+    kinds = {f.name: f.dataType for f in docs.schema}
+    return F.xxhash64(*[F.map_entries(c) if isinstance(kinds[c], MapType) else F.col(c) for c in columns])
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Reject documents without a letter or without a sure language."""
-    rows = keyed(docs)
-    found = language.identify(spark, by_key(rows), docs.where(~common.held_out()).select("text", "lang"))
+    rows, key = keyed(docs)
+    found = language.identify(spark, by_key(rows, key), docs.where(~common.held_out()).select("text", "lang"))
     bad = found.where((F.col("lang_pred") == "und") | (F.col("score") < LEAST_SURE))
-    return without(rows, bad, "language-rejected").select(docs.columns)
+    return without(rows, key, bad, "language-rejected").select(docs.columns)
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -57,25 +66,26 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of near-duplicates stays: the least doc_id (null last), and of rows equal in id and text one."""
-    rows = keyed(docs)
-    found = near_dup.near_duplicates(spark, by_key(rows)).where("n_shingles > 0")
-    found = common.stored(found.groupBy(F.col("doc_id").alias(KEY), "component_id").agg(F.count("*").alias("copies")), "near-found")
-    groups = found.groupBy("component_id").agg(F.count("*").alias("keys")).where("keys > 1").select("component_id")
-    linked = common.stored(found.join(groups, "component_id").select(KEY, "component_id"), "near-linked")
-    ids = rows.select(KEY, F.col("doc_id").cast("long").alias("id")).join(common.small(linked, 24), KEY)
-    place = F.struct(F.col("id").isNull(), "id", KEY)
-    first = common.stored(ids.groupBy("component_id").agg(F.min(place).alias("first")).select(F.col(f"first.{KEY}").alias(KEY)), "near-kept")
-    left = without(rows, linked.join(common.small(first, 16), KEY, "left_anti").select(F.col(KEY).alias("doc_id")), "near-dropped")
-    copies = common.small(common.stored(found.where("copies > 1").select(KEY), "near-copies"), 16)
-    one = left.join(copies, KEY, "left_semi").groupBy(KEY).agg(F.min_by(F.struct(*docs.columns), F.xxhash64(*docs.columns)).alias("row"))
-    return left.join(copies, KEY, "left_anti").select(docs.columns).union(one.select("row.*"))
+    rows, key = keyed(docs)
+    found = near_dup.near_duplicates(spark, by_key(rows, key)).where("n_shingles > 0")
+    found = common.stored(found.groupBy(F.col("doc_id").alias("key"), "component_id").agg(F.count("*").alias("copies")), "near-found")
+    groups = common.stored(found.groupBy("component_id").agg(F.count("*").alias("size")).where("size > 1"), "near-groups")
+    linked = common.stored(common.met(found, groups, "component_id", 16).select("key", "component_id"), "near-linked")
+    ids = rows.select(F.col(key).alias("key"), F.col("doc_id").cast("long").alias("id")).join(common.small(linked, 24), "key")
+    place = F.struct(F.col("id").isNull(), "id", "key")
+    first = common.stored(ids.groupBy("component_id").agg(F.min(place).alias("first")).select(F.col("first.key").alias("key")), "near-kept")
+    left = without(rows, key, linked.join(common.small(first, 16), "key", "left_anti").select(F.col("key").alias("doc_id")), "near-dropped")
+    copies = common.small(common.stored(found.where("copies > 1").select(F.col("key").alias(key)), "near-copies"), 16)
+    row = F.min_by(F.struct(*docs.columns), content_hash(docs, docs.columns)).alias("row")
+    one = left.join(copies, key, "left_semi").groupBy(key).agg(row)
+    return left.join(copies, key, "left_anti").select(docs.columns).union(one.select("row.*"))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item go."""
-    rows = keyed(docs)
-    hit = decontaminate.contained(spark, by_key(rows), common.table(spark, sf_dir, "benchmark"))
-    return without(rows, hit, "contaminated").select(docs.columns)
+    rows, key = keyed(docs)
+    hit = decontaminate.contained(spark, by_key(rows, key), common.table(spark, sf_dir, "benchmark"))
+    return without(rows, key, hit, "contaminated").select(docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
