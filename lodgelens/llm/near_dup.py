@@ -43,6 +43,8 @@ from . import common as C
 
 REGISTERS = 256
 RATE, BASE, TOP = 20.0, 1.001, (1 << 16) - 2
+#: Values drawn at once: bounds the kernel's memory where many small sets need all their values.
+CELLS = 1 << 20
 #: Buckets of up to SMALL classes are compared once for each list of members;
 #: larger ones are cut into blocks of about BLOCK classes.
 SMALL, BLOCK = 16, 128
@@ -73,12 +75,13 @@ def registers(row: np.ndarray, element: np.ndarray, n: int, m: int = REGISTERS)
         x = (-np.log1p(-(steps - 1) / m) - np.log1p(-u / (m - steps + 1))) / RATE
         where = ((start[active][:, None] + stride[active][:, None] * steps.astype(np.uint64)) % np.uint64(m)).astype(np.int64)
         np.minimum.at(least.reshape(-1), (row[active][:, None] * m + where).reshape(-1), x.reshape(-1))
-        j, width = j + len(steps), width * 2
+        j += len(steps)
         if j > m:
             break
         # no later value can be under this bound
         open_rows = (least.max(1) > -np.log1p(-(j - 1) / m) / RATE) & (count > 0)
         active = active[open_rows[row[active]]]
+        width = max(1, min(width * 2, CELLS // max(len(active), 1)))
     with np.errstate(divide="ignore"):
         k = np.floor(1 - np.log(least) / np.log(BASE))
     return np.clip(np.nan_to_num(k, neginf=0, posinf=TOP + 1), 0, TOP + 1).astype(np.uint16)
