@@ -3,13 +3,12 @@
 Layout
 ------
 functions/  pure ``Column -> Column`` expressions (parsing, bucketing, rounding)
-sources/    raw CSV scan, curated partition reads/writes, snapshot loads, stand-ins
-operators/  curation, analyses, ad-hoc queries, quality gates, sampling, scoring
+sources/    raw CSV scan, load ledger, curated partitions, versioned warehouse, stand-ins
+operators/  curation, analyses, views kept by day, quality gates, sampling, scoring, reply ledger
 plans/      the daily job (curate -> score -> publish) and the query catalog
-streaming/  (empty: the daily job is a batch job)
 
 Every operator takes and returns DataFrames; nothing is collected to the
 driver except scalars such as a resolved partition date.
 """
 
-__all__ = ["functions", "sources", "operators", "plans", "streaming"]
+__all__ = ["functions", "sources", "operators", "plans"]
