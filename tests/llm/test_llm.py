@@ -249,6 +249,17 @@ def test_secrets_match_brute_force(spark):
     assert secrets.secret_spans(spark, frame(spark, [], "doc_id long, text string")).count() == 0
 
 
+def test_secrets_in_a_megabyte_of_matches(spark):
+    """50,000 kept matches, and as many dropped ones, in one text; a text of one endless match; both in seconds."""
+    many = "token=abcdef \U0001f600 secret=ab\n" * 50_000
+    rows = [(1, many), (2, "f" * 1_000_000), (3, "AKIA" * 250_000), (4, "é" * 1_000_000 + "password: hunter22")]
+    start = time.monotonic()
+    got = {r.doc_id: [tuple(s) for s in r.found] for r in secrets.secret_spans(spark, frame(spark, rows, "doc_id long, text string"), secrets.BASE_RULES).collect()}
+    assert time.monotonic() - start < 40
+    assert got == {d: brute_secrets(t) for d, t in rows}
+    assert len(got[1]) == 50_000
+
+
 def test_secret_digest(spark):
     got = {r.doc_id: r for r in queries.QUERIES["op6_trigram_secrets"](spark, SF).collect()}
     for r in common.table(spark, SF, "documents").collect():
