@@ -382,6 +382,31 @@ def test_pii_base_spans(spark):
     assert {r.text for r in pii.redact(f).where("doc_id is null").collect()} == {"[email]"}
 
 
+def test_pii_thresholds_by_kind(spark):
+    """Loose kinds are judged by their own held-out candidates: phones without a plus are found, serial numbers and handles are not."""
+    rng = random.Random(12)
+    digits = lambda n: "".join(rng.choices("0123456789", k=n))
+    phone = lambda: f"({digits(3)}) {digits(3)}-{digits(4)}"
+    rows = []
+    for i in range(600):
+        parts = [f"call +1 {phone()} now", f"serial {digits(9)}", f"order {digits(17)}", f"jo{i}@site{i}.org", "see ops@desk today"]
+        rng.shuffle(parts)
+        rows.append((i, " and ".join(parts)))
+    model, least = pii.fit(frame(spark, rows, "doc_id long, text string"))
+    assert least[4] <= 1 and least[5] <= 1 and least[6] > 1  # a sixteen-digit number passes the card check by chance only
+    found = lambda t: [(pii.KINDS[k], t[a:b]) for k, a, b in pii.spans_of(t, model, least)]
+    assert found("call (555) 123-4567 now") == [("more_phone", "(555) 123-4567")]
+    assert found("serial 123456789, order 12345678901234567, ops@desk") == []
+    assert found("jo7 (at) site7 (dot) org") == [("more_email", "jo7 (at) site7 (dot) org")]
+    x, y = zip(*[(k, y) for k, _, _, y in pii.labelled(rows[0][1])])
+    assert sorted(zip(x, y))[:4] == [(4, False), (4, True), (5, False), (5, True)]
+    rng = np.random.default_rng(3)
+    p, truth = rng.random(5000), rng.random(5000)
+    t = pii.threshold(p, (truth < p ** 0.1))
+    assert t <= 0.99 and (truth < p ** 0.1)[p >= t].mean() >= pii.PRECISION
+    assert pii.threshold(p[:10], np.ones(10)) > 1 and pii.threshold(p, np.zeros(5000)) > 1
+
+
 def test_trees_learn():
     rng = np.random.default_rng(0)
     x = rng.random((400, 3))
