@@ -574,6 +574,65 @@ def test_main_text(html, text):
     assert html_text.main_text(html, html_text.train()) == text
 
 
+LONG = " ".join(["The river rose again that night and the town moved its boats to higher ground,"] * 2)
+MORE = "Nobody in the valley had seen water at that height before the old mill was built in the north."
+
+
+@pytest.mark.parametrize("html, text", [
+    # advertising and hidden text inside an article, by the attributes of any tag
+    (f"<article><p>{LONG}<p class='advert'>Buy now</p><p>{MORE}</p></article>", f"{LONG} {MORE}"),
+    (f"<article><p hidden>secret<p>{LONG}</p></article>", LONG),
+    (f"<article><p style='display: none'>secret</p><p>{LONG}</p></article>", LONG),
+    (f"<article><p>{LONG} <span class='ad'>Buy <span>now</span></span> {MORE}</p></article>", f"{LONG} {MORE}"),
+    (f"<article><div hidden><div>a</div><p>b</p></div><p>{LONG}</p></article>", LONG),
+    (f"<article><p>one <i aria-hidden='true'>icon</i> two</p></article>", "one two"),
+    # names that hold a word of furniture, but are none
+    (f"<article><div class='entry-header'><h1>Flood</h1></div><p>{LONG}</p></article>", f"Flood {LONG}"),
+    (f"<article><div class='article-header'><p>{LONG}</p><p>{MORE}</p></div></article>", f"{LONG} {MORE}"),
+    (f"<article><div class='story-side'><p>{LONG}</p></div></article>", LONG),
+    (f"<article><section id='search-and-rescue'><p>{LONG}</p><p>{MORE}</p></section></article>", f"{LONG} {MORE}"),
+    (f"<article class='legal'><p>{LONG}</p><p>{MORE}</p></article>", f"{LONG} {MORE}"),
+    (f"<div class='content-sidebar-wrap'><article><p>{LONG}</p></article><div class='sidebar'><p>{MORE}</p></div></div>", LONG),
+    (f"<div class='no-sidebar'><div class='post'><p>{LONG}</p></div></div>", LONG),
+    # names that are furniture
+    (f"<article><p>{LONG}</p><div class='comment-list'><article class='comment'><p>{MORE}</p></article></div></article>", LONG),
+    (f"<article><p>{LONG}</p></article><section class='comments'><p>{MORE}</p></section>", LONG),
+    (f"<article><p>{LONG}</p><div id='relatedPosts'><a>One</a> <a>Two</a></div></article>", LONG),
+    (f"<div class='main-menu'><a>Home</a> <a>News</a></div><main><p>{LONG}</p></main><div class='site-footer'>2024 Some paper</div>", LONG),
+    (f"<div role='banner'>Paper</div><div role='main'><p>{LONG}</p></div><div role='contentinfo'>Address</div>", LONG),
+    # pages without an article
+    (LONG, LONG), ("Short note.", "Short note."), (f"a &lt; b &#233;", "a < b é"),
+    (f"<p>{LONG}<p>Why?<p>{MORE}", f"{LONG} Why? {MORE}"),
+    (f"<body><div><a>Home</a> <a>News</a> <a>Sport</a> <a>Contact us</a></div><h1>Flood in town</h1><p>{LONG}</p><p>{MORE}</p><p>{LONG}</p><div><a>Next</a> <a>More of this</a></div></body>",
+     f"Flood in town {LONG} {MORE} {LONG}"),
+    (f"<table><tr><td class='menu'><a>Home</a></td><td><p>{LONG}</p><p>{MORE}</p></td></tr></table>", f"{LONG} {MORE}"),
+    # tags left open, or closed without a start
+    (f"<html><head><title>T</title><meta charset=x><p>{LONG}</p>", LONG),
+    (f"<article><p>{LONG}</p><iframe src=x><p>{MORE}</p></article>", f"{LONG} {MORE}"),
+    (f"<article></section></p></b><p>{LONG}</article>", LONG),
+    (f"<article><ul><li>one<li>two</ul><h2>Sub<p>{LONG}</article><p>{MORE}</p>", f"one two Sub {LONG}"),
+    (f"<article><p>{LONG}</p><svg><title>icon</title><svg></svg></svg><noscript>Turn it on</noscript><script>var p = '<p>x</p>';</script></article>", LONG),
+    (f"<article><p>{LONG}</p><!-- <p>old</p> --><template><p>t</p></template><p>{MORE}</p></article>", f"{LONG} {MORE}"),
+])
+def test_main_text_of_other_layouts(html, text):
+    assert html_text.main_text(html, html_text.train()) == text
+
+
+def test_tree_splits_on_words_and_neighbours():
+    def used(t):
+        return set() if len(t) == 1 else {html_text.FEATURES[t[0]]} | used(t[2]) | used(t[3])
+
+    assert {"words", "links", "words before", "links before"} <= used(html_text.train())
+
+
+@pytest.mark.parametrize("html", ["<div>" * 100_000 + "x" + "</p>" * 100_000, "<div>x" * 100_000 + "</section>" * 100_000, "<svg>" * 100_000 + "</object>" * 100_000 + "</svg>" * 100_000,
+                                  "<p hidden>" * 100_000, "<a>" * 200_000 + "x", "<span class=ad>" * 100_000 + "</b>" * 100_000, "<p>" + "x " * 500_000, "<li>" * 200_000, "<" * 300_000])
+def test_main_text_is_linear(html):
+    began = time.monotonic()
+    html_text.main_text(html, html_text.train())
+    assert time.monotonic() - began < 15
+
+
 def test_pages(spark):
     import html as h
     got = {r.page_id: r.text for r in queries.QUERIES["op1_block_tree_text"](spark, SF).collect()}
