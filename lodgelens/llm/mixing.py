@@ -43,7 +43,7 @@ MOST_SOURCES = 100_000
 #: Words of a run on average; a run holds one document at least.
 RUN_WORDS = 1 << 21
 SHARD = 4096
-#: Hypergeometric draws are made for at most so many slots; larger totals are first cut in proportion.
+#: numpy draws from at most so many slots at once; from more, they are drawn slot by slot independently and then evened out.
 DRAWN = 500_000_000
 
 
@@ -64,15 +64,28 @@ def targets(sizes: list[int], weights: list[float], share: float = SHARE, most:
     return target
 
 
+def picked(counts: np.ndarray, n: int, rng: np.random.Generator) -> np.ndarray:
+    """How many of each source are among ``n`` slots drawn without replacement, in memory of ``n``."""
+    ends, chosen = np.cumsum(counts), np.empty(0, np.int64)
+    while len(chosen) < n:
+        chosen = np.unique(np.r_[chosen, rng.integers(0, ends[-1], n - len(chosen))])
+    return np.bincount(np.searchsorted(ends, chosen, "right"), minlength=len(counts))
+
+
 def halved(counts: np.ndarray, left: int, seed: list[int]) -> np.ndarray:
-    """How many of each source's slots are among the first ``left``, drawn without replacement."""
-    total = int(counts.sum())
-    if total > DRAWN:
-        exact = counts * (left / total)
-        got = np.floor(exact).astype(np.int64)
-        got[np.argsort(-(exact - got), kind="stable")[:left - int(got.sum())]] += 1
-        return got
-    return np.random.default_rng(seed).multivariate_hypergeometric(counts, left, method="marginals")
+    """How many of each source's slots are among the first ``left``, drawn without replacement.
+
+    Beyond ``DRAWN`` slots each one is taken independently, which is a binomial
+    draw for a source, and as many as are over (or short) are given back (or
+    added) at random.  Every choice of ``left`` slots stays equally likely, and
+    what is evened out is about the square root of the slots.
+    """
+    rng, total = np.random.default_rng(seed), int(counts.sum())
+    if total <= DRAWN:
+        return rng.multivariate_hypergeometric(counts, left, method="marginals")
+    got = rng.binomial(counts, left / total)
+    over = int(got.sum()) - left
+    return got - picked(got, over, rng) if over > 0 else got + picked(counts - got, -over, rng)
 
 
 def shard_counts(counts: np.ndarray, shard: int, shards: int, size: int, seed: int) -> tuple[np.ndarray, np.ndarray]:

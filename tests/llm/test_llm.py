@@ -498,6 +498,25 @@ def test_permutation_and_shards():
     assert sum(mixing.shard_counts(big, k, 4, 1_250_000_000, 1)[1].sum() for k in range(4)) == 5 * 10 ** 9
 
 
+def test_draws_beyond_the_library_limit(monkeypatch):
+    """Many independent draws have the mean and spread of the hypergeometric law; huge totals are exact in sum, drawn and repeatable."""
+    counts = np.array([30, 5, 0, 65])
+    plain = np.array([mixing.halved(counts, 40, [1, k]) for k in range(4000)])
+    monkeypatch.setattr(mixing, "DRAWN", 50)
+    many = np.array([mixing.halved(counts, 40, [2, k]) for k in range(4000)])
+    for got in (plain, many):
+        assert (got.sum(1) == 40).all() and (got >= 0).all() and (got <= counts).all()
+        assert np.abs(got.mean(0) - 0.4 * counts).max() < 0.25
+        share = counts / 100
+        assert np.abs(got.var(0) / np.maximum(40 * share * (1 - share) * 60 / 99, 1e-9) - 1)[[0, 1, 3]].max() < 0.15
+    huge = np.array([7 * 10**10, 0, 10**10, 3])
+    a, b, c = (mixing.halved(huge, 4 * 10**10, [k]) for k in (1, 1, 2))
+    assert a.sum() == c.sum() == 4 * 10**10 and (a == b).all() and (a != c).any() and (a <= huge).all()
+    assert abs(a[0] - 3.5 * 10**10) < 10**7
+    parts = [mixing.shard_counts(huge, k, 1 << 24, 4768, 7)[1] for k in (0, 1, (1 << 24) - 1)]
+    assert [int(p.sum()) for p in parts[:2]] == [4768, 4768] and (parts[0] != parts[1]).any()
+
+
 def test_mix_near_targets(spark):
     docs = common.table(spark, "/root/testdata/sf0.01", "documents")
     got = queries.QUERIES["op8_multinomial_mix"](spark, "/root/testdata/sf0.01").toPandas()
