@@ -23,6 +23,7 @@ from lodgelens.operators import percentiles as PC
 from lodgelens.operators import rollups as RU
 from lodgelens.operators import sampling as SM
 from lodgelens.operators import scoring as SC
+from lodgelens.operators import word_weights as WW
 from lodgelens.plans import daily as P
 from lodgelens.session import scratch_path
 from lodgelens.sources import curated as CU
@@ -397,6 +398,22 @@ def lexicon_score(spark, sf):
     return SC.lexicon_score(d, "text").select("doc_id", "sentiment_label", "sentiment_score")
 
 
+def _weights(spark, sf):
+    labelled = S.read_table(spark, sf, "labels").join(S.read_table(spark, sf, "documents").select("doc_id", "text"), "doc_id")
+    return WW.learn_weights(labelled, "text", F.col("quality") == 1)
+
+
+@register()
+def learn_weights(spark, sf):
+    return _weights(spark, sf)
+
+
+@register()
+def score_texts(spark, sf):
+    d = S.read_table(spark, sf, "documents").select("doc_id", "text")
+    return WW.score_texts(d, _weights(spark, sf), "text").select("doc_id", "evidence", "sentiment_label", "sentiment_score")
+
+
 @register()
 def score_batches(spark, sf):
     d = S.read_table(spark, sf, "documents").select("doc_id", "text")

@@ -24,6 +24,7 @@ from lodgelens.operators import ledger as LE
 from lodgelens.operators import quality as Q
 from lodgelens.operators import rollups as RU
 from lodgelens.operators import scoring as SC
+from lodgelens.operators import word_weights as WW
 from lodgelens.session import scratch_path
 from lodgelens.sources import curated as CU
 from lodgelens.sources import raw as R
@@ -38,6 +39,8 @@ class ScoringKnobs:
 
     ``ledger`` is a folder that remembers replies over reruns (see
     ``operators.ledger``); ``waves`` parts of the work are recorded one by one.
+    ``weights`` is a stored table of ``word_weights.learn_weights``, by which
+    texts are scored where no scorer is given.
     """
     max_rows: int = 0
     sample_frac: float = 0.0
@@ -50,6 +53,7 @@ class ScoringKnobs:
     max_concurrency: int | None = None
     max_chars: int = 0
     ledger: str | None = None
+    weights: str | None = None
     waves: int = 1
 
 
@@ -117,8 +121,8 @@ def score_day(spark: SparkSession, curated_root: str, ds=None,
     """Score the staged reviews of ``ds`` (or the latest staged day) and write
     ``fact_reviews`` for that day.  Returns (day, rows written).
 
-    Without a ``scorer`` the offline lexicon rule is used as plain column
-    expressions; with one, rows go through ``score_batches``.
+    Without a ``scorer`` the stored word weights are used, or the offline
+    lexicon rule where there are none; with one, rows go through ``score_batches``.
     """
     stage_root = _root(curated_root, "fact_reviews_stage")
     day = CU.resolve_ds(spark, stage_root, ds)
@@ -132,7 +136,9 @@ def score_day(spark: SparkSession, curated_root: str, ds=None,
                                             "sentiment_score": F.lit(None).cast("double")})
         CU.write_scored(none.select(*conform_columns(none, FACT_REVIEWS), F.lit("ok").alias("parse_status")), fact_root, day)
         return day, 0
-    if scorer is None:
+    if scorer is None and knobs.weights:
+        scored = WW.score_texts(picked, spark.read.parquet(knobs.weights)).withColumn("parse_status", F.lit("ok"))
+    elif scorer is None:
         scored = SC.lexicon_score(picked).withColumn("parse_status", F.lit("ok"))
     else:
         runner = dict(batch_size=knobs.batch_size, max_retries=knobs.max_retries, base_sleep=knobs.base_sleep,

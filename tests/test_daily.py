@@ -219,3 +219,16 @@ def test_a_rerun_with_a_ledger_asks_nothing(spark, tmp_root, raw_day):
     assert P.score_day(spark, cur, "2024-09-01", unreachable, knobs)[1] == 3
     got = {(r.sentiment_label, r.sentiment_score, r.parse_status) for r in CU.scan_curated_partition(spark, f"{cur}/fact_reviews", "2024-09-01").collect()}
     assert got == {("POSITIVE", 0.9, "ok")}
+
+
+def test_a_day_scored_by_learned_weights(spark, tmp_root, raw_day):
+    from pyspark.sql import functions as F
+
+    from lodgelens.operators import word_weights as WW
+    cur, at = os.path.join(tmp_root, "curated"), os.path.join(tmp_root, "weights")
+    taught = spark.createDataFrame([("lovely stay", True), ("great host", True), ("awful noise", False), ("dirty", False)], "text string, good boolean")
+    WW.learn_weights(taught, "text", F.col("good"), min_texts=1).write.parquet(at)
+    P.curate_day(spark, raw_day, cur, "2024-09-01")
+    assert P.score_day(spark, cur, "2024-09-01", knobs=P.ScoringKnobs(weights=at))[1] == 3
+    facts = CU.scan_curated_partition(spark, f"{cur}/fact_reviews", "2024-09-01").collect()
+    assert all(r.parse_status == "ok" and 0.5 <= r.sentiment_score < 1 for r in facts)
