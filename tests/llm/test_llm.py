@@ -6,6 +6,7 @@ import itertools
 import random
 import re
 import time
+import zlib
 
 import duckdb
 import numpy as np
@@ -407,6 +408,46 @@ def test_pii_thresholds_by_kind(spark):
     assert pii.threshold(p[:10], np.ones(10)) > 1 and pii.threshold(p, np.zeros(5000)) > 1
 
 
+def test_pii_learns_from_every_candidate(spark):
+    """Two texts whose telephone numbers follow many others of their kind: all are learned from, and all held-out ones set the threshold."""
+    texts = " and ".join([f"serial {100000000 + i}" for i in range(40)] + [f"call +1 (555) 123-{1000 + i} now" for i in range(40)])
+    held = next(i for i in range(99) if zlib.crc32(str(i).encode()) % 5 == 0)
+    seen = next(i for i in range(99) if zlib.crc32(str(i).encode()) % 5)
+    docs = frame(spark, [(held, texts), (seen, texts), (None, None)], "doc_id long, text string")
+    model, least = pii.fit(docs)
+    assert least[5] <= 1 and least[4] > 1 and least[6] > 1
+    plain = "call 1 (555) 987-6543 now and serial 123456789"
+    assert [(k, plain[a:b]) for k, a, b in pii.spans_of(plain, model, least)] == [(5, "1 (555) 987-6543")]
+
+
+def test_pii_cells_count_every_candidate(spark, monkeypatch):
+    monkeypatch.setattr(pii, "ROWS", 3)  # candidates leave a task in more than one batch
+    rng = random.Random(4)
+    bits = ["a@b.cd", "x@y", "+1 (555) 123-4567", "(555) 123-4567", "4111 1111 1111 1111", "123456789", "é", "call"]
+    rows = [(i, " , ".join(rng.choices(bits, k=rng.randint(0, 30)))) for i in range(60)] + [(None, "x@y"), (7, None), (3, "x@y, 123456789")]
+    want = collections.Counter()
+    for d, t in rows:
+        out = d is None or zlib.crc32(str(d).encode()) % 5 == 0
+        want.update((tuple(pii.features(t, k, a, b)), y, out) for k, a, b, y in pii.labelled(t or ""))
+    got = pii.cells_of(frame(spark, rows, "doc_id long, text string")).collect()
+    assert len(got) == len(want) and {(tuple(map(float, r.x)), r.y, r.held): r.n for r in got} == want
+
+
+def test_trees_of_a_table_are_those_of_arrays(spark):
+    """Counted rows, in any order and partitions, give the trees of the rows themselves."""
+    rng = np.random.default_rng(6)
+    x = np.stack([rng.integers(0, 30, 3000), rng.integers(0, 9, 3000), rng.integers(0, 2, 3000)], 1)
+    y = ((x[:, 0] > 12) ^ (x[:, 1] > 3)) & (rng.random(3000) > 0.1)
+    cells = collections.Counter((tuple(map(int, r)), bool(t)) for r, t in zip(x, y))
+    table = frame(spark, [(list(r), t, n) for (r, t), n in cells.items()], "x array<smallint>, y boolean, n long")
+    one, many = (trees.boost_table(table.repartition(k), rounds=3) for k in (1, 7))
+    assert one == many and len(one) == 4
+    assert np.abs(trees.boosted(one, x) - trees.boosted(trees.boost(x, y.astype(float), rounds=3), x)).max() < 1e-4
+    assert trees.boost_table(table.where("false")) == trees.boost(x[:0], y[:0])
+    same = trees.boost_table(table.select("x", F.lit(True).alias("y"), "n"), rounds=2)
+    assert trees.boosted(same, x).min() > 0.99
+
+
 def test_trees_learn():
     rng = np.random.default_rng(0)
     x = rng.random((400, 3))
