@@ -3,6 +3,7 @@
 import json
 import sys
 
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
@@ -174,3 +175,33 @@ def test_scorer_may_return_objects_and_concurrency_cap(spark):
     out = SC.score_batches(df, as_dict, base_sleep=0.0, max_concurrency=2)
     assert out.rdd.getNumPartitions() == 2
     assert {(r.sentiment_label, r.parse_status) for r in out.collect()} == {("POSITIVE", "ok")}
+
+
+def test_pieces_of_a_wide_batch_are_small():
+    """A worker's rows leave it in pieces of a few MB whose batches are those of the whole, however wide the rows."""
+    texts = [chr(97 + i % 26) * 100_000 for i in range(203)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(203)), pa.array(texts)], ["id", "comments"])
+    sizes = []
+
+    def scorer(group):
+        sizes.append(len(group))
+        return group[0][0]
+    out = list(SC._runner(scorer, 8, 1, 0.0, 1, 2)(iter([batch.slice(0, 0), batch, batch.slice(200)])))
+    assert len(out) > 4 and all(b.nbytes < SC.SLICE_BYTES + 9 * 100_100 for b in out)
+    assert sizes == [8] * 25 + [3, 3]
+    lists = [rows for b in out for rows in b.column(0).to_pylist()]
+    assert [r["id"] for rows in lists for r in rows] == [*range(203), 200, 201, 202]
+    assert [r["comments"] for rows in lists for r in rows] == texts + texts[200:]
+    assert [a for b in out for a in b.column(1).to_pylist()] == [rows[0]["comments"][0] for rows in lists]
+
+
+def test_texts_are_sent_once(spark):
+    """Whole texts that are strings already are not copied into a second column; others are."""
+    df = spark.createDataFrame([("1", "good", 7), ("2", None, 8)], "review_id string, comments string, k int")
+    sent = lambda **how: SC.score_batches(df, _Echo(), base_sleep=0.0, **how)._jdf.queryExecution().analyzed().toString()
+    assert "_shown" not in sent()
+    assert "_shown" in sent(max_chars=2) and "_shown" in sent(text_col="k")
+    for how in ({}, {"max_chars": 9}, {"text_col": "k"}, {"text_col": "COMMENTS"}):
+        out = {tuple(r) for r in SC.score_batches(df, _Echo(), base_sleep=0.0, **how).collect()}
+        good = "NEGATIVE" if how.get("text_col") == "k" else "POSITIVE"
+        assert out == {("1", "good", 7, good, 0.75, "ok"), ("2", None, 8, "NEGATIVE", 0.75, "ok")}
